@@ -48,8 +48,11 @@ def _luhn(c: Column) -> Column:
 
 
 def _ip(c: Column) -> Column:
-    parts = F.split(c, r"\.")
-    return F.forall(parts, lambda p: (F.length(F.ltrim(F.lit("0"), p)) <= 3) & (F.coalesce(F.substring(F.concat(F.lit("0"), F.ltrim(F.lit("0"), p)), 1, 4).cast("int"), F.lit(0)) <= 255))
+    def at_most_255(part: Column) -> Column:
+        short = F.ltrim(part, F.lit("0"))
+        return F.when(F.length(short) <= 3, F.concat(F.lit("0"), short).cast("int") <= 255).otherwise(False)
+
+    return F.forall(F.split(c, r"\."), at_most_255)
 
 
 def _mod97(c: Column) -> Column:
