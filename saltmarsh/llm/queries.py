@@ -5,6 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 _MODULES = {
+    "op4_near_dedup": "near_dedup",
     "op8_pii": "pii",
     "op9_lpt_sharding": "sharding",
 }
