@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from . import tokens
 from .components import components
+from .groups import gathered, groups
 from .shared import written
 
 REGISTERS, MANTISSA_BITS, BANDS, ROWS = 128, 10, 25, 5
@@ -179,7 +180,6 @@ def _links_in_tile(node: np.ndarray, block: np.ndarray, values: np.ndarray, firs
 
 def _compare(n: int, percent: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    key = ("family", "ti", "tj")
 
     def links_of(tile: pa.Table) -> pa.RecordBatch:
         node = tile["node"].to_numpy()
@@ -205,21 +205,8 @@ def _compare(n: int, percent: int):
         return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_rows: list[pa.RecordBatch] = []
-        open_key = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            parts = np.stack([tokens.column_of(batch, c).to_numpy(zero_copy_only=False) for c in key], axis=1)
-            cuts = np.flatnonzero((parts[1:] != parts[:-1]).any(axis=1)) + 1
-            for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
-                if (now := tuple(parts[a])) != open_key:
-                    if open_rows:
-                        yield links_of(pa.Table.from_batches(open_rows))
-                    open_rows, open_key = [], now
-                open_rows.append(batch.slice(a, b - a))
-        if open_rows:
-            yield links_of(pa.Table.from_batches(open_rows))
+        for tile in groups(batches, "family", "ti", "tj"):
+            yield links_of(tile)
 
     return run
 
@@ -247,8 +234,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         "node", "k1", "k2", "family", "block", F.least("block", "other").alias("ti"), F.greatest("block", "other").alias("tj")
     )
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(tiles, "node")
-    dealt = texts.repartition("family", "ti", "tj").sortWithinPartitions("family", "ti", "tj")
-    linked = components(dealt.mapInArrow(_compare(words, percent), "a long, b long"))
+    linked = components(gathered(texts, "family", "ti", "tj").mapInArrow(_compare(words, percent), "a long, b long"))
     named_component = keys.join(linked, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component"))
     out = profiles.drop("bands").join(named_component, ["k1", "k2"], "left").withColumn("component_id", F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
