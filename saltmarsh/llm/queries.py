@@ -6,8 +6,10 @@ from importlib import import_module
 
 _MODULES = {
     "op4_near_dedup": "near_dedup",
+    "op7_decontamination": "decontam",
     "op8_pii": "pii",
     "op9_lpt_sharding": "sharding",
+    "op10_topk_search": "topk",
 }
 
 

@@ -1,18 +1,18 @@
 """Exact top-k search by inner product with a bit-sliced index.
 
-Rows are packed into blocks. In a block, slice (d, b) is a bitmap over its rows: bit b of component d. For a query q the
-scores of all rows of the block are added up as bitmaps: with s = sum over j, b of 2**(j+b) * (number of components
-whose query bit j and row bit b are both set), each such count is summed bitwise by carry-save adders, and the counts
-are then added by ripple-carry adders with their shift. The top rows are selected from the most significant slice of the
-sum downward: rows with the bit set stay candidates while they number at least k, otherwise they are in the result and
-the search goes on among the rest.
-
-Components are quantised for the bitmaps: the lowest ``drop`` bits are left out on both sides, which leaves far fewer
-slices. A row whose quantised sum is below the k-th largest quantised sum by more than the proven error bound cannot be
-in the result; the boundary rows left, which include all ties, are scored exactly on the integer components.
-
-Negative components are handled by an offset: x = u - o with u >= 0, so q.x = sum u_q u_x - o_x sum u_q - o_q sum u_x +
-o_q o_x n; the term that varies by row (sum u_x) is known for each row and goes into the exact step's bound.
+Rows and queries are dealt into blocks, and each query block meets each row block in one task (a stated query set
+against all rows). In a row block, slice (d, b) is a bitmap over its rows: bit b of component d. For one query the
+scores of all rows are added up as bitmaps:
+
+* With u = x - min >= 0 for a component x and v = u where the query's component is positive, v = all ones - u (the
+  flipped slices) where it is negative, a score is the sum of ``|q| * v`` and a constant of the query.
+* ``|q| * v`` is the sum of v's slices shifted by each bit set in |q|. Slices of one weight are added by carry-save
+  adders (two bitwise sums and a majority for 64 rows at a time) until one slice for each weight is left.
+* The top rows are selected from the most significant slice of the sum downward.
+
+The attributes are quantised: only the ``SLICES`` highest bits of u are kept, so a sum is below the true score by at
+most E = sum of |q| * (2**dropped - 1). With T the k-th largest sum, rows whose sum is below T - E can't be in the
+result; the boundary rows left, ties included, are scored on the integer components. So results are exact.
 """
 
 from __future__ import annotations
@@ -24,8 +24,169 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import tokens
+from .groups import gathered, groups
+
+#: Rows of a row block, queries of a query block (on average), and slices kept of a component.
+BLOCK_ROWS, BLOCK_QUERIES, SLICES = 16_384, 512, 6
+
+
+def _packed(flags: np.ndarray) -> np.ndarray:
+    """Bitmaps of 64-bit words from flags along the last axis."""
+    bits = np.packbits(flags, axis=-1, bitorder="little")
+    pad = -bits.shape[-1] % 8
+    if pad:
+        bits = np.concatenate([bits, np.zeros((*bits.shape[:-1], pad), np.uint8)], axis=-1)
+    return np.ascontiguousarray(bits).view(np.uint64)
+
+
+def _indices(bitmap: np.ndarray, n: int) -> np.ndarray:
+    return np.flatnonzero(np.unpackbits(bitmap.view(np.uint8), bitorder="little")[:n])
+
+
+class SlicedBlock:
+    """The index of a block of rows (a two-dimensional array of integers)."""
+
+    def __init__(self, rows: np.ndarray) -> None:
+        self.rows = rows
+        self.low = int(rows.min(initial=0))
+        bits = max(1, (int(rows.max(initial=0)) - self.low).bit_length())
+        self.dropped = max(0, bits - SLICES)
+        top = ((rows - self.low) >> self.dropped).T
+        kept = bits - self.dropped
+        self.up = np.stack([_packed((top >> b) & 1 == 1) for b in range(kept)], axis=1)  # dimension, bit, word
+        self.all = _packed(np.ones(len(rows), bool))
+        self.down = ~self.up & self.all
+
+    def sums(self, query: np.ndarray) -> list[np.ndarray]:
+        """Slices of all rows' quantised scores, least significant first."""
+        columns: list[list[np.ndarray]] = []
+        for d in np.flatnonzero(query):
+            q = int(query[d])
+            slices, q = (self.up[d], q) if q > 0 else (self.down[d], -q)
+            for j in range(q.bit_length()):
+                if q >> j & 1:
+                    while len(columns) < j + len(slices):
+                        columns.append([])
+                    for b, s in enumerate(slices):
+                        columns[j + b].append(s)
+        out, w = [], 0
+        while w < len(columns):
+            column = columns[w]
+            if len(column) > 1 and w + 1 == len(columns):
+                columns.append([])
+            while len(column) > 1:
+                a, b = column.pop(), column.pop()
+                part = a ^ b
+                carry = a & b
+                if column:
+                    c = column.pop()
+                    carry |= part & c
+                    part ^= c
+                    column.insert(0, part)
+                else:
+                    column.append(part)
+                columns[w + 1].append(carry)
+            out.append(column[0] if column else np.zeros_like(self.all))
+            w += 1
+        return out
+
+    def best(self, query: np.ndarray, k: int, eligible: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row indices, scores) of all rows that may be among the k best eligible ones, ties included."""
+        n = len(self.rows)
+        count = lambda bitmap: int(np.bitwise_count(bitmap).sum())
+        if count(eligible) > k:
+            slices = self.sums(query)
+            sure, open_rows, threshold = np.zeros_like(eligible), eligible, 0
+            for w in range(len(slices) - 1, -1, -1):
+                both = open_rows & slices[w]
+                if count(sure | both) >= k:
+                    open_rows = both
+                    threshold |= 1 << w
+                else:
+                    sure |= both
+                    open_rows = open_rows & ~slices[w]
+            error = sum(abs(int(q)) for q in query) * ((1 << self.dropped) - 1)
+            least = max(0, (threshold << self.dropped) - error)
+            least = -(-least >> self.dropped)  # sums are whole multiples of 2**dropped
+            above, equal = np.zeros_like(eligible), eligible
+            for w in range(max(len(slices), least.bit_length()) - 1, -1, -1):
+                s = slices[w] if w < len(slices) else np.zeros_like(eligible)
+                if least >> w & 1:
+                    equal = equal & s
+                else:
+                    above = above | (equal & s)
+                    equal = equal & ~s
+            eligible = above | equal
+        at = _indices(eligible, n)
+        return at, self.rows[at].astype(np.int64) @ query.astype(np.int64)
+
+
+def _search(k: int):
+    names = ("query", "query_id", "vec_id", "score")
+    schema = pa.schema([(c, pa.int64()) for c in names])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tile in groups(batches, "rows", "queries", "size"):
+            found: list[list[np.ndarray]] = [[], [], [], []]
+            size = tile["size"][0].as_py()
+            vectors = tile["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+            ids, key = tile["vec_id"].to_numpy(), tile["key"].to_numpy()
+            asks = tile["asks"].to_numpy(zero_copy_only=False).astype(bool)
+            if asks.all() or not asks.any():
+                continue
+            own = ids[~asks]
+            block = SlicedBlock(vectors[~asks])
+            for at in np.flatnonzero(asks):
+                other = _packed(own != ids[at])
+                row, score = block.best(vectors[at], k, other)
+                order = np.lexsort((own[row], -score))[:k]
+                row, score = row[order], score[order]
+                for part, x in zip(found, (np.full(len(row), key[at]), np.full(len(row), ids[at]), own[row], score)):
+                    part.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in found], schema=schema)
+
+    return run
+
+
+def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256) -> DataFrame:
+    """(query_id, rank, vec_id, score): for each row of ``vectors`` where ``is_query`` holds, its k best other rows.
+
+    ``vectors`` has vec_id and embedding; other columns are left alone. A component x counts as floor(scale * x), x as
+    double; a score is the inner product of these integers; ties go to the smaller vec_id. Rows with the query's vec_id
+    are no candidates. Vectors that are null or empty, hold a null or non-finite component, or one of 2**31 / scale and
+    more, and rows without a vec_id, take no part. Vectors of different lengths are not compared. A repeated query row
+    is answered each time, a repeated candidate counts each time. Fewer than k candidates give fewer rows.
+    """
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale))
+    usable = F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float(2**31 // scale)))
+    rows = vectors.where(usable).select(F.col("vec_id").cast("long"), F.col("embedding").alias("embedding"), is_query.alias("asks"))
+    n_rows, n_queries = rows.agg(F.count(F.lit(1)), F.count_if("asks")).first()
+    row_blocks, query_blocks = max(1, -(-n_rows // BLOCK_ROWS)), max(1, -(-n_queries // BLOCK_QUERIES))
+    packed = rows.select("vec_id", F.size("embedding").alias("size"), F.transform(whole, lambda x: x.cast("int")).alias("vector"), "asks")
+    deal = F.xxhash64("vec_id", "vector")
+    block = lambda n: F.pmod(deal, F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    candidates = packed.select("vec_id", "size", "vector", F.lit(False).alias("asks"), F.lit(0).cast("long").alias("key"), block(row_blocks).alias("rows"), every(query_blocks).alias("queries"))
+    keyed = packed.where("asks").withColumn("key", F.monotonically_increasing_id())
+    queries = keyed.select("vec_id", "size", "vector", "asks", "key", every(row_blocks).alias("rows"), block(query_blocks).alias("queries"))
+    tiles = gathered(candidates.union(queries), "rows", "queries", "size")
+    near = tiles.mapInArrow(_search(k), "query long, query_id long, vec_id long, score long")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    return near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def op10_topk_search(spark, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return top_k(vectors, F.coalesce(F.pmod(F.col("vec_id"), F.lit(50)) == 0, F.lit(False)))
+
 
-#: Rows of an index block and queries of a query block.
-BLOCK_ROWS, BLOCK_QUERIES = 8192, 256
-"""placeholder"""
+ORACLE_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i]))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e))
+SELECT query_id, rank, vec_id, score
+FROM (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM s)
+WHERE rank <= 5"""
