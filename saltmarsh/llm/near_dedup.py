@@ -4,8 +4,9 @@
    third of all rows costs as much as any other.
 2. A class has a HyperMinHash sketch: hashes fall into 128 buckets; a bucket's smallest hash is kept as its leading-zero
    count and ten mantissa bits. 25 bands of 5 registers each give a band key; classes that share a key are candidates.
-   A pair at similarity 0.85 shares no key with probability below 5e-7; up to 160 shingles a pair can't share none, since
-   a differing shingle changes one register at most.
+   A small set leaves buckets empty; for the bands, an empty register takes the value of the first filled one in a fixed
+   random order of its own, so that two sets agree in a register about as often as their Jaccard similarity says. A pair
+   at similarity 0.85 shares no key with probability below 5e-7.
 3. Each key links its classes to its smallest one, which is a row for each class and key and never a pair for each two
    classes. The components of these links are *families*: all true links lie inside a family.
 4. A family's texts are brought together and compared inside a task. A large family is cut into blocks of bounded
@@ -82,13 +83,30 @@ def sketches(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return register.reshape(n, REGISTERS)
 
 
-def band_keys(sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, given): a key for each set and band; no key is given for a band of empty registers only."""
-    parts = sketch[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS).astype(np.uint64)
+_ORDERS = np.stack([np.random.default_rng(k).permutation(REGISTERS) for k in range(REGISTERS)])
+
+
+def filled(sketch: np.ndarray) -> np.ndarray:
+    """Sketches whose empty registers have taken the value of another one (optimal densification)."""
+    out = sketch.copy()
+    row, register = np.nonzero((sketch == EMPTY) & (sketch != EMPTY).any(axis=1)[:, None])
+    for t in range(REGISTERS):
+        if not len(row):
+            break
+        value = sketch[row, _ORDERS[register, t]]
+        out[row, register] = value
+        left = value == EMPTY
+        row, register = row[left], register[left]
+    return out
+
+
+def band_keys(sketch: np.ndarray) -> np.ndarray:
+    """A key for each set and band."""
+    parts = filled(sketch)[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS).astype(np.uint64)
     key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), parts.shape[:2])
     for r in range(ROWS):
         key = tokens.mixed(key * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, r])
-    return key, (parts != EMPTY).any(axis=2)
+    return key
 
 
 def estimated(one: np.ndarray, many: np.ndarray, n_one: int, n_many: np.ndarray) -> np.ndarray:
@@ -115,9 +133,9 @@ def _profile(n: int):
                 values, first = shingle_sets(words, n)
                 size = np.diff(first)
                 keys = set_keys(values, first).view(np.int64)
-                band, given = band_keys(sketches(values, first))
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], given.sum(axis=1).cumsum()]).astype(np.int32)), pa.array(band[given].view(np.int64)))
                 none = size == 0
+                band = band_keys(sketches(values, first))[~none]
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.where(none, 0, BANDS))]).astype(np.int32)), pa.array(band.ravel().view(np.int64)))
                 yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(size), pa.array(keys[:, 0], mask=none), pa.array(keys[:, 1], mask=none), lists], schema=schema)
 
     return run

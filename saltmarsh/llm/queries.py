@@ -5,6 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 _MODULES = {
+    "op1_mixing": "mixing",
     "op4_near_dedup": "near_dedup",
     "op5_substring_dedup": "substring_dedup",
     "op7_decontamination": "decontam",
