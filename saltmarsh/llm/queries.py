@@ -6,6 +6,7 @@ from importlib import import_module
 
 _MODULES = {
     "op1_mixing": "mixing",
+    "op2_html_extraction": "html_extract",
     "op3_language_id": "langid",
     "op4_near_dedup": "near_dedup",
     "op5_substring_dedup": "substring_dedup",
