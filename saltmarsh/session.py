@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 #: Times are UTC instants and zones are arguments; AQE sizes partitions and splits skewed joins at run time.
@@ -10,6 +13,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.python.filterPushdown.enabled": "true",
 }
 
 
@@ -18,3 +22,21 @@ def session(master: str | None = None, **settings: str) -> SparkSession:
     if master:
         builder = builder.master(master)
     return builder.config(map=SETTINGS | settings).getOrCreate()
+
+
+_OWN: dict[str, str] = {}
+
+
+def working_folder(spark: SparkSession) -> str:
+    """A folder that driver and executors share: ``spark.checkpoint.dir``, or a temporary one where it is unset (local mode)."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    app = spark.sparkContext.applicationId
+    if app not in _OWN:
+        _OWN[app] = tempfile.mkdtemp(prefix="saltmarsh-")
+    return _OWN[app]
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    return f"{working_folder(spark)}/{name}-{uuid.uuid4().hex}"
