@@ -10,6 +10,7 @@ _MODULES = {
     "op3_language_id": "langid",
     "op4_near_dedup": "near_dedup",
     "op5_substring_dedup": "substring_dedup",
+    "op6_line_dedup": "line_dedup",
     "op7_decontamination": "decontam",
     "op8_pii": "pii",
     "op9_lpt_sharding": "sharding",
