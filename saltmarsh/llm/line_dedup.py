@@ -31,32 +31,38 @@ def _hash(word: Column) -> Column:
     return F.xxhash64(word)
 
 
-def _packed(marks: DataFrame, size: int) -> Column:
-    """A binary literal of ``size`` bytes from rows (place, code); 0 elsewhere. Its size is fixed, so it may travel."""
+def _packed(marks: DataFrame, size: int, name: str) -> DataFrame:
+    """One row: a binary value of ``size`` bytes from rows (place, code); 0 elsewhere. Its size is fixed, so it may travel."""
     spark = marks.sparkSession
     filled = spark.range(size).join(marks.withColumnRenamed("place", "id"), "id", "left")
     cell = F.struct("id", F.chr(F.coalesce("code", F.lit(0)) + 1).alias("c"))
-    rows = filled.groupBy(F.floor(F.col("id") / CHUNK).alias("chunk")).agg(F.array_join(F.transform(F.sort_array(F.collect_list(cell)), lambda x: x["c"]), "").alias("s"))
-    text = "".join(r["s"] for r in sorted(rows.collect(), key=lambda r: r["chunk"]))
-    return F.lit(bytearray(text.encode("ascii")))
+    joined = lambda cells: F.array_join(F.transform(F.sort_array(F.collect_list(cells)), lambda x: x["c"]), "")
+    rows = filled.groupBy(F.floor(F.col("id") / CHUNK).alias("id")).agg(joined(cell).alias("c"))
+    return written(rows.agg(joined(F.struct("id", "c")).cast("binary").alias("packed")), name)
 
 
 def _code(table: Column, place: Column) -> Column:
     return F.ascii(F.substring(table, place.cast("int") + 1, F.lit(1)).cast("string")) - 1
 
 
-def _rarity(docs: DataFrame, text: str) -> Column:
+def _rarity(docs: DataFrame, text: str) -> DataFrame:
     """The table of log counts, 0 to 125."""
     words = docs.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))).alias("w"))
     counts = words.groupBy(_hash(F.col("w")).bitwiseAND(COUNTERS - 1).alias("place")).agg(F.count(F.lit(1)).alias("n"))
-    return _packed(counts.select("place", F.least(F.lit(125), F.round(F.log2("n") * 4)).cast("int").alias("code")), COUNTERS)
+    return _packed(counts.select("place", F.least(F.lit(125), F.round(F.log2("n") * 4)).cast("int").alias("code")), COUNTERS, "rarity")
 
 
-def _keys(line: Column, rarity: Column) -> Column:
-    """A line's distinct words as sorted longs: rarity in the high byte, hash below."""
+def _with_keys(lines: DataFrame, rarity: DataFrame) -> DataFrame:
+    """``lines`` with ``keys`` in place of ``line``: its distinct words as sorted longs, rarity in the high byte, hash below.
+
+    The table comes in as a scalar subquery: one value for each executor, which is part of no row and of no plan's text.
+    """
+    line = F.col("line")
+    table = F.col("_rarity")
     hashes = F.array_distinct(F.transform(F.regexp_extract_all(F.lower(line), F.lit(WORD), F.lit(0)), _hash))
-    key = lambda h: F.shiftleft(_code(rarity, h.bitwiseAND(COUNTERS - 1)).cast("long"), 56).bitwiseOR(h.bitwiseAND((1 << 56) - 1))
-    return F.sort_array(F.transform(hashes, key))
+    key = lambda h: F.shiftleft(_code(table, h.bitwiseAND(COUNTERS - 1)).cast("long"), 56).bitwiseOR(h.bitwiseAND((1 << 56) - 1))
+    others = [c for c in lines.columns if c != "line"]
+    return lines.withColumn("_rarity", rarity.scalar()).select(*others, F.sort_array(F.transform(hashes, key)).alias("keys"))
 
 
 def _lines(docs: DataFrame, text: str) -> DataFrame:
@@ -77,7 +83,7 @@ def similar_lines(docs: DataFrame, text: str = "text", percent: int = 90) -> Dat
     """
     docs = docs.select("doc_id", text)
     rarity = _rarity(docs, text)
-    keyed = _lines(docs, text).select("doc_id", "line_no", _keys(F.col("line"), rarity).alias("keys"))
+    keyed = _with_keys(_lines(docs, text), rarity)
     n = F.size("keys")
     prefix = n - _ceil(n * percent, 100) + 1
     bits = F.aggregate("keys", F.lit(0).cast("long"), lambda acc, k: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(63).cast("int"))))
@@ -103,10 +109,10 @@ def similar_lines(docs: DataFrame, text: str = "text", percent: int = 90) -> Dat
     wanted = written(first.join(ends, "cls"), "ends")
     # a fixed-size map of the wanted lines keeps most others out of the join that finds their texts
     flag = F.xxhash64("doc_id", "line_no").bitwiseAND(LINE_FLAGS - 1)
-    flags = _packed(wanted.select(flag.alias("place")).distinct().withColumn("code", F.lit(1)), LINE_FLAGS)
-    maybe = _lines(docs, text).where(_code(flags, flag) == 1)
+    flags = _packed(wanted.select(flag.alias("place")).distinct().withColumn("code", F.lit(1)), LINE_FLAGS, "flags")
+    maybe = _lines(docs, text).where(_code(flags.scalar(), flag) == 1)
     same = (maybe["doc_id"].eqNullSafe(wanted["doc_id"])) & (maybe["line_no"] == wanted["line_no"])
-    sets = maybe.join(wanted, same).select("cls", wanted["doc_id"], wanted["line_no"], _keys(F.col("line"), rarity).alias("keys"))
+    sets = _with_keys(maybe.join(wanted, same).select("cls", wanted["doc_id"], wanted["line_no"], "line"), rarity)
     sets = sets.where(F.xxhash64("keys") == F.col("cls"))
     side = lambda s: sets.select(F.col("cls").alias(f"cls_{s}"), F.struct("doc_id", "line_no").alias(f"at_{s}"), F.col("keys").alias(f"keys_{s}"))
     checked = pairs.join(side("a"), "cls_a").join(side("b"), "cls_b")
