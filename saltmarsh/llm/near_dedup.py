@@ -260,3 +260,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
 def op4_near_dedup(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), words=3, percent=85)
+
+
+#: For tables of test size: the join of equal shingles is quadratic in a family.
+ORACLE_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, CASE WHEN len(w) >= 3 THEN list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i+2], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM w),
+u AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM g),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n + b.n AS n, count(*) AS k FROM u a JOIN u b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c WHERE 100 * k >= 85 * (n - k)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS node, doc_id AS root FROM g UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node),
+m AS (SELECT node, min(root) AS root FROM r GROUP BY node)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, root AS component_id, doc_id = root AS kept FROM g JOIN m ON doc_id = node"""
