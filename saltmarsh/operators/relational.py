@@ -16,8 +16,8 @@ def last_days(df: DataFrame, time: str, days: int, as_of: Column) -> DataFrame:
 def newer_than(df: DataFrame, time: str, mark: DataFrame) -> DataFrame:
     """Rows newer than the one value in ``mark`` (all rows if it is null): the incremental read after a stored maximum."""
     (column,) = mark.columns
-    one = F.broadcast(mark.agg(F.max(column).alias("_mark")))  # one row
-    return df.join(one, F.col("_mark").isNull() | (F.col(time) > F.col("_mark"))).drop("_mark")
+    newest = mark.agg(F.max(column)).scalar()
+    return df.where(newest.isNull() | (F.col(time) > newest))
 
 
 def equi_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], how: str = "inner", null_safe: bool = False, suffix: str = "_y") -> DataFrame:
@@ -85,8 +85,7 @@ def last_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int =
 
 def without_first(df: DataFrame, position: str) -> DataFrame:
     """Drops the row with the smallest position: a table's cumulative first row."""
-    least = F.broadcast(df.agg(F.min(position).alias("_least")))  # one row
-    return df.join(least, F.col(position) > F.col("_least")).drop("_least")
+    return df.where(F.col(position) > df.agg(F.min(position)).scalar())
 
 
 def rolling_sum(df: DataFrame, value: str, order: list[str], rows: int, name: str, by: list[str] | None = None) -> DataFrame:

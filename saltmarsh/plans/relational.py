@@ -74,9 +74,7 @@ def dropna_subset(lineitem: DataFrame) -> DataFrame:
 
 @query("SELECT event_id, ts FROM events WHERE ts > (SELECT max(ts) FROM events) - INTERVAL 7 DAY")
 def filter_last_n_days(events: DataFrame) -> DataFrame:
-    # the newest time is one row: the scan of events keeps its own columns
-    newest = F.broadcast(events.agg(F.max("ts").alias("as_of")))
-    return op.last_days(events.select("event_id", "ts").join(newest), "ts", 7, F.col("as_of")).drop("as_of")
+    return op.last_days(events.select("event_id", "ts"), "ts", 7, events.agg(F.max("ts")).scalar())
 
 
 @query("""SELECT event_id, ts, value FROM events WHERE event_type = 'error' AND value >= 30
