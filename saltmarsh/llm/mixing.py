@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from .shared import written
 
 BLOCK_ROWS = 500
+#: Most sources whose tables (a row for each source) are broadcast; beyond it the joins with them shuffle.
+BROADCAST_SOURCES = 10_000
 #: The weights of the first, second, third, fourth ... source.
 WEIGHTS = (5.0, 2.0, 1.0)
 
@@ -93,8 +95,9 @@ def mix(docs: DataFrame, size: Column, source: str = "source", key: str = "doc_i
     for r, t in zip(found_rows, goal):
         passes = int(t // r["words"]) if r["words"] else 0
         plan.append((r["_source"], r["words"], t, passes, round(t) - passes * r["words"], max(1, -(-r["rows"] // BLOCK_ROWS))))
-    # a row for each source; Spark broadcasts it if it is small, as it is but for very many sources
-    sources = spark.createDataFrame(plan, "_source string, _source_size long, _target double, _passes int, _part long, _blocks long")
+    # broadcast, so that rows are not dealt by source, where a hot source would be one task
+    small = F.broadcast if len(plan) <= BROADCAST_SOURCES else lambda df: df
+    sources = small(spark.createDataFrame(plan, "_source string, _source_size long, _target double, _passes int, _part long, _blocks long"))
     dealt = sized.join(sources, "_source").withColumn("_block", F.pmod("_key", "_blocks"))
     blocks = written(dealt.groupBy("_source", "_block", "_passes", "_part").agg(F.sum("_size").alias("_words")), "blocks")
     order = F.xxhash64(F.lit(seed), F.lit("part"), "_source", "_block")
@@ -106,7 +109,7 @@ def mix(docs: DataFrame, size: Column, source: str = "source", key: str = "doc_i
     names = [p[0] for p in plan]
     tree = splitting_tree([int(quota[n]) for n in names], n_shards, seed) if names else []
     ends = [(n, np.cumsum([shard[i] for shard in tree]).tolist()) for i, n in enumerate(names)]
-    ranges = spark.createDataFrame(ends, "_source string, _ends array<long>")
+    ranges = small(spark.createDataFrame(ends, "_source string, _ends array<long>"))
     draws = blocks.where(drawn > 0).select("_source", "_block", "_need", F.col("_passes").alias("_whole"), F.explode(F.sequence(F.lit(1), drawn)).alias("_pass"))
     shuffled = Window.partitionBy("_source").orderBy(F.xxhash64(F.lit(seed), F.lit("draw"), "_source", "_block", "_pass"), "_block", "_pass")
     draws = draws.withColumn("_rank", F.row_number().over(shuffled) - 1).join(ranges, "_source")
