@@ -9,8 +9,11 @@
    the length filter, the positional filter (the words behind the shared one must suffice for the overlap), and a 64-bit
    map of each set (more bits that differ than words may differ rule a pair out). These are conditions of the join, so
    pairs that fail them are never rows.
-4. The lines of the pairs left are tokenised again and their Jaccard similarity is verified.
-5. A line goes if a line before it (by document id, then line number) has an equal or similar word set.
+4. That an earlier line matches is all that need be known of a line. So each class first meets only the earliest class
+   that has one of its prefix words, which is a row for each of its words. Near copies of one line are settled by that,
+   and the join of step 3 is left with the pairs whose later class is still open.
+5. The lines of candidate pairs are tokenised again and their Jaccard similarity is verified.
+6. A line goes if a line before it (by document id, then line number) has an equal or similar word set.
 """
 
 from __future__ import annotations
@@ -73,6 +76,27 @@ def _ceil(a: Column, b: int) -> Column:
     return F.floor((a + (b - 1)) / b).cast("int")
 
 
+def _later(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str, rarity: DataFrame, percent: int) -> DataFrame:
+    """(cls): of each pair (cls_a, cls_b) whose whole sets match, the class whose first line is the later one."""
+    pairs = written(pairs, "pairs")
+    ends = pairs.select(F.col("cls_a").alias("cls")).union(pairs.select(F.col("cls_b").alias("cls"))).distinct()
+    wanted = written(classes.select("cls", F.col("at.doc_id").alias("doc_id"), F.col("at.line_no").alias("line_no")).join(ends, "cls"), "ends")
+    # a fixed-size map of the wanted lines keeps most others out of the join that finds their texts
+    flag = F.xxhash64("doc_id", "line_no").bitwiseAND(LINE_FLAGS - 1)
+    flags = _packed(wanted.select(flag.alias("place")).distinct().withColumn("code", F.lit(1)), LINE_FLAGS, "flags")
+    maybe = _lines(docs, text).where(_code(flags.scalar(), flag) == 1)
+    same = (maybe["doc_id"].eqNullSafe(wanted["doc_id"])) & (maybe["line_no"] == wanted["line_no"])
+    sets = _with_keys(maybe.join(wanted, same).select("cls", wanted["doc_id"], wanted["line_no"], "line"), rarity)
+    sets = sets.where(F.xxhash64("keys") == F.col("cls"))
+    side = lambda s: sets.select(F.col("cls").alias(f"cls_{s}"), F.struct("doc_id", "line_no").alias(f"at_{s}"), F.col("keys").alias(f"keys_{s}"))
+    checked = pairs.join(side("a"), "cls_a").join(side("b"), "cls_b")
+    common = F.size(F.array_intersect("keys_a", "keys_b"))
+    matched = checked.where(100 * common >= percent * (F.size("keys_a") + F.size("keys_b") - common))
+    later = written(matched.select(F.when(F.col("at_a") > F.col("at_b"), F.col("cls_a")).otherwise(F.col("cls_b")).alias("cls")).distinct(), "later")
+    dropped(pairs, wanted, flags)
+    return later
+
+
 def similar_lines(docs: DataFrame, text: str = "text", percent: int = 90) -> DataFrame:
     """(doc_id, n_lines, n_removed, removed) for each document; removed: array of the numbers (from 0) of lines that go.
 
@@ -91,40 +115,32 @@ def similar_lines(docs: DataFrame, text: str = "text", percent: int = 90) -> Dat
         keyed.select("doc_id", "line_no", n.alias("n"), F.when(n > 0, F.xxhash64("keys")).alias("cls"), F.slice("keys", F.lit(1), F.greatest(prefix, F.lit(0))).alias("prefix"), bits.alias("bits")),
         "lines",
     )
-    classes = lines.where("n > 0").groupBy("cls").agg(F.min(F.struct("doc_id", "line_no", "n", "prefix", "bits")).alias("f")).select("cls", "f.*")
-    words = classes.select("cls", "n", "bits", F.posexplode("prefix").alias("pos", "word"))
-    index_prefix = F.col("n") - _ceil(2 * percent * F.col("n"), 100 + percent) + 1
-    large = words.select("word", *(F.col(c).alias(f"{c}_a") for c in ("cls", "n", "bits", "pos")))
-    small = words.where(F.col("pos") < index_prefix).select("word", *(F.col(c).alias(f"{c}_b") for c in ("cls", "n", "bits", "pos")))
+    found = lines.where("n > 0").groupBy("cls").agg(F.min(F.struct("doc_id", "line_no", "n", "prefix", "bits")).alias("f"))
+    classes = written(found.select("cls", F.struct("f.doc_id", "f.line_no").alias("at"), "f.n", "f.prefix", "f.bits"), "classes")
+    words = classes.select("cls", "at", "n", "bits", F.posexplode("prefix").alias("pos", "word"))
+    sided = lambda df, s: df.select("word", *(F.col(c).alias(f"{c}_{s}") for c in df.columns if c != "word"))
     both = F.col("n_a") + F.col("n_b")
     overlap = _ceil(percent * both, 100 + percent)
-    length = (F.col("n_b") < F.col("n_a")) | ((F.col("n_b") == F.col("n_a")) & (F.col("cls_b") < F.col("cls_a")))
-    length = length & (100 * F.col("n_b") >= percent * F.col("n_a"))
+    length = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
     positional = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) >= overlap
     maps = F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b"))) <= both - 2 * overlap
-    joined = large.join(small, (large["word"] == small["word"]) & length & positional & maps)
-    pairs = written(joined.select("cls_a", "cls_b").distinct(), "pairs")
-    first = classes.select("cls", "doc_id", "line_no")
-    ends = pairs.select(F.col("cls_a").alias("cls")).union(pairs.select(F.col("cls_b").alias("cls"))).distinct()
-    wanted = written(first.join(ends, "cls"), "ends")
-    # a fixed-size map of the wanted lines keeps most others out of the join that finds their texts
-    flag = F.xxhash64("doc_id", "line_no").bitwiseAND(LINE_FLAGS - 1)
-    flags = _packed(wanted.select(flag.alias("place")).distinct().withColumn("code", F.lit(1)), LINE_FLAGS, "flags")
-    maybe = _lines(docs, text).where(_code(flags.scalar(), flag) == 1)
-    same = (maybe["doc_id"].eqNullSafe(wanted["doc_id"])) & (maybe["line_no"] == wanted["line_no"])
-    sets = _with_keys(maybe.join(wanted, same).select("cls", wanted["doc_id"], wanted["line_no"], "line"), rarity)
-    sets = sets.where(F.xxhash64("keys") == F.col("cls"))
-    side = lambda s: sets.select(F.col("cls").alias(f"cls_{s}"), F.struct("doc_id", "line_no").alias(f"at_{s}"), F.col("keys").alias(f"keys_{s}"))
-    checked = pairs.join(side("a"), "cls_a").join(side("b"), "cls_b")
-    common = F.size(F.array_intersect("keys_a", "keys_b"))
-    matched = checked.where(100 * common >= percent * (F.size("keys_a") + F.size("keys_b") - common))
-    later = matched.select(F.when(F.col("at_a") > F.col("at_b"), F.col("cls_a")).otherwise(F.col("cls_b")).alias("cls")).distinct()
-    verdict = written(first.join(later.withColumn("late", F.lit(True)), "cls", "left").withColumnsRenamed({"doc_id": "d", "line_no": "l"}), "verdict")
+    alike = length & positional & maps
+    lead = words.groupBy("word").agg(F.min(F.struct("at", "cls", "n", "bits", "pos")).alias("f"), F.count(F.lit(1)).alias("m")).where("m > 1").select("word", "f.*")
+    near_lead = sided(words, "a").join(sided(lead, "b"), "word").where(alike & (F.col("cls_a") != F.col("cls_b")))
+    settled = _later(near_lead.select("cls_a", "cls_b").distinct(), classes, docs, text, rarity, percent)
+    marked = words.join(settled.withColumn("settled", F.lit(True)), "cls", "left").withColumn("open", F.col("settled").isNull()).drop("settled")
+    index_prefix = F.col("n") - _ceil(2 * percent * F.col("n"), 100 + percent) + 1
+    small = sided(marked.where(F.col("pos") < index_prefix), "b")
+    smaller = (F.col("n_b") < F.col("n_a")) | ((F.col("n_b") == F.col("n_a")) & (F.col("cls_b") < F.col("cls_a")))
+    undecided = F.when(F.col("at_a") > F.col("at_b"), F.col("open_a")).otherwise(F.col("open_b"))
+    rest = sided(marked, "a").join(small, "word").where(smaller & alike & undecided)
+    late = settled.union(_later(rest.select("cls_a", "cls_b").distinct(), classes, docs, text, rarity, percent))
+    first = classes.select("cls", F.col("at.doc_id").alias("d"), F.col("at.line_no").alias("l"))
+    verdict = written(first.join(late.distinct().withColumn("late", F.lit(True)), "cls", "left"), "verdict")
     judged = lines.select("doc_id", "line_no", "cls").join(verdict, "cls", "left")
     is_first = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("line_no") == F.col("l"))
     goes = F.col("cls").isNotNull() & (F.coalesce("late", F.lit(False)) | ~is_first)
     by_doc = judged.groupBy("doc_id").agg(F.max("line_no").alias("last"), F.sort_array(F.collect_set(F.when(goes, F.col("line_no")))).alias("removed"))
-    dropped(pairs, wanted)
     return by_doc.select("doc_id", (F.col("last") + 1).cast("long").alias("n_lines"), F.size("removed").cast("long").alias("n_removed"), "removed")
 
 
