@@ -6,7 +6,7 @@ between neighbouring words' languages are learned with them. Forward-backward gi
 language is the one with the most posterior words, its score their share.
 
 Training: the model is fitted on the driver, by gradient ascent on the likelihood of sequences spliced from a bounded
-sample of labelled rows (``SAMPLE_DOCS`` texts for each language, chosen by text hash, ``TRAIN_WORDS`` words), so that it
+sample of labelled rows (``SAMPLE_DOCS`` different texts for each language, chosen by text hash, ``TRAIN_WORDS`` words), so that it
 also sees changes of language. The bound does not depend on the table. The fitted model is about 1.5 MB.
 
 Prediction runs inside tasks on the bytes of whole texts. Long chains are cut into pieces of 32 words whose transfer
@@ -15,6 +15,7 @@ matrices are computed side by side and then chained, which is exact and costs a
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -251,19 +252,34 @@ def _predict(model):
 
 
 def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang") -> Model | None:
-    """A model from the rows where ``learn`` holds and text and label are given; None if there are none."""
+    """A model from the rows where ``learn`` holds and text and label are given; None if there are none.
+
+    Each language gives its ``SAMPLE_DOCS`` different texts of the smallest hashes, or all of them if it has fewer,
+    however often they are repeated.
+    """
     rows = docs.where(F.coalesce(learn, F.lit(False)) & F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = {r["lang"]: r["n"] for r in rows.groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not counts:
+    key = F.shiftrightunsigned(F.xxhash64(F.lit(5), text), 1)
+    keyed = rows.select(F.col(lang).alias("lang"), key.alias("h"), F.col(text).alias("t"))
+    # different texts by the bits of their hash: the fewest bits that hold SAMPLE_DOCS of a language hold under twice as many, about
+    bits = keyed.select("lang", "h").distinct().groupBy("lang", F.length(F.bin("h")).alias("bits")).agg(F.count(F.lit(1)).alias("n"))
+    least, held = {}, Counter()
+    for r in sorted(bits.collect(), key=lambda r: r["bits"]):
+        if held[r["lang"]] < SAMPLE_DOCS:
+            least[r["lang"]] = r["bits"]
+            held[r["lang"]] += r["n"]
+    if not least:
         return None
-    wide = 1 << 30
-    share = F.lit(0)
-    for name, n in counts.items():
-        share = F.when(F.col(lang) == name, -(-wide * SAMPLE_DOCS // n)).otherwise(share)
-    chosen = rows.where(F.pmod(F.xxhash64(F.lit(5), text), F.lit(wide)) < share)
-    sample = chosen.groupBy(F.col(lang).alias("lang"), F.xxhash64(text).alias("h")).agg(F.min(text).alias("t"))
-    sample = sorted((r["lang"], r["h"], r["t"]) for r in sample.limit(4 * SAMPLE_DOCS * len(counts)).collect())
-    return fit([t for _, _, t in sample], [x for x, _, _ in sample])
+    most = F.lit(-1)
+    for name, n in least.items():
+        most = F.when(F.col("lang") == name, F.lit((1 << n) - 1)).otherwise(most)
+    sample = keyed.where(F.col("h") <= most).groupBy("lang", "h").agg(F.min("t").alias("t"))
+    nth = Counter()
+    chosen = []
+    for name, h, t in sorted((r["lang"], r["h"], r["t"]) for r in sample.collect()):
+        nth[name] += 1
+        if nth[name] <= SAMPLE_DOCS:
+            chosen.append((name, h, t))
+    return fit([t for _, _, t in chosen], [x for x, _, _ in chosen])
 
 
 def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
