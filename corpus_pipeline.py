@@ -12,16 +12,14 @@ from pyspark.sql import functions as F
 from saltmarsh.llm import decontam, langid, mixing, near_dedup, sharding
 from saltmarsh.llm.shared import written
 
-#: A document whose best language has fewer of its words than this is rejected, and so is one without letters.
-LEAST_SHARE = 0.4
 N_SHARDS = 24
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents in no learned language: no letters, or no language with 40 % of the words."""
+    """Rejects documents without letters, and all if no language could be learned. Texts of several languages stay."""
     model = langid.train(docs, F.lit(True))
     found = langid.identify(docs, model)
-    return found.where((F.col("_lang") != langid.UNKNOWN) & (F.col("_score") >= LEAST_SHARE)).select(docs.columns)
+    return found.where(F.col("_lang") != langid.UNKNOWN).select(docs.columns)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
