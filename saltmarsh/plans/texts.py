@@ -122,3 +122,8 @@ def json_extract(events: DataFrame) -> DataFrame:
 @query("SELECT doc_id, '[' || left(text, 20) || ']' AS out FROM documents")
 def udf_text_transform(documents: DataFrame) -> DataFrame:
     return transformed(documents.select("doc_id", F.left("text", F.lit(20)).alias("t")), "t", "[{}]".format, "out").drop("t")
+
+
+@query("SELECT doc_id, CASE WHEN text <> '' THEN '[' || text || ']' ELSE '' END AS out FROM documents")
+def udf_text_transform_whole(documents: DataFrame) -> DataFrame:
+    return transformed(documents.select("doc_id", "text"), "text", "[{}]".format, "out").drop("text")
