@@ -37,9 +37,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix draws it; the one document of a source that is drawn in part stands whole."""
+    """Each document as often as the mix draws it, shard by shard and shuffled inside each; the one document of a source
+    that is drawn in part stands whole.
+    """
     mixed = mixing.mix(docs, mixing.word_count())
-    return mixed.withColumn("_draw", F.explode("_draws")).select(docs.columns)
+    return mixing.laid_out(mixed).select(docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

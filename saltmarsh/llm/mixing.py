@@ -127,6 +127,14 @@ def mix(docs: DataFrame, size: Column, source: str = "source", key: str = "doc_i
     return out.drop("_source", "_key", "_blocks", "_block", "_passes", "_part", "_need", "_all", "_rest")
 
 
+def laid_out(mixed: DataFrame) -> DataFrame:
+    """The draws of ``mix``, a row for each, in the struct _draw instead of _draws: a shard's draws lie in one partition,
+    in the order of the shuffle. A partition may hold several shards, one after another.
+    """
+    drawn = mixed.withColumn("_draw", F.explode("_draws")).drop("_draws")
+    return drawn.repartition(F.col("_draw.shard")).sortWithinPartitions("_draw.shard", "_draw.order")
+
+
 def word_count(text: str = "text") -> Column:
     """Runs of characters that are no ASCII white space; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")

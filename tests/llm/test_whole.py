@@ -5,7 +5,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from saltmarsh.llm import langid
+from saltmarsh.llm import langid, mixing
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -33,3 +33,21 @@ def test_pipeline_keeps_clean_documents_of_several_languages(spark):
     assert len(langs) > 2
     kept = {r["doc_id"] for r in pipeline.language_id(spark, table.unionByName(more), SF).select("doc_id").collect()}
     assert set(planted) <= kept
+
+
+def test_mixed_rows_lie_by_shard_and_shuffled(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    draws = {}
+    for r in mixing.mix(docs, mixing.word_count()).select("doc_id", "_draws").collect():
+        for d in r["_draws"]:
+            draws.setdefault(d["shard"], []).append((d["order"], r["doc_id"]))
+    order = {s: [i for _, i in sorted(x)] for s, x in draws.items()}
+    parts = {}
+    for r in pipeline.mix_sources(spark, docs, SF).select("doc_id", F.spark_partition_id().alias("p")).collect():
+        parts.setdefault(r["p"], []).append(r["doc_id"])
+    for ids in parts.values():  # each partition is whole shards, one after another
+        for s in sorted(order):
+            if ids[: len(order[s])] == order[s]:
+                ids[: len(order.pop(s))] = []
+        assert not ids
+    assert len(draws) > 1 and not order
