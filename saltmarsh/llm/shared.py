@@ -13,13 +13,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: dict[str, str] = {}
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a temporary one where the session names none (tests, local mode)."""
+    """The folder named in ``spark.checkpoint.dir``. In local mode, a temporary one where the session names none."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN:
         _OWN[app] = tempfile.mkdtemp(prefix="saltmarsh-")
@@ -27,10 +30,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back; the table goes when the driver exits."""
+    """Write ``df`` as Parquet into the shared folder and read it back; the table goes when the driver exits.
+
+    Nothing reads the write's shuffles again, so they are removed as soon as it is done.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     atexit.register(_drop, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
