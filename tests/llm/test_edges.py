@@ -1,6 +1,8 @@
 """Nulls in any column, empty and very long texts, ties, repeated rows, empty tables, extra columns with clashing names."""
 
+import math
 import re
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -252,10 +254,27 @@ def test_top_k(spark):
     found = sorted(tuple(r) for r in topk.top_k(vectors(spark, rows), asks, 3).collect())
     one = 256 * 256 + 128 * 128
     assert found == [(0, 1, 2, one), (0, 2, 3, one), (0, 3, 50, 128 * 256), (50, 1, 0, 128 * 256), (50, 2, 2, 128 * 256), (50, 3, 3, 128 * 256)]
+    large = [(0, [1.0, 1.0], 0), (1, [2.0, 2.0], 0), (2, [1e7, 1.0], 0), (3, [3e38, 3e38], 0), (4, [3e38, 2e38], 0), (5, [-3e38, 0.0], 0), (50, [-1e30, 0.0], 0), (100, [], 0), (101, [], 0)]
+    found = sorted(tuple(r) for r in topk.top_k(vectors(spark, large), asks, 9).collect())
+    top, low = 2**63 - 1, -(2**63)
+    assert [r[2:] for r in found if r[0] == 0] == [(3, top), (4, top), (2, 65536 * 10_000_001), (1, 4 * 65536), (50, low), (5, low)]
+    assert [r[2] for r in found if r[0] == 50] == [5, 0, 1, 2, 3, 4] and [r for r in found if r[0] == 100] == [(100, 1, 101, 0)]
     assert topk.top_k(vectors(spark, []), asks).count() == 0
     assert topk.top_k(vectors(spark, [(0, v, 1)]), asks).count() == 0
 
 
+@pytest.mark.parametrize("size", [0, 1, 3])
+def test_block_of_small_and_large_components_brute_force(size):
+    rng = np.random.default_rng(size)
+    for _ in range(30):
+        n = int(rng.integers(1, 60))
+        values = rng.normal(0, 1, (n, size)) * 10.0 ** rng.choice([0, 0, 0, 4, 12, 300], (n, 1))
+        ids, query = rng.integers(0, 40, n), rng.normal(0, 1, size) * 10.0 ** rng.choice([0, 6, 200])
+        whole = [[math.floor(Fraction(x) * 256) for x in v] for v in (*values.tolist(), query.tolist())]
+        score = [(sum(a * b for a, b in zip(v, whole[-1])), int(i)) for v, i in zip(whole, ids) if i != 7]
+        assert topk.Block(ids, values, 256).best(7, query, 5) == sorted(score, key=lambda x: (-x[0], x[1]))[:5]
+
+
 def test_top_k_over_many_blocks(spark, monkeypatch):
     rng = np.random.default_rng(1)
     data = rng.normal(0, 0.3, (400, 8)).astype(np.float32)
