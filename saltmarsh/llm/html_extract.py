@@ -1,7 +1,9 @@
 """Main text of web pages by minimum-cut labelling.
 
 A page is cut into blocks: runs of text between block-level tags, in page order. A linear classifier gives each block a
-score from its ancestors' tags and class words, its length and the share of its text inside links. In a flow network,
+score from its ancestors' tags and the words in their names, its length and the share of its text inside links. A word
+in a name weighs by how sure a sign it is and by its share of the name, and less on a paragraph than on a container; so
+it is one piece of evidence beside the article around a block and the blocks next to it. In a flow network,
 a block with a positive score is tied to the source by that capacity, one with a negative score to the sink; neighbours
 in page order, and neighbours among the blocks of one parent element, are tied to each other by smoothness edges. The
 minimum cut, found by max-flow, is the labelling with the least total of classifier costs and broken edges; the blocks
@@ -20,7 +22,7 @@ import html
 import re
 from collections import deque
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, types
@@ -30,26 +32,41 @@ from . import tokens
 
 # Names of HTML elements, and words in classes and ids.
 BLOCK = frozenset(
-    "address article aside blockquote body br button canvas caption center col colgroup dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hr html legend li link main menu meta nav ol optgroup option p pre section select summary table tbody td tfoot th thead title tr ul".split()
+    "address article aside blockquote body br button canvas caption center col colgroup dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hr html legend li link main menu meta nav ol optgroup option p pre section select summary table tbody td tfoot th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = frozenset("script style noscript template iframe object svg math title textarea select button canvas audio video map xmp noembed noframes datalist".split())
+#: Scripts, styles, form controls, and what is no part of the page shown. What is between their tags is no markup.
+SKIPPED = frozenset("script style template iframe title textarea select datalist xmp noembed noframes".split())
 CLOSES_P = BLOCK - frozenset("br button option optgroup link meta title caption col colgroup tbody td tfoot th thead tr".split())
 SAME = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
-BAD_TAGS = {"nav": 6.0, "footer": 6.0, "aside": 6.0, "form": 6.0, "header": 5.0, "menu": 5.0, "dialog": 6.0, "figcaption": 0.5, "head": 9.0, "fieldset": 4.0}
-GOOD_TAGS = {"article": 4.0, "main": 3.0}
+#: End tags of these close nothing outside the article or body that they stand in.
+INNER = frozenset("p div section li h1 h2 h3 h4 h5 h6".split())
+#: Elements that hold text and not parts of a page; their own names say little.
+TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 li dd dt td th pre blockquote figcaption caption".split())
+BAD_TAGS = {"nav": 4.0, "footer": 4.0, "aside": 4.0, "form": 4.0, "header": 4.0, "menu": 4.0, "dialog": 4.0, "head": 9.0, "fieldset": 2.0, "button": 4.0}
+GOOD_TAGS = {"article": 3.0, "main": 2.0}
+#: Words that name boilerplate wherever they stand in a name, and words that do so only as far as they make up the name.
 BAD_WORDS = frozenset(
-    "ad ads adv advert advertisement advertising adbox adsense banner breadcrumb breadcrumbs byline-share comment comments commentlist consent cookie cookies copyright disclaimer disqus feedback footer gdpr header login masthead menu modal nav navbar navigation navi newsletter notice notification overlay pager pagination pagenav paging popup promo promoted promotion recommend recommended related replies reply respond response responses search share sharing sidebar side-bar signin signup skip skyscraper social sponsor sponsored subscribe subscription tagcloud tags toolbar topbar trending widget widgets".split()
+    "ad ads adv advert advertisement advertising adbox adsense breadcrumb breadcrumbs comment comments commentlist cookie cookies disqus footer gdpr login masthead modal nav navbar navigation navi newsletter overlay pager pagination pagenav popup sidebar signin signup skyscraper sponsor sponsored subscribe subscription tagcloud toolbar topbar".split()
+)
+WEAK_WORDS = frozenset(
+    "banner consent copyright disclaimer feedback header menu notice notification paging promo promoted promotion recommend recommended related replies reply respond response responses search share sharing side skip social tags trending widget widgets".split()
 )
 GOOD_WORDS = frozenset("article articlebody body content entry main maintext post posttext story text".split())
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
+#: The classifier's weights: of words in names, of a role, of being hidden; of links, length, and a block's place.
+STRONG, WEAK, ROLE, HIDDEN = 5.0, 4.5, 4.0, 9.0
+LINKS, LENGTH, BIAS, HEADING, PARAGRAPH, ITEM, BARE = 2.5, 0.5, 0.7, 0.5, 0.5, 0.2, 0.4
+#: Smoothness: neighbours in page order under one parent, or whose parents are related; others; neighbours in a group; and
+#: the part of it that goes between unlike blocks.
+BROTHERS, NEAR, FAR, GROUP, CONTRAST = 0.7, 0.4, 0.15, 0.2, 0.8
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)",
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:-]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
-_WORD = re.compile(r"[a-z]+(?:-[a-z]+)*|[0-9]+")
+_WORD = re.compile(r"[a-z]+|[0-9]+")
 _CAMEL = re.compile(r"([a-z])([A-Z])")
 
 
@@ -60,7 +77,6 @@ class Element:
     bad: float = 0.0  # of this element and all above
     good: float = 0.0
     in_article: bool = False
-    blocks: list[int] = field(default_factory=list)
 
 
 @dataclass
@@ -70,46 +86,82 @@ class Block:
     parent: Element
     heading: bool
 
+    @property
+    def density(self) -> float:
+        return min(1.0, self.linked / len(self.text))
+
 
-def _attributes(source: str) -> tuple[frozenset[str], str, bool]:
-    """(words of class and id, role, hidden)."""
-    names, role, hidden = set(), "", False
+def _attributes(source: str) -> tuple[list[list[str]], str, bool]:
+    """(words of each name in class and id, role, hidden)."""
+    names, role, hidden = [], "", False
     for m in _ATTRIBUTE.finditer(source):
         name, value = m[1].lower(), m[2].strip("\"'")
         if name in ("class", "id"):
-            for part in _WORD.findall(_CAMEL.sub(r"\1-\2", value).lower().replace("_", "-")):
-                names.add(part)
-                names.update(part.split("-"))
+            names += [found for x in value.split() if (found := _WORD.findall(_CAMEL.sub(r"\1 \2", x).lower()))]
         elif name == "role":
             role = value.lower()
         elif name == "style":
             hidden = hidden or "display:none" in value.replace(" ", "").lower()
-    return frozenset(names), role, hidden or bool(re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", source))
+    return names, role, hidden or bool(re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", source))
+
+
+def _badness(words: list[str], textual: bool) -> float:
+    """How much a name speaks against content."""
+    bad = sum(w in BAD_WORDS for w in words)
+    weak = sum(w in WEAK_WORDS for w in words)
+    if bad and (not textual or bad + weak == len(words)):
+        return STRONG
+    return WEAK * (bad + weak) / len(words) * (0.5 if textual else 1.0)
 
 
 def _element(tag: str, attributes: str, parent: Element) -> Element:
-    names, role, hidden = _attributes(attributes) if attributes.strip(" /") else (frozenset(), "", False)
+    names, role, hidden = _attributes(attributes) if attributes.strip(" /") else ([], "", False)
     out = Element(tag, parent, parent.bad, parent.good, parent.in_article or tag in GOOD_TAGS)
     if tag in BAD_TAGS and not (tag == "header" and parent.in_article):
         out.bad += BAD_TAGS[tag]
     out.good = max(out.good, GOOD_TAGS.get(tag, 0.0))
     if tag not in ("body", "html", "article", "main"):
-        if names & BAD_WORDS:
-            out.bad += 6.0
+        if parent.in_article:  # an article's own header is part of it
+            names = [x for x in names if x != ["header"]]
+        out.bad += max((_badness(x, tag in TEXTUAL) for x in names), default=0.0)
         if role in BAD_ROLES:
-            out.bad += 6.0
+            out.bad += ROLE
     if hidden:
-        out.bad += 9.0
-    if names & GOOD_WORDS or role in ("main", "article"):
-        out.good = max(out.good, 2.0)
+        out.bad += HIDDEN
+    if role in ("main", "article") or any(w in GOOD_WORDS for x in names for w in x):
+        out.good = max(out.good, 1.5)
     return out
 
 
+class _Open:
+    """The open elements, outermost first, and where those of each name are, so that no end tag searches through them."""
+
+    def __init__(self) -> None:
+        self.stack = [Element("html", None)]
+        self.places: dict[str, list[int]] = {}
+
+    @property
+    def here(self) -> Element:
+        return self.stack[-1]
+
+    def last(self, *tags: str) -> int:
+        """The place of the innermost open element with one of these names; 0 if there is none."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def push(self, tag: str, attributes: str) -> None:
+        self.places.setdefault(tag, []).append(len(self.stack))
+        self.stack.append(_element(tag, attributes, self.here))
+
+    def close(self, place: int) -> None:
+        while len(self.stack) > place:
+            self.places[self.stack.pop().tag].pop()
+
+
 def blocks_of(page: str) -> list[Block]:
-    """The page's text blocks in order."""
-    root = Element("html", None)
-    here, out, pieces, linked, in_link = root, [], [], 0, 0
+    """The page's text blocks in order, in time proportional to the page."""
+    open_, out, pieces, linked, in_link = _Open(), [], [], 0, 0
     heading = False
+    unclosed: set[str] = set()  # skipped elements that have no end tag from here on
 
     def flush() -> None:
         nonlocal linked
@@ -117,8 +169,7 @@ def blocks_of(page: str) -> list[Block]:
             text = " ".join("".join(pieces).split())
             pieces.clear()
             if text:
-                here.blocks.append(len(out))
-                out.append(Block(text, linked, here, heading))
+                out.append(Block(text, linked, open_.here, heading))
         linked = 0
 
     at, n = 0, len(page)
@@ -145,43 +196,38 @@ def blocks_of(page: str) -> list[Block]:
                 in_link = max(0, in_link - 1)
             if tag in BLOCK:
                 flush()
-                e = here
-                while e.parent is not None and e.tag != tag:
-                    if e.tag in ("article", "body") and tag in ("p", "div", "section", "li", "h1", "h2", "h3", "h4", "h5", "h6", "span"):
-                        e = root  # a stray end tag closes no article
-                        break
-                    e = e.parent
-                if e.parent is not None and e.tag == tag:
-                    here = e.parent
+                place = open_.last(tag)
+                if place > (open_.last("article", "body") if tag in INNER else 0):  # a stray end tag closes no article
+                    open_.close(place)
                     in_link = 0
                 heading = False
             continue
         attributes = (m[3] if m[2] else m[6]) or ""
         if tag in SKIPPED:
-            if tag in BLOCK:
+            if tag in BLOCK or tag == "title":
                 flush()
-            if not attributes.endswith("/"):
+            if not attributes.endswith("/") and tag not in unclosed:
                 end = re.compile(f"</{re.escape(tag)}\\b[^>]*>", re.IGNORECASE).search(page, at)
-                # what is never closed: scripts and styles take the rest of the page, others are ignored
-                at = end.end() if end else n if tag in ("script", "style", "title", "textarea") else at
+                if end:
+                    at = end.end()
+                else:
+                    unclosed.add(tag)
+                    # what is never closed: scripts and styles take the rest of the page, others are ignored
+                    at = n if tag in ("script", "style", "title", "textarea") else at
             continue
         if tag == "a":
             in_link += 1
         if tag in BLOCK:
             flush()
             if tag in CLOSES_P:
-                e = here
-                while e.parent is not None and e.tag in ("p", "b", "i", "span"):
-                    e = e.parent
-                here = e
-            if tag in SAME:
-                e = here
-                while e.parent is not None and e.tag != tag and e.tag not in SAME[tag]:
-                    e = e.parent
-                if e.tag == tag:
-                    here = e.parent
+                place = len(open_.stack)
+                while open_.stack[place - 1].tag == "p":
+                    place -= 1
+                open_.close(place)
+            if tag in SAME and (place := open_.last(tag)) > open_.last(*SAME[tag]):
+                open_.close(place)
             if tag not in VOID:
-                here = _element(tag, attributes, here)
+                open_.push(tag, attributes)
                 heading = len(tag) == 2 and tag[0] == "h" and tag[1].isdigit()
     flush()
     return out
@@ -190,35 +236,38 @@ def blocks_of(page: str) -> list[Block]:
 def score(block: Block) -> float:
     """The classifier: positive for content."""
     size = len(block.text)
-    density = min(1.0, block.linked / size)
-    out = block.parent.good - block.parent.bad - 3.5 * density
-    out += 0.4 * min(6.0, (size / 40) ** 0.5) - 0.8
+    out = block.parent.good - block.parent.bad - LINKS * block.density + LENGTH * min(6.0, (size / 40) ** 0.5) - BIAS
     if block.heading:
-        out += 0.6
+        out += HEADING
     if block.parent.tag in ("p", "pre", "blockquote"):
-        out += 0.6
+        out += PARAGRAPH
     elif block.parent.tag in ("li", "td", "th", "dd", "dt"):
-        out -= 0.3
+        out -= ITEM
     elif block.parent.tag in ("html", "body"):
-        out -= 0.5
+        out -= BARE
     return out
 
 
 def edges(blocks: list[Block]) -> dict[tuple[int, int], float]:
-    """Smoothness: page order, stronger under one parent; and neighbours among one parent's blocks."""
+    """Smoothness: page order, stronger under one parent; neighbours among the blocks of one grandparent; less between unlike blocks."""
     out: dict[tuple[int, int], float] = {}
     for i in range(len(blocks) - 1):
         a, b = blocks[i].parent, blocks[i + 1].parent
-        near = a is b or a.parent is b.parent or a.parent is b or b.parent is a
-        out[i, i + 1] = 0.8 if near else 0.2
+        related = a.parent is b.parent or a.parent is b or b.parent is a
+        out[i, i + 1] = BROTHERS if a is b or a.parent is b.parent and a.tag == b.tag else NEAR if related else FAR
     groups: dict[int, list[int]] = {}
     for i, b in enumerate(blocks):
         above = b.parent.parent or b.parent
         groups.setdefault(id(above), []).append(i)
     for group in groups.values():
         for a, b in zip(group, group[1:]):
-            out[a, b] = out.get((a, b), 0.0) + 0.4
-    return out
+            out[a, b] = out.get((a, b), 0.0) + GROUP
+    return {(a, b): w * (1 - CONTRAST * _contrast(blocks[a], blocks[b])) for (a, b), w in out.items()}
+
+
+def _contrast(a: Block, b: Block) -> float:
+    """1 where only one block is all links, or their elements' names differ in badness; 0 where they are alike in both."""
+    return max(abs(a.density - b.density), min(1.0, abs(a.parent.bad - b.parent.bad) / 2))
 
 
 def minimum_cut(capacity: list[float], edge: dict[tuple[int, int], float]) -> list[bool]:

@@ -355,10 +355,59 @@ def test_page():
     html_extract.main_text('<a href="' * 5000)
 
 
+ARTICLE = "<body><article><h1>Head</h1><p>First paragraph that is long enough to count as one of an article.</p>%s</article><footer>c</footer></body>"
+FIRST = "Head First paragraph that is long enough to count as one of an article."
+
+
+@pytest.mark.parametrize(
+    "inside, kept",
+    [
+        ('<p id="related-work">Related work was done before by many.</p>', "Related work was done before by many."),
+        ('<div class="story-search-results">The search found many things.</div>', "The search found many things."),
+        ("<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> hold.</p>", "Let x=2 hold."),
+        ("<p>A <noscript>plain</noscript> <svg><text>drawn</text></svg> <audio>heard</audio> line.</p>", "A plain drawn heard line."),
+        ('<header class="header"><h2>Part two</h2></header>', "Part two"),
+        ('<p class="notice-of-death">He died in May.</p>', "He died in May."),
+        ('<section class="post-comments"><p>Great article, thank you very much for this, I will come again!</p></section>', ""),
+        ('<div class="related"><h3>Related</h3><ul><li><a href=x>One</a></li><li><a href=x>Two</a></li></ul></div>', ""),
+        ('<div class="notice">We have changed our terms.</div><p>Last.</p>', "Last."),
+        ('<div class="share-buttons"><button>Share</button></div>', ""),
+        ("<aside>See also the other one.</aside><form><label>Name</label><input></form>", ""),
+    ],
+)
+def test_parts_of_articles(inside, kept):
+    assert html_extract.main_text(ARTICLE % inside) == " ".join(filter(None, (FIRST, kept)))
+
+
+def test_the_cut_decides_where_the_classifier_is_unsure():
+    page = """<body><nav><a href=x>Home</a> <a href=y>About</a></nav><h1>Title</h1><p>Some long text that stands here without any article around it, and goes on.</p><p>So.</p>
+    <p><a href=z>Only a link</a></p><p>Another long paragraph that tells us more about the matter at hand, and ends.</p><div class=ad>Buy</div><footer>c 2020</footer>"""
+    blocks = html_extract.blocks_of(page)
+    alone = [html_extract.score(b) > 0 for b in blocks]
+    cut = html_extract.minimum_cut([html_extract.score(b) for b in blocks], html_extract.edges(blocks))
+    moved = [b.text for b, x, y in zip(blocks, alone, cut) if x != y]
+    assert moved == ["Title", "So."] and "Only a link" not in html_extract.main_text(page) and html_extract.main_text(page).startswith("Title Some long") and html_extract.main_text(page).endswith("and ends.")
+
+
+@pytest.mark.parametrize("part", ["<svg>x", "<template>x", "<select>x", "</p>x", "<li>x</li>", "</section>x", "<!-", "<a href='"])
+def test_time_is_linear_in_broken_pages(part):
+    import time
+
+    took = []
+    for n in (40_000, 160_000):
+        page = "<li><ul>" + "<div>" * (n // 8) + part * (n // len(part))
+        began = time.process_time()
+        html_extract.main_text(page)
+        took.append(time.process_time() - began)
+    assert took[1] < 8 * took[0] + 0.5
+
+
 def test_pages(spark):
     pages = spark.createDataFrame([(1, PAGE, "k"), (1, PAGE, "k"), (None, None, None)], "page_id long, html string, _text string")
     rows = html_extract.extract(pages).collect()
     assert len(rows) == 3 and rows[0] == rows[1] and rows[2]["_text"] == ""
+    odd = pages.withColumns({c: F.lit(1) for c in ("text", "url", "score", "n_chars")})
+    assert {tuple(r) for r in html_extract.extract(odd).select("page_id", "_text", "text").collect()} == {(r["page_id"], r["_text"], 1) for r in rows}
     assert html_extract.extract(pages.where("false")).count() == 0
 
 
