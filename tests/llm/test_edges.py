@@ -234,6 +234,39 @@ def test_pii(docs, empty, spark):
     assert pii.find_pii(docs).count() == len(ROWS) and pii.find_pii(empty).count() == 0
 
 
+@pytest.mark.parametrize("n", [255, 256, 257, 700])
+def test_many_matches_in_one_text(spark, n):
+    text = " ".join(f"é{i % 7} 10.0.{i % 300}.1 a{i}@b.org" for i in range(n))
+    r = pii.find_pii(spark.createDataFrame([(text,)], "text string")).first()
+    for kind in ("ip", "email"):
+        want = [(m.start(), m.end(), m.group()) for m in re.finditer(BASE[kind], text) if confirmed(kind, m.group())]
+        assert [(s["start"], s["end"], s["match"]) for s in r[f"pii_{kind}"]] == want
+
+
+def test_time_is_in_proportion_to_matches(spark):
+    import time
+
+    took = []
+    for n in (200, 5_000, 50_000):
+        df = spark.createDataFrame([(" ".join(f"10.0.{i % 256}.1" for i in range(n)),)], "text string")
+        began = time.perf_counter()
+        assert pii.find_pii(df).select(F.size("pii_ip")).first()[0] == n
+        took.append(time.perf_counter() - began)
+    assert took[2] < 20 * took[1] + 5
+
+
+@pytest.mark.parametrize(
+    "text, kind, score",
+    [
+        ("Mail: a@b.org", "email", 1.0), ("xmail a@b.org", "email", 0.9), ("host 10.0.0.1", "ip", 0.85), ("v 10.0.0.1", "ip", 0.6), ("my VISA 4111 1111 1111 1111", "card", 0.95),
+        ("4111 1111 1111 1111", "card", 0.7), ("call +49 30 123456", "phone", 0.95), ("phone" + "." * 41 + "+49 30 123456", "phone", 0.7), ("Account DE89370400440532013000", "iban", 1.0), ("x DE89370400440532013000", "iban", 0.8), ("ssn 123-45-6789", "ssn", 0.65),
+    ],
+)
+def test_words_nearby_raise_the_score(spark, text, kind, score):
+    (found,) = pii.find_pii(spark.createDataFrame([(text,)], "text string")).first()[f"pii_{kind}"]
+    assert found["score"] == pytest.approx(score)
+
+
 @pytest.mark.parametrize(
     "text, iban, ssn",
     [("pay GB82 WEST 1234 5698 7654 32 now", 1, 0), ("GB83 WEST 1234 5698 7654 32", 0, 0), ("DE89370400440532013000", 1, 0), ("my SSN is 123-45-6789", 0, 1), ("part 123-45-6789", 0, 0), ("ssn 000-45-6789", 0, 0)],
