@@ -6,6 +6,8 @@ Parquet and read again as the next one's ``docs``. All but the last return the c
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,8 +15,22 @@ from saltmarsh.llm import decontam, langid, mixing, near_dedup, sharding
 from saltmarsh.llm.shared import written
 
 N_SHARDS = 24
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _on_plain_names(stage):
+    """The stage with a table's further columns under names that no operator uses, and back under their own."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        others = {c: f"extra{i}" for i, c in enumerate(docs.columns) if c not in COLUMNS}
+        out = stage(spark, docs.withColumnsRenamed(others), sf_dir)
+        return out.withColumnsRenamed({plain: own for own, plain in others.items()})
 
+    return run
 
+
+@_on_plain_names
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without letters, and all if no language could be learned. Texts of several languages stay."""
     model = langid.train(docs, F.lit(True))
@@ -22,20 +38,29 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.where(F.col("_lang") != langid.UNKNOWN).select(docs.columns)
 
 
+@_on_plain_names
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group: five-word shingles, similarity 0.8. Rows without an id stay."""
-    found = near_dedup.near_duplicates(docs, words=5, percent=80)
-    kept = found.where(F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id")
-    one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.select(docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    """Keeps one document of each group, that with the smallest id: five-word shingles, similarity 0.8.
+
+    A document is a whole row here: rows that share an id but not a text are documents of their own, as are those without
+    an id, which stand behind the others; of rows that are equal in every column one stays.
+    """
+    keyed = docs.withColumn("_row", F.xxhash64(*docs.columns))
+    found = near_dedup.near_duplicates(keyed.select(F.col("_row").alias("doc_id"), "text"), words=5, percent=80).select(F.col("doc_id").alias("_row"), "component_id")
+    ids = keyed.select("_row", F.col("doc_id").isNull().alias("none"), "doc_id").distinct()
+    least = found.distinct().join(ids, "_row").groupBy("component_id").agg(F.min(F.struct("none", "doc_id", "_row")).alias("least"))
+    kept = keyed.join(least.select("least._row"), "_row", "left_semi")
+    return kept.dropDuplicates(["_row", *docs.columns]).select(docs.columns)
 
 
+@_on_plain_names
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of which benchmark windows cover a twentieth of the words or more."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontam.find_benchmark(docs, items).where(~decontam.contaminated()).select(docs.columns)
 
 
+@_on_plain_names
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix draws it, shard by shard and shuffled inside each; the one document of a source
     that is drawn in part stands whole.
@@ -60,7 +85,8 @@ STAGES = [
     ("sharding", shard),
 ]
 
-#: SQL can't express the language model, the mix's draws or the heap; the tests hold each stage against brute force.
+#: SQL can't express the language model, the mix's draws or the heap; tests/llm/test_stages.py holds the stages against
+#: brute-force versions.
 ORACLE_SQL = None
 
 

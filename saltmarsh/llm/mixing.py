@@ -13,7 +13,8 @@
    source from the source's permuted draws; ranges of ranks are disjoint, so no draw is used twice. Rows are then
    shuffled inside their shard by a random key.
 
-The driver holds numbers for sources times shards only. Rows are shuffled once, by (source, block).
+The driver holds numbers for sources times shards only. Rows are shuffled once, by (source, block). Blocks and draws are
+put in order in ranges of their hashes, so that a hot source's blocks are not all in one task.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 from .shared import written
 
 BLOCK_ROWS = 500
+#: Blocks, or draws, of a source that one task puts in order, on average.
+CELL_BLOCKS = 20_000
 #: Most sources whose tables (a row for each source) are broadcast; beyond it the joins with them shuffle.
 BROADCAST_SOURCES = 10_000
 #: The weights of the first, second, third, fourth ... source.
@@ -73,47 +76,60 @@ def splitting_tree(quotas: list[int], shards: int, seed: int) -> list[list[int]]
     return out
 
 
-def mix(docs: DataFrame, size: Column, source: str = "source", key: str = "doc_id", weights: tuple[float, ...] = WEIGHTS, cap: float = 3.0, n_shards: int = 64, seed: int = 7) -> DataFrame:
+def _before(df: DataFrame, order: Column, value: Column, cells: int, name: str) -> DataFrame:
+    """``df`` with ``name``: the sum of ``value`` over the rows of its _source that come before it, by the hash ``order``.
+
+    Rows lie in ``cells`` ranges of the hash; sums of ranges go first, so that no task has all of a hot source.
+    """
+    df = df.withColumns({"_order": F.shiftrightunsigned(order, 1), "_value": value.cast("long")})
+    df = df.withColumn("_cell", F.least(F.lit(cells - 1), F.floor(F.col("_order") / float(1 << 63) * cells)).cast("int"))
+    upto = lambda *keys: Window.partitionBy("_source", *keys[:-1]).orderBy(*keys[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    ties = [c for c in ("_block", "_pass") if c in df.columns]
+    inside = df.withColumn(name, F.coalesce(F.sum("_value").over(upto("_cell", ["_order", *ties])), F.lit(0)))
+    if cells > 1:
+        sums = df.groupBy("_source", "_cell").agg(F.sum("_value").alias("_sum"))
+        starts = sums.select("_source", "_cell", F.coalesce(F.sum("_sum").over(upto(["_cell"])), F.lit(0)).alias("_start"))
+        inside = inside.join(starts, ["_source", "_cell"]).withColumn(name, F.col(name) + F.col("_start")).drop("_start")
+    return inside.drop("_order", "_value", "_cell")
+
+
+def mix(docs: DataFrame, size: Column, source: str = "source", weights: tuple[float, ...] = WEIGHTS, cap: float = 3.0, n_shards: int = 64, seed: int = 7) -> DataFrame:
     """``docs`` with _size, _source_size, _target (double), _taken (long: words the mix takes of this row, repeats
     counted) and _draws: array of (shard int, words long, order long), one entry for each time the row is drawn.
 
     A source of no words has target 0; its rows, and rows of no words, may be drawn but add nothing. A null source is a
-    source. Repeated rows fall into one block and are drawn each by itself. A null size counts as 0. The result depends
-    on the table's content and the seed only. Other columns pass through; names with a leading ``_`` are this
+    source. Rows are dealt into blocks by the hash of all their columns, so rows without an id, or with one id, are spread;
+    rows that are equal in every column share a block and are drawn each by itself. A null size counts as 0. The result
+    depends on the table's content and the seed only. Other columns pass through; names with a leading ``_`` are this
     function's own. The number of sources must suit the driver, as the list of weights does.
     """
     spark = docs.sparkSession
-    sized = docs.withColumns({"_source": F.coalesce(F.concat(F.lit("s"), F.col(source).cast("string")), F.lit("")), "_size": F.coalesce(size, F.lit(0)).cast("long"), "_key": F.xxhash64(F.lit(seed), key)})
+    own = [f.name for f in docs.schema.fields if not f.name.startswith("_") and "map<" not in f.dataType.simpleString()]
+    sized = docs.withColumns({"_source": F.coalesce(F.concat(F.lit("s"), F.col(source).cast("string")), F.lit("")), "_size": F.coalesce(size, F.lit(0)).cast("long"), "_key": F.xxhash64(F.lit(seed), *own)})
     # 's' + name sorts as the name does; a null source is '' here and comes last
     found = sorted(sized.groupBy("_source").agg(F.sum("_size").alias("words"), F.count(F.lit(1)).alias("rows")).collect(), key=lambda r: (r[0] == "", r[0].encode()))
-    if not found:
-        found_rows, total = [], 0
-    else:
-        found_rows, total = found, sum(r["words"] for r in found)
-    goal = targets([r["words"] for r in found_rows], [weights[i % len(weights)] for i in range(len(found_rows))], total, cap)
+    goal = targets([r["words"] for r in found], [weights[i % len(weights)] for i in range(len(found))], sum(r["words"] for r in found), cap)
     plan = []
-    for r, t in zip(found_rows, goal):
+    for r, t in zip(found, goal):
         passes = int(t // r["words"]) if r["words"] else 0
         plan.append((r["_source"], r["words"], t, passes, round(t) - passes * r["words"], max(1, -(-r["rows"] // BLOCK_ROWS))))
+    cells = max([1, *(-(-p[5] // CELL_BLOCKS) for p in plan)])
     # broadcast, so that rows are not dealt by source, where a hot source would be one task
     small = F.broadcast if len(plan) <= BROADCAST_SOURCES else lambda df: df
     sources = small(spark.createDataFrame(plan, "_source string, _source_size long, _target double, _passes int, _part long, _blocks long"))
     dealt = sized.join(sources, "_source").withColumn("_block", F.pmod("_key", "_blocks"))
     blocks = written(dealt.groupBy("_source", "_block", "_passes", "_part").agg(F.sum("_size").alias("_words")), "blocks")
-    order = F.xxhash64(F.lit(seed), F.lit("part"), "_source", "_block")
-    before = Window.partitionBy("_source").orderBy(order, "_block").rowsBetween(Window.unboundedPreceding, -1)
-    need = F.col("_part") - F.coalesce(F.sum("_words").over(before), F.lit(0))
-    blocks = blocks.withColumn("_need", F.greatest(F.least(need, F.col("_words")), F.lit(0)))
+    ordered = _before(blocks, F.xxhash64(F.lit(seed), F.lit("part"), "_source", "_block"), F.col("_words"), cells, "_earlier")
+    needed = ordered.withColumn("_need", F.greatest(F.least(F.col("_part") - F.col("_earlier"), F.col("_words")), F.lit(0)))
     drawn = F.col("_passes") + F.when(F.col("_need") > 0, 1).otherwise(0)
-    quota = {r["_source"]: r["n"] for r in blocks.groupBy("_source").agg(F.sum(drawn).alias("n")).collect()}
+    quota = {r["_source"]: r["n"] for r in needed.groupBy("_source").agg(F.sum(drawn).alias("n")).collect()}
     names = [p[0] for p in plan]
     tree = splitting_tree([int(quota[n]) for n in names], n_shards, seed) if names else []
     ends = [(n, np.cumsum([shard[i] for shard in tree]).tolist()) for i, n in enumerate(names)]
     ranges = small(spark.createDataFrame(ends, "_source string, _ends array<long>"))
-    draws = blocks.where(drawn > 0).select("_source", "_block", "_need", F.col("_passes").alias("_whole"), F.explode(F.sequence(F.lit(1), drawn)).alias("_pass"))
-    shuffled = Window.partitionBy("_source").orderBy(F.xxhash64(F.lit(seed), F.lit("draw"), "_source", "_block", "_pass"), "_block", "_pass")
-    draws = draws.withColumn("_rank", F.row_number().over(shuffled) - 1).join(ranges, "_source")
-    draws = draws.withColumn("_shard", F.size(F.filter("_ends", lambda e: e <= F.col("_rank"))))
+    draws = needed.where(drawn > 0).select("_source", "_block", "_need", F.col("_passes").alias("_whole"), F.explode(F.sequence(F.lit(1), drawn)).alias("_pass"))
+    ranked = _before(draws, F.xxhash64(F.lit(seed), F.lit("draw"), "_source", "_block", "_pass"), F.lit(1), cells, "_rank").join(ranges, "_source")
+    draws = ranked.withColumn("_shard", F.size(F.filter("_ends", lambda e: e <= F.col("_rank"))))
     draws = draws.groupBy("_source", "_block").agg(F.max("_need").alias("_need"), F.sort_array(F.collect_list(F.struct(F.col("_pass").alias("pass"), F.col("_shard").alias("shard"), (F.col("_pass") <= F.col("_whole")).alias("whole")))).alias("_all"))
     joined = dealt.join(draws, ["_source", "_block"], "left")
     inside = Window.partitionBy("_source", "_block").orderBy(F.xxhash64(F.lit(seed), F.lit("row"), "_key"), "_key", "_size").rowsBetween(Window.unboundedPreceding, -1)
@@ -141,6 +157,10 @@ def word_count(text: str = "text") -> Column:
 
 
 def op1_mixing(spark, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", word_count().alias("words"))
+    """The mix of all documents; ``shards`` and ``orders``: where each draw of a document goes, and its place there."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", word_count().alias("words"), F.xxhash64("text").alias("check"))
     mixed = mix(docs, F.col("words"))
-    return mixed.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_taken").alias("taken"))
+    joined = lambda field: F.array_join(F.transform("_draws", lambda d: d[field].cast("string")), ",")
+    return mixed.select(
+        "doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_taken").alias("taken"), joined("shard").alias("shards"), joined("order").alias("orders")
+    )

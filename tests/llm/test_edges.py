@@ -53,6 +53,17 @@ def test_mixing(docs, empty):
     assert mixing.mix(empty, mixing.word_count()).count() == 0
 
 
+def test_mixing_in_ranges_is_the_same(spark, monkeypatch):
+    """Sums over ranges of hashes, against one walk; rows without an id are spread over blocks."""
+    rows = [(None if i % 3 else i, " ".join(["w"] * (i % 7)), "hot" if i % 4 else f"s{i % 5}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    monkeypatch.setattr(mixing, "BLOCK_ROWS", 10)
+    seen = lambda: sorted(map(str, mixing.mix(df, mixing.word_count()).select("doc_id", "text", "source", "_taken", "_draws", F.spark_partition_id() * 0).collect()))
+    whole = seen()
+    monkeypatch.setattr(mixing, "CELL_BLOCKS", 4)
+    assert seen() == whole
+
+
 def test_targets_are_capped():
     found = mixing.targets([10, 100, 1000], [5.0, 2.0, 1.0], 1110, 3.0)
     assert found[0] == 30 and found[1] == 300 and found[2] == pytest.approx(780)
