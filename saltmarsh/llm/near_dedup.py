@@ -9,11 +9,17 @@
    at similarity 0.85 shares no key with probability below 5e-7.
 3. Each key links its classes to its smallest one, which is a row for each class and key and never a pair for each two
    classes. The components of these links are *families*: all true links lie inside a family.
-4. A family's texts are brought together and compared inside a task. A large family is cut into blocks of bounded
-   size, and each two blocks meet in a task of their own. Inside, the sketches' collision-corrected Jaccard estimate
-   rules out pairs that are five standard errors below the threshold; pairs that links found so far join already need
-   no more work; all others are counted exactly on the full sets. A task returns at most one link for each text it has.
+4. A family's texts are brought together and compared inside a task. A large family is cut into blocks of bounded size.
+   First each block meets the family's first block only, which joins a group of near copies into one component, or a few.
+   Texts outside their family's largest component then meet all of its blocks; texts of one component need not meet. So
+   a group of m near copies takes about m / 500 tasks, and only a family that falls apart takes more.
+   Inside a task, the sketches' collision-corrected Jaccard estimate rules out pairs that are five standard errors below
+   the threshold; pairs that links found so far join already need no more work; all others are counted exactly on the
+   full sets. A task returns at most one link for each text it has.
 5. The components of the confirmed links are the result.
+
+Joins on keys that many rows may share (a set's key, a band, a family) read tables and not aggregates, so that Spark can
+split the partitions of hot keys.
 """
 
 from __future__ import annotations
@@ -22,13 +28,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
 from .components import components
 from .groups import gathered, groups
-from .shared import written
+from .shared import dropped, written
 
 REGISTERS, MANTISSA_BITS, BANDS, ROWS = 128, 10, 25, 5
 EMPTY = np.uint16(0xFFFF)
@@ -159,8 +165,10 @@ class _Forest:
         return p
 
 
-def _links_in_tile(node: np.ndarray, block: np.ndarray, values: np.ndarray, first: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links in a tile. Texts of two blocks are compared across the blocks only."""
+def _links_in_tile(node: np.ndarray, side: np.ndarray, joined: np.ndarray, values: np.ndarray, first: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links in a tile. Texts of two sides are compared across the sides only; texts with equal
+    ``joined`` not at all.
+    """
     n = len(node)
     size = np.diff(first)
     sketch = sketches(values, first)
@@ -168,11 +176,13 @@ def _links_in_tile(node: np.ndarray, block: np.ndarray, values: np.ndarray, firs
     mark = np.zeros(int(ids.max(initial=0)) + 1, bool)
     margin = percent / 100 - 5 * np.sqrt(percent / 100 * (1 - percent / 100) / REGISTERS)
     forest, out = _Forest(n), []
-    across = block[0] != block[-1]
+    _, lead, code = np.unique(joined, return_index=True, return_inverse=True)
+    forest.parent = lead[code]
+    across = len(np.unique(side)) > 1
     for u in range(n):
         later = np.arange(u + 1, n)
         if across:
-            later = later[block[later] != block[u]]
+            later = later[side[later] != side[u]]
         small, big = np.minimum(size[later], size[u]), np.maximum(size[later], size[u])
         later = later[100 * small >= percent * big]
         if not len(later):
@@ -200,8 +210,7 @@ def _compare(n: int, percent: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def links_of(tile: pa.Table) -> pa.RecordBatch:
-        node = tile["node"].to_numpy()
-        block = tile["block"].to_numpy()
+        node, side, joined = (tile[c].to_numpy() for c in ("node", "side", "joined"))
         wanted = np.stack([tile["k1"].to_numpy(), tile["k2"].to_numpy()], axis=1)
         sets, kept = [], []
         for i, j, words in tokens.sliced(tile["text"].combine_chunks(), tokens.WHITESPACE, lower=True):
@@ -211,15 +220,15 @@ def _compare(n: int, percent: int):
                 sets.append(values[first[k] : first[k + 1]])
                 kept.append(i + k)
         kept = np.array(kept, np.int64)
-        _, once = np.unique(node[kept], return_index=True)
-        once = once[np.argsort(block[kept[once]], kind="stable")]
+        _, once = np.unique(np.stack([node[kept], side[kept]]), axis=1, return_index=True)
+        once = once[np.argsort(side[kept[once]], kind="stable")]
         sets = [sets[k] for k in once]
         kept = kept[once]
         if len(kept) < 2:
             return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 2, schema=schema)
         first = np.zeros(len(sets) + 1, np.int64)
         np.cumsum([len(s) for s in sets], out=first[1:])
-        found = _links_in_tile(node[kept], block[kept], np.concatenate(sets), first, percent)
+        found = _links_in_tile(node[kept], side[kept], joined[kept], np.concatenate(sets), first, percent)
         return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,15 +254,37 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     families = components(rows.join(shared, "band").select(F.col("node").alias("a"), F.col("lead").alias("b")))
     families = families.union(families.select(F.col("component").alias("node"), "component").distinct())
     keys = named.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("n"))
-    members = keys.join(families.withColumnRenamed("component", "family"), "node")
-    sizes = members.groupBy("family").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_TEXTS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    placed = members.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    tiles = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "node", "k1", "k2", "family", "block", F.least("block", "other").alias("ti"), F.greatest("block", "other").alias("tj")
-    )
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(tiles, "node")
-    linked = components(gathered(texts, "family", "ti", "tj").mapInArrow(_compare(words, percent), "a long, b long"))
-    named_component = keys.join(linked, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component"))
+    members = written(keys.join(families.withColumnRenamed("component", "family"), "node"), "members")
+    parts = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_TEXTS, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    large = written(members.groupBy("family").agg(parts.alias("blocks")).where("blocks > 1"), "large")
+    placed = members.join(large, "family", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    placed = written(placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "placed")
+    ours = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
+
+    def compared(tiles: DataFrame) -> DataFrame:
+        texts = ours.join(tiles.select("node", "k1", "k2", "family", "ti", "tj", "side", "joined"), "node")
+        return written(gathered(texts, "family", "ti", "tj").mapInArrow(_compare(words, percent), "a long, b long"), "confirmed")
+
+    def blocks_to(n: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0), n - 1))
+
+    # each block meets the first one of its family
+    one = placed.withColumn("joined", F.col("node")).withColumn("ti", F.lit(0))
+    met = one.withColumn("tj", F.explode(F.when(F.col("block") > 0, F.array("block")).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))))
+    links = compared(met.withColumn("side", F.when(F.col("block") > 0, 1).otherwise(0)))
+    linked = written(components(links), "linked")
+    # in families of several blocks: what is outside the largest component meets all blocks
+    several = placed.where("blocks > 1").join(linked, "node", "left").withColumn("joined", F.coalesce("component", "node")).drop("component")
+    several = written(several, "several")
+    sizes = several.groupBy("family", "joined").agg(F.count(F.lit(1)).alias("m"))
+    largest = written(sizes.groupBy("family").agg(F.max(F.struct("m", "joined")).alias("x"), F.sum("m").alias("all")).select("family", F.col("x.joined").alias("largest"), (F.col("all") - F.col("x.m")).alias("rest")).where("rest > 0"), "largest")
+    if not largest.isEmpty():
+        open_ = several.join(largest, "family").withColumn("others", F.ceil(F.col("rest") / BLOCK_TEXTS).cast("int"))
+        other = open_.where(F.col("joined") != F.col("largest")).withColumns({"ti": F.pmod(F.xxhash64(F.lit(1), "node"), F.col("others")).cast("int"), "side": F.lit(1)}).withColumn("tj", blocks_to(F.col("blocks")))
+        each = open_.withColumns({"tj": F.col("block"), "side": F.lit(0)}).withColumn("ti", blocks_to(F.col("others")))
+        linked = written(components(links.union(compared(other.unionByName(each)))), "linked")
+    named_component = written(keys.join(linked, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component")), "components")
+    dropped(members, large, placed, several, largest)
     out = profiles.drop("bands").join(named_component, ["k1", "k2"], "left").withColumn("component_id", F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 

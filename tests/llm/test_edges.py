@@ -123,6 +123,45 @@ def test_large_family_is_cut_into_blocks(spark, monkeypatch):
     assert want == sorted(((i, root(parent, i)) for i in range(80)), key=str)
 
 
+def test_family_that_falls_apart(spark, monkeypatch):
+    """Chains and several groups in one family of many blocks: what the first block leaves open is found."""
+    rng = np.random.default_rng(4)
+    base = [f"b{i}" for i in range(40)]
+    texts, now = [], list(base)
+    for i in range(120):  # a chain that drifts away, and side groups
+        for k in range(5 if i % 13 == 0 else 1):
+            now[int(rng.integers(40))] = f"n{i}x{k}"
+        texts.append(" ".join(now if i % 3 else base[:39] + [f"m{i}"]))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [near_dedup.shingle_sets(w, 1)[0] for t in texts for _, _, w in tokens.sliced(pa.array([t]), tokens.WHITESPACE)]
+    parent = list(range(120))
+    for a in range(120):
+        for b in range(a):
+            c = len(np.intersect1d(sets[a], sets[b]))
+            if 100 * c >= 90 * (len(sets[a]) + len(sets[b]) - c):
+                x, y = sorted((root(parent, a), root(parent, b)))
+                parent[y] = x
+    want = sorted(((i, root(parent, i)) for i in range(120)), key=str)
+    assert len({r for _, r in want}) > 2
+    monkeypatch.setattr(near_dedup, "BLOCK_TEXTS", 9)
+    assert by_id(near_dedup.near_duplicates(df, 1, 90), "component_id") == want
+
+
+def test_recall_of_pairs_at_the_threshold(spark):
+    """Pairs whose similarity is 0.85 to 0.86: all are found."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(400):
+        n = int(rng.integers(60, 600))
+        w = [f"p{i}x{k}" for k in range(n)]
+        swaps = int(n * (1 - 0.855) / (1 + 0.855))  # one-word shingles: n - s common of n + s
+        other = w[:-swaps] + [f"q{i}x{k}" for k in range(swaps)] if swaps else w
+        assert 100 * (n - swaps) >= 85 * (n + swaps)
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(other))]
+    found = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 1, 85).collect()}
+    assert sum(found[2 * i + 1] == 2 * i for i in range(400)) == 400
+
+
 def root(parent, i):
     while parent[i] != i:
         i = parent[i]
