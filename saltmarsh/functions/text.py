@@ -124,3 +124,11 @@ def text_after_marker(html: Column, marker: str) -> Column:
     """The rest of the text run that holds ``marker`` (plain text, any case), without markup; null if it is not there."""
     found = F.regexp_extract(html, rf"(?is)>[^<]*?\Q{marker}\E\s*([^<]*)<", 1)
     return F.when(F.contains(F.lower(html), F.lit(marker.lower())), F.trim(found))
+
+
+def list_after_header(html: Column, header: str) -> Column:
+    """Texts of the items of the first list behind a heading with this text (any case); null if there is none."""
+    found = F.regexp_extract(html, rf"(?is)<h[1-6][^>]*>(?:\s|<[^>]*>)*\Q{header}\E(?:\s|<[^>]*>)*</h[1-6]>.*?<[uo]l[^>]*>(.*?)</[uo]l>", 1)
+    items = F.regexp_extract_all(found, F.lit(r"(?is)<li[^>]*>(.*?)(?=</li>|<li[\s>]|\z)"), F.lit(1))
+    plain = F.transform(items, lambda x: F.trim(F.regexp_replace(F.regexp_replace(x, r"(?s)<[^>]*>", ""), r"\s+", " ")))
+    return F.when(found != "", plain)

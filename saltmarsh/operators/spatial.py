@@ -6,6 +6,10 @@ ring first, holes after it; inside is where a line crosses the rings an odd numb
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,3 +85,45 @@ def parse_wkt_point(text: Column) -> Column:
     pattern = r"(?i)^\s*POINT\s*\(\s*(\S+)\s+(\S+)\s*\)\s*$"
     x, y = F.regexp_extract(text, pattern, 1).try_cast("double"), F.regexp_extract(text, pattern, 2).try_cast("double")
     return F.when(x.isNotNull() & y.isNotNull(), F.struct(x.alias("x"), y.alias("y")))
+
+
+def _kept_corners(ring: list, tolerance: float) -> list:
+    """Corners that farthest-point splitting (Douglas and Peucker) keeps; a ring is split at its first and last corner."""
+    keep, parts = {0, len(ring) - 1}, [(0, len(ring) - 1)]
+    while parts:
+        a, b = parts.pop()
+        if b - a < 2:
+            continue
+        x, y = np.array([p["x"] for p in ring[a : b + 1]]), np.array([p["y"] for p in ring[a : b + 1]])
+        dx, dy = x[-1] - x[0], y[-1] - y[0]
+        length = np.hypot(dx, dy)
+        away = np.abs(dx * (y - y[0]) - dy * (x - x[0])) / length if length else np.hypot(x - x[0], y - y[0])
+        far = int(away[1:-1].argmax()) + 1
+        if away[far] > tolerance:
+            keep.add(a + far)
+            parts += [(a, a + far), (a + far, b)]
+    return [ring[k] for k in sorted(keep)]
+
+
+def simplified(rings: Column, tolerance: float) -> Column:
+    """Rings without the corners that lie within ``tolerance`` of what is left; null stays null. Shapes in Arrow batches."""
+
+    @F.pandas_udf(RINGS)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for shapes in batches:
+            yield shapes.map(lambda shape: None if shape is None else [_kept_corners(list(ring), tolerance) if len(ring) else [] for ring in shape])
+
+    return run(rings)
+
+
+def dissolved(regions: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, edges): the boundary of the union of each group's regions, as array<struct<a, b>> of its sides.
+
+    For regions that share whole sides and do not overlap, as tracts of one map do: a side of two regions is inside the
+    union. Sides are counted in an aggregation, so a group's inner sides never meet in one place.
+    """
+    point = lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))
+    sides = lambda ring: _sides(ring, lambda a, b: F.struct(F.least(point(a), point(b)).alias("a"), F.greatest(point(a), point(b)).alias("b")))
+    all_sides = regions.select(*keys, F.explode(F.flatten(F.transform("rings", sides))).alias("side"))
+    outer = all_sides.groupBy(*keys, "side").agg(F.count(F.lit(1)).alias("n")).where("n % 2 = 1")
+    return outer.groupBy(*keys).agg(F.sort_array(F.collect_list("side")).alias("edges"))

@@ -18,10 +18,21 @@ def _texts(df: DataFrame, column: Column, name: str, one_file: bool = False) ->
     return path
 
 
-def _file(spark, text: str, name: str) -> str:
-    path = new_folder(spark, name)
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
-    return path
+#: Rows of one file of a feed, where its layout makes a file one row.
+FILE_ROWS = 50
+
+
+def _files(df: DataFrame, order: str, text, name: str) -> str:
+    """Files of ``FILE_ROWS`` rows: ``text`` makes a file's text of its rows, an array of structs by ``order``."""
+    path = new_folder(df.sparkSession, name)
+    rows = F.sort_array(F.collect_list(F.struct(order, *(c for c in df.columns if c != order))))
+    files = df.groupBy(F.floor(F.col(order) / FILE_ROWS).alias("file")).agg(rows.alias("rows"))
+    files.select("file", text(F.col("rows")).alias("value")).write.partitionBy("file").text(path)
+    return f"{path}/file=*"
+
+
+def _joined(rows: Column, each, separator: str) -> Column:
+    return F.array_join(F.transform(rows, each), separator)
 
 
 @query("SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer")
@@ -45,10 +56,12 @@ def read_piped(spark, supplier: DataFrame) -> DataFrame:
     return read.select("s_suppkey", "s_name", F.col(readers.CORRUPT).isNotNull().alias("bad"))
 
 
-@query("SELECT * FROM (VALUES ('2024-01-01 00:00', 1.5::DOUBLE), ('2024-01-01 00:15', 2.5), ('2024-01-01 00:30', NULL)) t(start, flow)")
-def read_preamble_csv(spark) -> DataFrame:
-    text = "Station 11013300\nParameter: discharge\nUnits\n\nStart of Interval,Average\n2024-01-01 00:00,1.5\n2024-01-01 00:15,2.5\n2024-01-01 00:30,\nEnd of data\n"
-    return readers.csv_with_preamble(spark, _file(spark, text, "preamble"), "start string, flow double", skip=4, footer=1)
+@query("SELECT s_suppkey::VARCHAR AS start, CASE WHEN s_suppkey % 3 <> 0 THEN s_acctbal END AS flow FROM supplier")
+def read_preamble_csv(spark, supplier: DataFrame) -> DataFrame:
+    line = lambda r: F.concat(r["s_suppkey"].cast("string"), F.lit(","), F.when(r["s_suppkey"] % 3 != 0, r["s_acctbal"].cast("string")).otherwise(""))
+    whole = lambda rows: F.concat(F.lit("Station 11013300\nParameter: discharge\nUnits\n\nStart of Interval,Average\n"), _joined(rows, line, "\n"), F.lit("\nEnd of data\n"))
+    path = _files(supplier.select("s_suppkey", "s_acctbal"), "s_suppkey", whole, "preamble")
+    return readers.csv_with_preamble(spark, path, "start string, flow double", skip=4, footer=1)
 
 
 @query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
@@ -65,17 +78,23 @@ def json_normalize(events: DataFrame) -> DataFrame:
     return readers.flattened(events.select("event_id", F.from_json("props", "k long").alias("props")))
 
 
-@query("SELECT * FROM (VALUES (7, 'a', 1.5::DOUBLE), (8, 'b', NULL)) t(sensor_index, name, pm25)")
-def read_fields_and_rows(spark) -> DataFrame:
-    text = '{"fields": ["name", "sensor_index", "pm25", "extra"], "data": [["a", 7, 1.5, 0], ["b", 8, null, 1]]}'
-    return readers.fields_and_rows(spark, _file(spark, text, "fields"), "sensor_index int, name string, pm25 double")
+@query("SELECT s_suppkey::INT AS sensor_index, s_name AS name, CASE WHEN s_suppkey % 4 <> 0 THEN s_acctbal END AS pm25 FROM supplier")
+def read_fields_and_rows(spark, supplier: DataFrame) -> DataFrame:
+    value = lambda r: F.when(r["s_suppkey"] % 4 != 0, r["s_acctbal"].cast("string")).otherwise("null")
+    line = lambda r: F.concat(F.lit('["'), r["s_name"], F.lit('", '), r["s_suppkey"].cast("string"), F.lit(", "), value(r), F.lit(", 0]"))
+    whole = lambda rows: F.concat(F.lit('{"fields": ["name", "sensor_index", "pm25", "extra"], "data": ['), _joined(rows, line, ", "), F.lit("]}"))
+    path = _files(supplier.select("s_suppkey", "s_name", "s_acctbal"), "s_suppkey", whole, "fields")
+    return readers.fields_and_rows(spark, path, "sensor_index int, name string, pm25 double")
 
 
-@query("SELECT * FROM (VALUES (DATE '2022-07-31', 12.0::DOUBLE), (DATE '2022-08-07', NULL)) t(week_start_date, cases)")
-def read_ragged_series(spark) -> DataFrame:
-    rows = '[{"C": [1659225600000, 12, 1]}, {"C": [1659830400000]}, {"C": ["preliminary"]}]'
-    text = '{"results": [{"result": {"data": {"dsr": {"DS": [{"PH": [{"DM0": []}, {"DM1": ' + rows + "}]}]}}}}]}"
-    return readers.ragged_series(spark, _file(spark, text, "ragged"))
+@query("SELECT DATE '1970-01-01' + s_suppkey::INT AS week_start_date, CASE WHEN s_suppkey % 3 = 1 THEN s_nationkey::DOUBLE END AS cases FROM supplier WHERE s_suppkey % 3 <> 2")
+def read_ragged_series(spark, supplier: DataFrame) -> DataFrame:
+    ms = lambda r: (r["s_suppkey"] * 86_400_000).cast("string")
+    values = lambda r: F.when(r["s_suppkey"] % 3 == 1, F.concat_ws(", ", ms(r), r["s_nationkey"].cast("string"), F.lit("1"))).when(r["s_suppkey"] % 3 == 0, ms(r)).otherwise('"preliminary"')
+    line = lambda r: F.concat(F.lit('{"C": ['), values(r), F.lit("]}"))
+    start, end = '{"results": [{"result": {"data": {"dsr": {"DS": [{"PH": [{"DM0": []}, {"DM1": [', "]}]}]}}}}]}"
+    path = _files(supplier.select("s_suppkey", "s_nationkey"), "s_suppkey", lambda rows: F.concat(F.lit(start), _joined(rows, line, ", "), F.lit(end)), "ragged")
+    return readers.ragged_series(spark, path)
 
 
 @query("SELECT c_custkey, c_name, (c_custkey % 50)::DOUBLE AS longitude, (c_custkey % 30)::DOUBLE AS latitude FROM customer WHERE c_custkey % 4 <> 0 UNION ALL SELECT c_custkey, c_name, NULL, NULL FROM customer WHERE c_custkey % 4 = 0")
@@ -91,20 +110,40 @@ def read_geojson(spark, customer: DataFrame) -> DataFrame:
     return f.select("f.properties.*", F.col("f.geometry.coordinates")[0].alias("longitude"), F.col("f.geometry.coordinates")[1].alias("latitude"))
 
 
-@query("SELECT * FROM (VALUES ('pier', 4::BIGINT, -117.1::DOUBLE, 32.5::DOUBLE, 0), ('area', 5, NULL, NULL, 5)) t(name, id, longitude, latitude, corners)")
-def read_geojson_shapes(spark) -> DataFrame:
-    text = """{"type": "FeatureCollection", "features": [
- {"type": "Feature", "properties": {"name": "pier", "id": 4}, "geometry": {"type": "Point", "coordinates": [-117.1, 32.5]}},
- {"type": "Feature", "properties": {"name": "area", "id": 5}, "geometry": {"type": "Polygon", "coordinates": [[[0, 0], [1, 0], [1, 1], [0, 1], [0, 0]]]}}]}"""
-    read = readers.geojson(spark, _file(spark, text, "shapes"), "name: string, id: long")
-    return read.select("name", "id", "longitude", "latitude", F.coalesce(F.size(F.col("rings")[0]), F.lit(0)).alias("corners"))
-
-
-@query("SELECT * FROM (VALUES ('smoke', 4, 1.5::DOUBLE)) t(name, corners, right_most)")
-def read_kml(spark) -> DataFrame:
-    text = "<kml><Document><Folder><Placemark><name>smoke</name><Polygon><outerBoundaryIs><LinearRing><coordinates>0,0,0 1.5,0,0 1,1,0 0,0,0</coordinates></LinearRing></outerBoundaryIs></Polygon></Placemark><Placemark><name>mark</name></Placemark></Folder></Document></kml>"
-    found = readers.kml_polygons(spark, _file(spark, text, "kml"))
-    return found.select("name", F.size(F.col("rings")[0]).alias("corners"), F.array_max(F.transform(F.col("rings")[0], lambda p: p["x"])).alias("right_most"))
+@query("""SELECT 's' || s_suppkey AS name, s_suppkey AS id, CASE WHEN s_suppkey % 4 = 0 THEN s_nationkey::DOUBLE END AS longitude, CASE WHEN s_suppkey % 4 = 0 THEN 32.5::DOUBLE END AS latitude,
+CASE s_suppkey % 4 WHEN 1 THEN 5 WHEN 2 THEN 14 ELSE 0 END AS corners, CASE s_suppkey % 4 WHEN 1 THEN s_nationkey + 4.0 WHEN 2 THEN s_nationkey + 9.0 END::DOUBLE AS right_most FROM supplier""")
+def read_geojson_shapes(spark, supplier: DataFrame) -> DataFrame:
+    """Points, polygons, multipolygons with a hole, and features without a shape."""
+    key, x = F.col("s_suppkey") % 4, F.col("s_nationkey")
+    square = lambda by, side: F.format_string(f"[[%d, {by}], [%d, {by}], [%d, {by + side}], [%d, {by + side}], [%d, {by}]]", x + by, x + by + side, x + by + side, x + by, x + by)
+    triangle = F.format_string("[[%d, 1], [%d, 1], [%d, 2], [%d, 1]]", x + 1, x + 2, x + 1, x + 1)
+    shape = F.when(key == 0, F.format_string('{"type": "Point", "coordinates": [%d, 32.5]}', x))
+    shape = shape.when(key == 1, F.concat(F.lit('{"type": "Polygon", "coordinates": ['), square(0, 4), F.lit("]}")))
+    shape = shape.when(key == 2, F.concat(F.lit('{"type": "MultiPolygon", "coordinates": [['), square(0, 4), F.lit(", "), triangle, F.lit("], ["), square(5, 4), F.lit("]]}"))).otherwise("null")
+    one = F.concat(F.format_string('{"type": "Feature", "properties": {"name": "s%d", "id": %d}, "geometry": ', "s_suppkey", "s_suppkey"), shape, F.lit("}"))
+    whole = lambda rows: F.concat(F.lit('{"type": "FeatureCollection", "features": [\n'), _joined(rows, lambda r: r["one"], ",\n"), F.lit("]}"))
+    path = _files(supplier.select("s_suppkey", one.alias("one")), "s_suppkey", whole, "shapes")
+    read = readers.geojson(spark, path, "name: string, id: long")
+    corners = F.flatten(F.coalesce("rings", F.expr("cast(array() as array<array<struct<x:double,y:double>>>)")))
+    return read.select("name", "id", "longitude", "latitude", F.size(corners).alias("corners"), F.array_max(F.transform(corners, lambda p: p["x"])).alias("right_most"))
+
+
+@query("""SELECT s_name AS name, CASE WHEN s_suppkey % 4 IN (1, 3) THEN s_nationkey + 0.25 END::DOUBLE AS longitude, CASE s_suppkey % 4 WHEN 0 THEN 9 WHEN 3 THEN 8 ELSE 0 END AS corners,
+CASE WHEN s_suppkey % 4 IN (0, 3) THEN s_nationkey + 4.0 END::DOUBLE AS right_most FROM supplier WHERE s_suppkey % 4 <> 2""")
+def read_kml(spark, supplier: DataFrame) -> DataFrame:
+    """Polygons with a hole, points, both together in a MultiGeometry, and placemarks without a shape."""
+    key, x = F.col("s_suppkey") % 4, F.col("s_nationkey")
+    point = F.format_string("<Point><coordinates>%d.25,32.5,0</coordinates></Point>", x)
+    ring = lambda tag, text, *at: F.concat(F.lit(f"<{tag}><LinearRing><coordinates>"), F.format_string(text, *at), F.lit(f"</coordinates></LinearRing></{tag}>"))
+    outer, three = ring("outerBoundaryIs", "\n%d,0,0 %d,0,0\n%d,4,0 %d,4,0 %d,0,0 ", x, x + 4, x + 4, x, x), ring("outerBoundaryIs", "%d,0 %d,0 %d,4 %d,0", x, x + 4, x, x)
+    hole = ring("innerBoundaryIs", "%d,1,0 %d,1,0 %d,2,0 %d,1,0", x + 1, x + 2, x + 1, x + 1)
+    polygon = lambda *parts: F.concat(F.lit("<Polygon>"), *parts, F.lit("</Polygon>"))
+    shape = F.when(key == 0, polygon(outer, hole)).when(key == 1, point).when(key == 3, F.concat(F.lit("<MultiGeometry>"), polygon(three), point, polygon(three), F.lit("</MultiGeometry>"))).otherwise("")
+    one = F.concat(F.lit("<Placemark><name>"), "s_name", F.lit("</name>"), shape, F.lit("</Placemark>"))
+    whole = lambda rows: F.concat(F.lit("<kml><Document><Folder>"), _joined(rows, lambda r: r["one"], "\n"), F.lit("</Folder></Document></kml>"))
+    found = readers.kml_shapes(spark, _files(supplier.select("s_suppkey", one.alias("one")), "s_suppkey", whole, "kml"))
+    corners = F.flatten(F.coalesce("rings", F.expr("cast(array() as array<array<struct<x:double,y:double>>>)")))
+    return found.select("name", "longitude", F.size(corners).alias("corners"), F.array_max(F.transform(corners, lambda p: p["x"])).alias("right_most"))
 
 
 @query("SELECT r_regionkey, r_name AS created FROM region")
@@ -113,36 +152,76 @@ def read_xml_value(region: DataFrame) -> DataFrame:
     return region.select("r_regionkey", readers.xml_value(text, "/metadata/Esri/CreaDate").alias("created"))
 
 
-@query("SELECT * FROM (VALUES (TIMESTAMP '2024-01-01 00:00:00', 1.0::DOUBLE, 9.0::DOUBLE), (TIMESTAMP '2024-01-01 01:00:00', NULL, 8.0)) t(date, temperature, wind)")
-def read_column_arrays(spark) -> DataFrame:
-    text = '{"time": 1704067200, "interval": 3600, "temperature": [1.0, null], "wind": [9.0, 8.0]}'
-    read = readers.column_arrays(spark, _file(spark, text, "columns"), "time", "interval", ["temperature", "wind"])
+@query("""SELECT TIMESTAMP '2024-01-01 00:00:00' + to_hours(s_suppkey) AS date, CASE WHEN s_suppkey % 5 <> 0 THEN s_acctbal END AS temperature, s_nationkey::DOUBLE AS wind FROM supplier""")
+def read_column_arrays(spark, supplier: DataFrame) -> DataFrame:
+    """Files of parallel arrays, each from its own start on."""
+    numbers = lambda rows, each: F.concat(F.lit("["), _joined(rows, each, ", "), F.lit("]"))
+    temperature = lambda r: F.when(r["s_suppkey"] % 5 != 0, r["s_acctbal"].cast("string")).otherwise("null")
+    start = lambda rows: (rows[0]["s_suppkey"] * 3600 + 1_704_067_200).cast("string")
+    whole = lambda rows: F.concat(F.lit('{"time": '), start(rows), F.lit(', "interval": 3600, "temperature": '), numbers(rows, temperature), F.lit(', "wind": '), numbers(rows, lambda r: r["s_nationkey"].cast("string")), F.lit("}"))
+    path = _files(supplier.select("s_suppkey", "s_acctbal", "s_nationkey"), "s_suppkey", whole, "columns")
+    read = readers.column_arrays(spark, path, "time", "interval", ["temperature", "wind"])
     return read.withColumn("date", F.col("date").cast("timestamp_ntz"))
 
 
-@query("""SELECT * FROM (VALUES ('H2S', 'Berry', TIMESTAMP '2024-03-05 08:00:00', 3.0::DOUBLE, '', '3'), ('H2S', 'Berry', TIMESTAMP '2024-03-05 10:00:00', 5.0, '<', '<5'),
-('H2S', 'Nestor', TIMESTAMP '2024-03-05 09:00:00', NULL, '', 'M'), ('CO', 'Nestor', TIMESTAMP '2024-03-05 08:00:00', 40.0, '>', '>40')) t(parameter, site, measured, value, qualifier, original)""")
-def read_hourly_report(spark) -> DataFrame:
+@query("""WITH r AS (SELECT *, s_suppkey - s_suppkey % 5 AS base FROM supplier)
+SELECT CASE WHEN (base // 5) % 2 = 0 THEN 'H2S' ELSE 'CO' END AS parameter, s_name AS site, TIMESTAMP '2024-03-05 08:00:00' + to_days((s_suppkey // 50)::INT) + to_hours(s_suppkey % 24) AS measured,
+CASE s_suppkey % 3 WHEN 0 THEN s_nationkey WHEN 1 THEN 5 END::DOUBLE AS value, CASE WHEN s_suppkey % 3 = 1 THEN '<' ELSE '' END AS qualifier, CASE s_suppkey % 3 WHEN 0 THEN s_nationkey::VARCHAR WHEN 1 THEN '<5' ELSE 'M' END AS original
+FROM r WHERE base IN (SELECT s_suppkey FROM supplier)""")
+def read_hourly_report(spark, supplier: DataFrame) -> DataFrame:
+    """A file a day; every fifth row names a parameter, and rows before the first such row of a file go."""
+    key = F.col("s_suppkey")
+    named = F.when(key % 5 != 0, "").when(F.floor(key / 5) % 2 == 0, "H2S").otherwise("CO")
+    reading = F.when(key % 3 == 0, F.col("s_nationkey").cast("string")).when(key % 3 == 1, "<5").otherwise("M")
+    one = F.concat(named, F.lit(","), "s_name", F.lit(","), F.repeat(F.lit(","), (key % 24).cast("int")), reading, F.repeat(F.lit(","), (23 - key % 24).cast("int")))
+    day = lambda rows: F.date_format(F.date_add(F.lit("2024-03-05").cast("date"), F.floor(rows[0]["s_suppkey"] / FILE_ROWS).cast("int")), "MM/dd/yyyy")
     hours = ",".join(str(h) for h in range(24))
-    rows = ["H2S,Berry,3,,<5" + "," * 21, ",Nestor,,M" + "," * 22, "Parameter,Site" + "," * 24, "CO,Nestor,>40" + "," * 23]
-    text = "\n".join(["Report", "Hourly", 'Values (PST),03/05/2024', f",,{hours}", "Parameter,SiteName" + "," * 24, ",lost,1" + "," * 23, *rows]) + "\n"
-    return readers.hourly_report(spark, _file(spark, text, "report")).withColumnRenamed("at", "measured")
-
-
-@query("SELECT * FROM (VALUES ('1/2/2024', 'Ongoing', '1.2 million gallons'), ('1/9/2024', '1/10/2024', 'TBD')) t(start_date, end_date, volume)")
-def read_html_table(spark) -> DataFrame:
-    page = """<table><tr><td>x</td></tr></table><p>Spills</p><table><tr><th>Start Date</th><th>End Date</th><th>Volume</th></tr><tr><td>all</td><td></td><td>9</td></tr>
-<tr><td>1/2/2024</td><td>Ongoing</td><td>1.2 million
- gallons</td></tr><tr><td>1/9/2024</td><td>1/10/2024</td><td><b>TBD</b></td></tr></table>"""
-    rows = html_tables.table_rows(spark.createDataFrame([(page,)], "html string"), "html", position=1)
-    # the first body row is cumulative
+    head = f"\n,,{hours}\nParameter,SiteName{',' * 24}\n"
+    whole = lambda rows: F.concat(F.lit("Report\nHourly\nValues (PST),"), day(rows), F.lit(head), _joined(rows, lambda r: r["one"], "\n"), F.lit("\n"))
+    return readers.hourly_report(spark, _files(supplier.select("s_suppkey", one.alias("one")), "s_suppkey", whole, "report")).withColumnRenamed("at", "measured")
+
+
+@query("SELECT l_orderkey, strftime(l_shipdate, '%-m/%-d/%Y') AS start_date, CASE l_returnflag WHEN 'N' THEN 'Ongoing' ELSE l_returnflag END AS end_date, l_quantity::INT || ' million gallons' AS volume FROM lineitem")
+def read_html_table(spark, lineitem: DataFrame) -> DataFrame:
+    """A page for each order; its lines are in the second table, behind a header and a cumulative row."""
+    row = F.concat(F.lit("<tr><td>"), F.date_format("l_shipdate", "M/d/yyyy"), F.lit("</td><td>"), F.when(F.col("l_returnflag") == "N", "Ongoing").otherwise(F.col("l_returnflag")), F.lit("</td><td><b>"), F.col("l_quantity").cast("int").cast("string"), F.lit("</b> million\n gallons</td></tr>"))
+    body = F.array_join(F.sort_array(F.collect_list(row)), "")
+    start = "<table><tr><td>x</td></tr></table><p>Spills</p><table><tr><th>Start Date</th><th>End Date</th><th>Volume</th></tr><tr><td>all</td><td></td><td>9</td></tr>"
+    pages = lineitem.groupBy("l_orderkey").agg(F.concat(F.lit(start), body, F.lit("</table>")).alias("html"))
+    rows = html_tables.table_rows(pages, "html", position=1)
     return html_tables.named(rows, ["start_date", "end_date", "volume"]).where("line > 1").drop("table", "line")
 
 
-@query("SELECT page_id, n::INT AS n FROM (SELECT page_id, len(regexp_extract_all(html, '<table')) AS n FROM pages) WHERE n > 0")
-def html_tables_of_pages(pages: DataFrame) -> DataFrame:
-    found = html_tables.table_rows(pages.select("page_id", "html"), "html")
-    return found.groupBy("page_id").agg(F.count_distinct("table").cast("int").alias("n"))
+@query("SELECT l_orderkey AS page_id, count(*)::INT AS n, (2 * count(*))::INT AS n_rows FROM lineitem GROUP BY 1")
+def html_tables_of_pages(lineitem: DataFrame) -> DataFrame:
+    """Pages with a table of two rows for each line of an order."""
+    one = F.concat(F.lit("<TABLE border=1><tr><th>line<th>part</tr>\n<tr><td>"), F.col("l_linenumber").cast("string"), F.lit("<td>"), F.col("l_partkey").cast("string"), F.lit("</tr></TABLE>"))
+    pages = lineitem.groupBy(F.col("l_orderkey").alias("page_id")).agg(F.array_join(F.collect_list(one), "<p>and</p>").alias("html"))
+    found = html_tables.table_rows(pages, "html")
+    return found.groupBy("page_id").agg(F.count_distinct("table").cast("int").alias("n"), F.count(F.lit(1)).cast("int").alias("n_rows"))
+
+
+@query("SELECT c_custkey, c_name, c_nationkey::VARCHAR AS week, c_acctbal AS cases FROM customer")
+def read_paged_feed(spark, customer: DataFrame) -> DataFrame:
+    """Pages of 100 rows, written by Spark to the shared folder and read from there."""
+    limit, count = 100, customer.count()
+    given = F.to_json(F.struct("c_custkey", "c_name", F.col("c_nationkey").cast("string").alias("week"), F.col("c_acctbal").alias("cases")))
+    numbered = customer.select("c_custkey", given.alias("one"))
+    edges = numbered.agg(F.min("c_custkey")).first()[0] or 0
+    page = ((F.col("c_custkey") - edges) / limit).cast("long") * limit
+    path = new_folder(spark, "pages")
+    numbered.groupBy(page.alias("k")).agg(F.concat(F.lit("["), F.array_join(F.collect_list("one"), ","), F.lit("]")).alias("value")).write.partitionBy("k").text(path)
+    return readers.paged(spark, path, "c_custkey long, c_name string, week string, cases double", count, limit, "k={}")
+
+
+@query("SELECT count(*) AS files, true AS whole, 25 AS lines FROM (SELECT DISTINCT n_regionkey FROM nation)")
+def land_raw_copy(spark, nation: DataFrame) -> DataFrame:
+    """Files are copied as they are before they are parsed."""
+    path = new_folder(spark, "source")
+    nation.select("n_regionkey", "n_name").repartition(1).write.partitionBy("n_regionkey").text(path)
+    raw = readers.landed(spark, path, new_folder(spark, "raw"))
+    text = F.col("content").cast("string")
+    return raw.agg(F.count(F.lit(1)).alias("files"), F.bool_and(F.col("length") == F.octet_length("content")).alias("whole"), F.sum(F.regexp_count(text, F.lit("\n"))).cast("int").alias("lines"))
 
 
 @query("SELECT o_orderpriority AS priority, count(*) AS n FROM orders GROUP BY 1")

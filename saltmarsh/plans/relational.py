@@ -199,6 +199,29 @@ def agg_count_by_region(spark, customer: DataFrame) -> DataFrame:
     return spatial.join_points(_points(customer), _regions(spark), "x", "y", 25.0).groupBy("region").agg(F.count("c_custkey").alias("n"))
 
 
+def _tiles(customer: DataFrame) -> DataFrame:
+    """Unit squares in rows of ten, with a corner more in the middle of each lower side."""
+    x, y = (F.col("c_custkey") % 10).cast("double"), F.floor(F.col("c_custkey") / 10).cast("double")
+    at = lambda dx, dy: F.struct((x + dx).alias("x"), (y + dy).alias("y"))
+    ring = lambda *more: F.array(F.array(at(0, 0), *more, at(1, 0), at(1, 1), at(0, 1), at(0, 0)))
+    return customer.select("c_custkey", "c_nationkey", ring().alias("rings"), ring(at(0.25, 0.001), at(0.5, 0)).alias("rough"))
+
+
+@query("SELECT c_custkey, 5 AS corners, c_custkey % 10 + 0.5::DOUBLE AS x, floor(c_custkey / 10) + 0.5::DOUBLE AS y FROM customer")
+def simplify_rings(customer: DataFrame) -> DataFrame:
+    plain = _tiles(customer).select("c_custkey", spatial.simplified(F.col("rough"), 0.01).alias("rings"))
+    c = spatial.centroid(F.col("rings"))
+    return plain.select("c_custkey", F.size(F.col("rings")[0]).alias("corners"), F.round(c["x"], 6).alias("x"), F.round(c["y"], 6).alias("y"))
+
+
+@query("""WITH t AS (SELECT c_nationkey, c_custkey % 10 AS x, floor(c_custkey / 10) AS y FROM customer),
+s AS (SELECT c_nationkey, x, y, 'h' AS k FROM t UNION ALL SELECT c_nationkey, x, y + 1, 'h' FROM t UNION ALL SELECT c_nationkey, x, y, 'v' FROM t UNION ALL SELECT c_nationkey, x + 1, y, 'v' FROM t)
+SELECT c_nationkey, count(*) AS sides FROM (SELECT c_nationkey FROM s GROUP BY c_nationkey, x, y, k HAVING count(*) = 1) GROUP BY 1""")
+def dissolve_regions(customer: DataFrame) -> DataFrame:
+    found = spatial.dissolved(_tiles(customer), ["c_nationkey"])
+    return found.select("c_nationkey", F.size("edges").cast("long").alias("sides"))
+
+
 @query("SELECT * FROM (VALUES ('square', 20.0::DOUBLE, 20.0::DOUBLE), ('triangle', 70.0, 26.666667), ('ring', 40.0, 77.5)) t(region, x, y)")
 def region_centroids(spark) -> DataFrame:
     c = spatial.centroid(F.col("rings"))

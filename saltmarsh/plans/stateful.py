@@ -14,6 +14,14 @@ from .checks import freshness, no_nulls
 from .registry import Registry
 
 
+@query("SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS cursor FROM events")
+def change_feed_cursors(spark, events: DataFrame) -> DataFrame:
+    """A poll's file for each event, with the feed's day of change; each day starts one update."""
+    folder = new_folder(spark, "polls")
+    events.select(F.date_format("ts", "yyyy-MM-dd").alias("value")).write.text(folder)
+    return feeds.run_to_end(feeds.changes(spark, folder))
+
+
 @query("SELECT event_id, ts, value FROM events WHERE event_type = 'error' AND value >= 30")
 def stream_alerts(spark, sf_dir) -> DataFrame:
     events = feeds.file_stream(spark, sf_dir, "events").select("event_id", "ts", "value", "event_type")

@@ -119,11 +119,23 @@ def json_extract(events: DataFrame) -> DataFrame:
     return events.select("event_id", F.from_json("props", "k int")["k"].alias("k"))
 
 
-@query("SELECT doc_id, '[' || left(text, 20) || ']' AS out FROM documents")
+_WHOLE = "SELECT doc_id, CASE WHEN text <> '' THEN '[' || text || ']' ELSE '' END AS out FROM documents"
+
+
+@query(_WHOLE)
 def udf_text_transform(documents: DataFrame) -> DataFrame:
-    return transformed(documents.select("doc_id", F.left("text", F.lit(20)).alias("t")), "t", "[{}]".format, "out").drop("t")
+    return transformed(documents.select("doc_id", "text"), "text", "[{}]".format, "out").drop("text")
 
 
-@query("SELECT doc_id, CASE WHEN text <> '' THEN '[' || text || ']' ELSE '' END AS out FROM documents")
+@query(_WHOLE)
 def udf_text_transform_whole(documents: DataFrame) -> DataFrame:
     return transformed(documents.select("doc_id", "text"), "text", "[{}]".format, "out").drop("text")
+
+
+@query("SELECT s_suppkey, unnest(['no ' || s_suppkey, s_name || ' & co', 'nation ' || s_nationkey]) AS item FROM supplier WHERE s_suppkey % 3 <> 0")
+def html_list_items(supplier: DataFrame) -> DataFrame:
+    key = F.col("s_suppkey").cast("string")
+    items = F.concat(F.lit("<ul>\n<li><b>no "), key, F.lit("</b></li><LI class=x>"), "s_name", F.lit("\n & <i>co</i><li>nation "), F.col("s_nationkey").cast("string"), F.lit("</li></ul>"))
+    head = F.when(F.col("s_suppkey") % 3 == 0, "Other").otherwise("Closures")
+    page = F.concat(F.lit("<h2>First</h2><ul><li>not this</li></ul><h3 id=c> <span>"), head, F.lit("</span></h3><p>until "), key, F.lit("</p>"), items, F.lit("<ul><li>nor this</li></ul>"))
+    return supplier.select("s_suppkey", F.explode(text.list_after_header(page, "closures")).alias("item"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -74,27 +76,55 @@ def ragged_series(spark: SparkSession, path: str) -> DataFrame:
 
 
 def geojson(spark: SparkSession, path: str, properties: str) -> DataFrame:
-    """Features of a collection: the properties' columns, and longitude and latitude for points or rings for polygons."""
+    """Features of a collection: the properties' columns, and longitude and latitude for points or rings for polygons.
+
+    A MultiPolygon's rings stand one after another, holes included, which the even-odd tests of ``spatial`` need only.
+    """
     shape = f"features array<struct<properties: struct<{properties}>, geometry: struct<type: string, coordinates: string>>>"
     feature = spark.read.schema(shape).json(path, multiLine=True).select(F.explode("features").alias("f"))
     kind, given = F.col("f.geometry.type"), F.col("f.geometry.coordinates")
     point = F.when(kind == "Point", F.from_json(given, "array<double>"))
     polygon = F.when(kind == "Polygon", F.from_json(given, "array<array<array<double>>>"))
+    polygon = polygon.when(kind == "MultiPolygon", F.flatten(F.from_json(given, "array<array<array<array<double>>>>")))
     rings = F.transform(polygon, lambda ring: F.transform(ring, lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))))
     return feature.select("f.properties.*", point[0].alias("longitude"), point[1].alias("latitude"), rings.alias("rings"))
 
 
-def kml_polygons(spark: SparkSession, path: str) -> DataFrame:
-    """(name, rings) of the placemarks with a polygon: its outer boundary."""
-    shape = "name string, Polygon struct<outerBoundaryIs: struct<LinearRing: struct<coordinates: string>>>"
+_KML_POINT = "struct<coordinates: string>"
+_KML_RING = "struct<LinearRing: struct<coordinates: string>>"
+_KML_POLYGON = f"struct<outerBoundaryIs: {_KML_RING}, innerBoundaryIs: array<{_KML_RING}>>"
+
+
+def kml_shapes(spark: SparkSession, path: str) -> DataFrame:
+    """(name, longitude, latitude, rings) of the placemarks with a shape.
+
+    Points and polygons stand alone or in a MultiGeometry; the place is that of the first point; rings are those of all
+    polygons, holes included, as in ``geojson``, and null where there is none.
+    """
+    shape = f"name string, Point {_KML_POINT}, Polygon {_KML_POLYGON}, MultiGeometry struct<Point: array<{_KML_POINT}>, Polygon: array<{_KML_POLYGON}>>"
     marks = spark.read.format("xml").option("rowTag", "Placemark").schema(shape).load(path)
-    corners = F.split(F.trim("Polygon.outerBoundaryIs.LinearRing.coordinates"), r"\s+")
+
+    def all_of(tag: str) -> Column:
+        return F.filter(F.concat(F.array(tag), F.coalesce(f"MultiGeometry.{tag}", F.array(F.lit(None).cast(marks.schema[tag].dataType)))), lambda x: x.isNotNull())
 
     def corner(c: Column) -> Column:
         parts = F.split(c, ",")
         return F.struct(parts[0].try_cast("double").alias("x"), parts[1].try_cast("double").alias("y"))
 
-    return marks.where(F.col("Polygon").isNotNull()).select("name", F.array(F.transform(corners, corner)).alias("rings"))
+    def ring(r: Column) -> Column:
+        return F.transform(F.split(F.trim(r["LinearRing"]["coordinates"]), r"\s+"), corner)
+
+    none = F.array(F.lit(None).cast(_KML_RING))
+    bounds = F.flatten(F.transform(all_of("Polygon"), lambda p: F.concat(F.array(p["outerBoundaryIs"]), F.coalesce(p["innerBoundaryIs"], none))))
+    rings = F.transform(F.filter(bounds, lambda r: r.isNotNull()), ring)
+    place = corner(F.trim(F.get(all_of("Point"), F.lit(0))["coordinates"]))
+    shaped = marks.where(F.col("Point").isNotNull() | F.col("Polygon").isNotNull() | F.col("MultiGeometry").isNotNull())
+    return shaped.select("name", place["x"].alias("longitude"), place["y"].alias("latitude"), F.when(F.size(rings) > 0, rings).alias("rings"))
+
+
+def kml_polygons(spark: SparkSession, path: str) -> DataFrame:
+    """(name, rings) of the placemarks with a polygon."""
+    return kml_shapes(spark, path).where(F.col("rings").isNotNull()).select("name", "rings")
 
 
 def xml_value(text: Column, path: str) -> Column:
@@ -140,3 +170,23 @@ def inline(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
 def whole_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """(path, modificationTime, length, content): a listing of an object store's folder, and the objects themselves."""
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
+
+
+def paged(spark: SparkSession, path: str, schema: str, count: int, limit: int = 1000, page: str = "page-{}.json") -> DataFrame:
+    """A feed's pages (arrays of objects, named by their offset) on any store that Spark reads, a task or more for each.
+
+    ``count`` rows in all, ``limit`` a page; a page that is missing fails the read instead of leaving rows out.
+    """
+    if not count:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("mode", "FAILFAST").json([f"{path}/{page.format(k)}" for k in range(0, count, limit)], multiLine=True)
+
+
+def landed(spark: SparkSession, path: str, folder: str) -> DataFrame:
+    """A raw copy of the files at ``path``, made before anything parses them: (path, length, content, landed_at) is added
+    to the table in ``folder``, and this call's rows are returned.
+    """
+    batch = uuid.uuid4().hex
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    files.select("path", "length", "content", F.current_timestamp().alias("landed_at"), F.lit(batch).alias("batch")).write.mode("append").partitionBy("batch").parquet(folder)
+    return spark.read.parquet(folder).where(F.col("batch") == batch).drop("batch")

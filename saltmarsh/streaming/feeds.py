@@ -57,6 +57,14 @@ class _ChangeReader(DataSourceStreamReader):
         yield (partition.cursor,)
 
 
+def changes(spark: SparkSession, folder: str, within: str = "30 days") -> DataFrame:
+    """(cursor): each "last updated" text of a feed once, from a folder on any store in which a crawler leaves a small file
+    for each poll. A text that comes again within the time named starts nothing.
+    """
+    marked = spark.readStream.text(folder).select(F.trim("value").alias("cursor"), F.current_timestamp().alias("at")).where("cursor <> ''")
+    return marked.withWatermark("at", within).dropDuplicatesWithinWatermark(["cursor"]).select("cursor")
+
+
 def late_readings(stream: DataFrame, keys: list[str], time: str, lookback: str = "2 days") -> DataFrame:
     """Each reading once, however often its file is read again within the look-back; older ones are too late."""
     return stream.withWatermark(time, lookback).dropDuplicatesWithinWatermark([*keys, time])
