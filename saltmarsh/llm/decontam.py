@@ -4,7 +4,7 @@ The patterns are the windows of 13 consecutive words of each benchmark item (a s
 in place of characters, with blocks of two words: a shift table, indexed by a hash of the block that ends at the current
 position, says how far the search may move on since no pattern can end before; blocks unknown to all patterns skip 12
 words. Where the shift is zero, the hash of the last two words selects a bucket of test patterns, the window's hash
-selects within the bucket, and a word-by-word comparison confirms. Many stretches of a batch are searched in step, so
+selects within the bucket, and a comparison of the words themselves, byte by byte, confirms. Many stretches of a batch are searched in step, so
 each of these is a NumPy pass.
 
 The tables of at most ``PATTERN_BYTES`` of benchmark text go to the executors at once. A larger benchmark is cut into
@@ -39,13 +39,16 @@ def _sequence_hash(words: np.ndarray, start: np.ndarray, m: int) -> np.ndarray:
 
 
 class Patterns:
-    """Wu-Manber tables for all patterns of one length m. Pattern p is words[at[p]:at[p]+m] and belongs to item[p]."""
+    """Wu-Manber tables for all patterns of one length m. Pattern p is words at[p] to at[p]+m and belongs to item[p].
 
-    def __init__(self, words: np.ndarray, at: np.ndarray, item: np.ndarray, m: int) -> None:
-        self.m, self.block = m, min(2, m)
+    Patterns with one key are taken for equal where they are searched; ``patterns_of`` sees to it that they are.
+    """
+
+    def __init__(self, texts: tokens.Words, words: np.ndarray, at: np.ndarray, item: np.ndarray, m: int) -> None:
+        self.m, self.block, self.texts = m, min(2, m), texts
         key = _sequence_hash(words, at, m)
         order = np.lexsort((item, key))
-        self.words, self.at, self.item, self.key = words, at[order], item[order], key[order]
+        self.at, self.item, self.key = at[order], item[order], key[order]
         offsets = range(m - self.block + 1)
         blocks = [self._block(words, at + j + self.block - 1) for j in offsets]
         self.mask = np.uint64((1 << max(8, (16 * len(at) * len(blocks)).bit_length())) - 1)
@@ -57,8 +60,8 @@ class Patterns:
     def _block(self, words: np.ndarray, end: np.ndarray) -> np.ndarray:
         return _sequence_hash(words, end - self.block + 1, self.block)
 
-    def search(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(start in words, first of the equal patterns) of each occurrence."""
+    def search(self, texts: tokens.Words, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start in words, first of the equal patterns) of each occurrence. ``words``: the hashes of those of ``texts``."""
         m = self.m
         ends = []
         at = np.arange(m - 1, len(words), STRETCH)
@@ -82,10 +85,10 @@ class Patterns:
         first[first == len(self.key)] = 0
         found = self.key[first] == key
         start, first = start[found], first[found]
-        same = np.ones(len(start), bool)
         for j in range(m):
-            same &= words[start + j] == self.words[self.at[first] + j]
-        return start[same], first[same]
+            same = tokens.same_words(texts, start + j, self.texts, self.at[first] + j)
+            start, first = start[same], first[same]
+        return start, first
 
     def items(self, first: int) -> np.ndarray:
         return np.unique(self.item[first : np.searchsorted(self.key, self.key[first], side="right")])
@@ -103,7 +106,12 @@ def patterns_of(texts: list[str | None], window: int) -> list[Patterns]:
             starts = np.arange(words.first[i], words.first[i + 1] - m + 1)
             at.append(starts)
             item.append(np.full(len(starts), i))
-        out.append(Patterns(hashes, np.concatenate(at), np.concatenate(item), m))
+        one = Patterns(words, hashes, np.concatenate(at), np.concatenate(item), m)
+        lead = np.searchsorted(one.key, one.key)
+        for j in range(m):
+            if not tokens.same_words(words, one.at + j, words, one.at[lead] + j).all():
+                raise ValueError("two different word sequences of the benchmark share a 64-bit key")
+        out.append(one)
     return out
 
 
@@ -119,7 +127,7 @@ def _scan(tables, names, text: str):
                 cover = np.zeros(len(hashes) + 1, np.int32)
                 items: list[set[str]] = [set() for _ in range(j - i)]
                 for p in patterns:
-                    start, first = p.search(hashes)
+                    start, first = p.search(words, hashes)
                     inside = owner[start] == owner[start + p.m - 1]
                     start, first = start[inside], first[inside]
                     np.add.at(cover, start, 1)

@@ -182,8 +182,7 @@ def remove_repeated(docs: DataFrame, window: int = 35) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     checked = rows.withColumn("check", F.xxhash64("text"))
     # buckets of about half a million windows, at six bytes to a word
-    size = docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    size = size if size < 1 << 60 else 0  # above: the bound the optimiser gives to plans of unknown size
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(4 * shuffle_partitions(docs.sparkSession), min(size // (3 << 20), 1 << 20))
     pieces = checked.mapInArrow(_hashed(window, buckets), "bucket int, batch long, hashes binary, steps binary, repeated binary")
     answers = gathered(pieces, "bucket").mapInArrow(_counted, "batch long, about binary, places binary")

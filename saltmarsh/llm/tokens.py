@@ -97,6 +97,21 @@ class Words:
         return at, mixed((sums[at + n] - sums[at]) * down[at])
 
 
+def same_words(a: Words, i: np.ndarray, b: Words, j: np.ndarray) -> np.ndarray:
+    """For each k, whether word i[k] of ``a`` and word j[k] of ``b`` have the same bytes."""
+    size = a.end[i] - a.start[i]
+    same = size == b.end[j] - b.start[j]
+    at = np.flatnonzero(same)
+    size = size[at]
+    if not len(at):
+        return same
+    starts = np.cumsum(size) - size
+    inner = np.arange(int(size.sum())) - np.repeat(starts, size)
+    equal = a.data[np.repeat(a.start[i[at]], size) + inner] == b.data[np.repeat(b.start[j[at]], size) + inner]
+    same[at] = np.logical_and.reduceat(equal, starts)
+    return same
+
+
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string column; null counts as empty."""
     column = column.cast(pa.large_binary())

@@ -249,7 +249,7 @@ def test_wu_manber_brute_force():
         words = tokens.split(*tokens.buffers(pa.array([" ".join(text)])), tokens.NOT_ALPHANUMERIC, lower=True)
         found = set()
         for p in decontam.patterns_of(items, 5):
-            for s, f in zip(*p.search(words.hashes())):
+            for s, f in zip(*p.search(words, words.hashes())):
                 found |= {(int(s), p.m, int(i)) for i in p.items(f)}
         want = set()
         for i, t in enumerate(x.split() for x in items):
@@ -259,6 +259,16 @@ def test_wu_manber_brute_force():
         assert found == want
 
 
+def test_equal_hashes_are_not_taken_for_equal_words():
+    """With all words' hashes equal, only the words themselves tell occurrences."""
+    items, text = ["a b c d e", "b c d e f"], "x a b c d e f y"
+    words = tokens.split(*tokens.buffers(pa.array(items)), tokens.NOT_ALPHANUMERIC, lower=True)
+    same = np.ones(len(words.start), np.uint64)
+    p = decontam.Patterns(words, same, np.array([0]), np.array([0]), 5)
+    found = tokens.split(*tokens.buffers(pa.array([text])), tokens.NOT_ALPHANUMERIC, lower=True)
+    assert p.search(found, np.ones(len(found.start), np.uint64))[0].tolist() == [1]
+
+
 CASES = ["", "a@b.c_d@e.f.@g.h a..b@c.d..", "x" * 100_000, "1" * 100_000, "1.2.3.4.5.6.7.8.9", "999.1.1.1 01.002.0003.4", "é😀 4111 1111 1111 1111 +1 (555) 123-4567-", "+1" + "-" * 5000]
 CASES += ["a@b" + ".c" * 20_000, "1 2-3 " * 9, "++49 30 123456", "1-" * 30_000, "1.2.3." + "9" * 40, "@" * 1000, "a" * 50_000 + "@" + "b" * 50_000]
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
