@@ -2,70 +2,66 @@
 
 1. Words are counted over all texts into a table of 2**20 hashed counters, kept as one byte of log count each; its size
    is fixed, and a counter that several words share only makes them look more frequent. A line's distinct words, as
-   64-bit keys, are ordered by that rarity and then by hash: one order for all lines, which is all that exactness needs.
-2. Lines with equal word sets form a class, so a line that stands in a third of all rows is one row from here on.
+   64-bit hashes, are ordered by that rarity and then by hash: one order for all lines, which is all that exactness needs.
+2. One pass over the texts gives each line its class (128 bits of its word set), its number of words, its rarest words
+   and a 64-bit map of its set, in which each word flips one bit. Lines of one class are one row from here on, so a line that stands in a third of all rows
+   costs what any other does. Sets too small to have any partner but themselves go no further.
 3. Prefix filter: two sets with Jaccard similarity t or more share a word among the first n - ceil(t * n) + 1 of the
-   larger and the first n - ceil(2t / (1 + t) * n) + 1 of the smaller. Classes meet in an equi-join on these words, under
-   the length filter, the positional filter (the words behind the shared one must suffice for the overlap), and a 64-bit
-   map of each set (more bits that differ than words may differ rule a pair out). These are conditions of the join, so
-   pairs that fail them are never rows.
+   larger and the first n - ceil(2t / (1 + t) * n) + 1 of the smaller. Classes meet in an equi-join on these words, which
+   shuffles a row of four numbers for each class and word once for both sides, under the length filter, the positional filter (the words behind the
+   shared one must suffice for the overlap), and the maps (more bits that differ than words may differ rule a pair out).
+   These are conditions of the join, so pairs that fail them are never rows.
 4. That an earlier line matches is all that need be known of a line. So each class first meets only the earliest class
-   that has one of its prefix words, which is a row for each of its words. Near copies of one line are settled by that,
-   and the join of step 3 is left with the pairs whose later class is still open.
-5. The lines of candidate pairs are tokenised again and their Jaccard similarity is verified.
+   that has one of its prefix words, which is a row for each of its words. Near copies of one line are settled by that, and the self-join of step 3 is left with the
+   pairs whose later class is still open.
+5. The lines of candidate pairs are read again, and their Jaccard similarity is verified on all their words. A bit map
+   tells which documents and which of their lines are wanted, so that few others are cut into lines and shuffled. It has
+   eight bits or more for each wanted line up to ``MOST_FLAGS`` in all; beyond that it lets more lines through to the
+   join, which is exact.
 6. A line goes if a line before it (by document id, then line number) has an equal or similar word set.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import dropped, written
 
-WORD = r"[^\x20\x09-\x0D]+"
 COUNTERS = 1 << 20
-LINE_FLAGS = 1 << 20
-#: Characters a row of a packed table.
+MOST_FLAGS = 1 << 26
+#: Cells of a table that are gathered into one row at first.
 CHUNK = 4096
 
 
-def _hash(word: Column) -> Column:
-    return F.xxhash64(word)
+def _split(text: Column) -> Column:
+    """The lower-cased words, parted by ASCII white space, and maybe empty strings. Plain replacing is faster than a pattern."""
+    spaced = reduce(lambda t, c: F.replace(t, F.lit(c), F.lit(" ")), "\t\n\x0b\x0c\r", F.lower(text))
+    return F.split(spaced, " ")
 
 
-def _packed(marks: DataFrame, size: int, name: str) -> DataFrame:
-    """One row: a binary value of ``size`` bytes from rows (place, code); 0 elsewhere. Its size is fixed, so it may travel."""
-    spark = marks.sparkSession
-    filled = spark.range(size).join(marks.withColumnRenamed("place", "id"), "id", "left")
-    cell = F.struct("id", F.chr(F.coalesce("code", F.lit(0)) + 1).alias("c"))
-    joined = lambda cells: F.array_join(F.transform(F.sort_array(F.collect_list(cells)), lambda x: x["c"]), "")
-    rows = filled.groupBy(F.floor(F.col("id") / CHUNK).alias("id")).agg(joined(cell).alias("c"))
-    return written(rows.agg(joined(F.struct("id", "c")).cast("binary").alias("packed")), name)
+def _set(line: Column) -> Column:
+    """Hashes of the distinct words, ascending."""
+    hashes = F.array_distinct(F.transform(_split(line), lambda w: F.xxhash64(w)))
+    return F.sort_array(F.array_remove(hashes, F.xxhash64(F.lit(""))))
 
 
-def _code(table: Column, place: Column) -> Column:
-    return F.ascii(F.substring(table, place.cast("int") + 1, F.lit(1)).cast("string")) - 1
+def _table(marks: DataFrame, size: int, name: str) -> DataFrame:
+    """One row: an array of ``size`` values from rows (place, value); 0 elsewhere. Its size is bounded, so it may travel."""
+    filled = marks.sparkSession.range(size).join(marks.withColumnRenamed("place", "id"), "id", "left")
+    zero = F.lit(0).cast(marks.schema["value"].dataType)
+    in_order = lambda cells: F.transform(F.sort_array(F.collect_list(cells)), lambda x: x["v"])
+    rows = filled.groupBy(F.floor(F.col("id") / CHUNK).alias("id")).agg(in_order(F.struct("id", F.coalesce("value", zero).alias("v"))).alias("v"))
+    return written(rows.agg(F.flatten(in_order(F.struct("id", "v"))).alias("cells")), name)
 
 
 def _rarity(docs: DataFrame, text: str) -> DataFrame:
     """The table of log counts, 0 to 125."""
-    words = docs.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))).alias("w"))
-    counts = words.groupBy(_hash(F.col("w")).bitwiseAND(COUNTERS - 1).alias("place")).agg(F.count(F.lit(1)).alias("n"))
-    return _packed(counts.select("place", F.least(F.lit(125), F.round(F.log2("n") * 4)).cast("int").alias("code")), COUNTERS, "rarity")
-
-
-def _with_keys(lines: DataFrame, rarity: DataFrame) -> DataFrame:
-    """``lines`` with ``keys`` in place of ``line``: its distinct words as sorted longs, rarity in the high byte, hash below.
-
-    The table comes in as a scalar subquery: one value for each executor, which is part of no row and of no plan's text.
-    """
-    line = F.col("line")
-    table = F.col("_rarity")
-    hashes = F.array_distinct(F.transform(F.regexp_extract_all(F.lower(line), F.lit(WORD), F.lit(0)), _hash))
-    key = lambda h: F.shiftleft(_code(table, h.bitwiseAND(COUNTERS - 1)).cast("long"), 56).bitwiseOR(h.bitwiseAND((1 << 56) - 1))
-    others = [c for c in lines.columns if c != "line"]
-    return lines.withColumn("_rarity", rarity.scalar()).select(*others, F.sort_array(F.transform(hashes, key)).alias("keys"))
+    words = docs.select(F.explode(_split(F.col(text))).alias("w")).where("w != ''")
+    counts = words.groupBy(F.xxhash64("w").bitwiseAND(COUNTERS - 1).alias("place")).agg(F.count(F.lit(1)).alias("n"))
+    return _table(counts.select("place", F.least(F.lit(125), F.round(F.log2("n") * 4)).cast("byte").alias("value")), COUNTERS, "rarity")
 
 
 def _lines(docs: DataFrame, text: str) -> DataFrame:
@@ -76,24 +72,55 @@ def _ceil(a: Column, b: int) -> Column:
     return F.floor((a + (b - 1)) / b).cast("int")
 
 
-def _later(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str, rarity: DataFrame, percent: int) -> DataFrame:
-    """(cls): of each pair (cls_a, cls_b) whose whole sets match, the class whose first line is the later one."""
-    pairs = written(pairs, "pairs")
-    ends = pairs.select(F.col("cls_a").alias("cls")).union(pairs.select(F.col("cls_b").alias("cls"))).distinct()
-    wanted = written(classes.select("cls", F.col("at.doc_id").alias("doc_id"), F.col("at.line_no").alias("line_no")).join(ends, "cls"), "ends")
-    # a fixed-size map of the wanted lines keeps most others out of the join that finds their texts
-    flag = F.xxhash64("doc_id", "line_no").bitwiseAND(LINE_FLAGS - 1)
-    flags = _packed(wanted.select(flag.alias("place")).distinct().withColumn("code", F.lit(1)), LINE_FLAGS, "flags")
-    maybe = _lines(docs, text).where(_code(flags.scalar(), flag) == 1)
-    same = (maybe["doc_id"].eqNullSafe(wanted["doc_id"])) & (maybe["line_no"] == wanted["line_no"])
-    sets = _with_keys(maybe.join(wanted, same).select("cls", wanted["doc_id"], wanted["line_no"], "line"), rarity)
-    sets = sets.where(F.xxhash64("keys") == F.col("cls"))
-    side = lambda s: sets.select(F.col("cls").alias(f"cls_{s}"), F.struct("doc_id", "line_no").alias(f"at_{s}"), F.col("keys").alias(f"keys_{s}"))
-    checked = pairs.join(side("a"), "cls_a").join(side("b"), "cls_b")
-    common = F.size(F.array_intersect("keys_a", "keys_b"))
-    matched = checked.where(100 * common >= percent * (F.size("keys_a") + F.size("keys_b") - common))
-    later = written(matched.select(F.when(F.col("at_a") > F.col("at_b"), F.col("cls_a")).otherwise(F.col("cls_b")).alias("cls")).distinct(), "later")
-    dropped(pairs, wanted, flags)
+def _profiles(docs: DataFrame, text: str, percent: int) -> DataFrame:
+    """A row for each line: doc_id, line_no, h (its text's hash), c1 and c2 (its class), n, bits, prefix.
+
+    ``prefix`` has the rarest words, rarity in the high byte and 56 bits of hash below; it is empty where the set is too
+    small to be similar to another one. A line without words has n = 0.
+    """
+    rarity = _rarity(docs, text)
+    sets = _lines(docs, text).select("doc_id", "line_no", F.xxhash64("line").alias("h"), _set(F.col("line")).alias("s"))
+    n = F.size("s")
+    shift = lambda x, by: F.call_function("shiftleft", x, by)
+    bits = F.aggregate("s", F.lit(0).cast("long"), lambda acc, k: acc.bitwiseXOR(shift(F.lit(1).cast("long"), k.bitwiseAND(63).cast("int"))))
+    sets = sets.select("*", F.xxhash64("s").alias("c1"), F.xxhash64(F.lit(1), "s").alias("c2"), n.alias("n"), bits.alias("bits"), (n - _ceil(n * percent, 100) + 1).alias("most"), (n * (100 - percent) >= percent).alias("large"), rarity.scalar().alias("table"))
+    # each column of the step before has one use here, so the optimiser merges the two steps: the table is one value for
+    # each executor, and no row holds it
+    key = lambda h: F.shiftleft(F.get("table", h.bitwiseAND(COUNTERS - 1).cast("int")).cast("long"), 56).bitwiseOR(h.bitwiseAND((1 << 56) - 1))
+    prefix = F.slice(F.sort_array(F.transform("s", key)), F.lit(1), F.col("most"))
+    out = sets.select("doc_id", "line_no", "h", "c1", "c2", "n", "bits", F.when(F.col("large"), prefix).alias("prefix"))
+    table = written(out, "lines")
+    dropped(rarity)
+    return table
+
+
+def _sided(df: DataFrame, side: str, *keep: str) -> DataFrame:
+    return df.select(*keep, *(F.col(c).alias(f"{c}_{side}") for c in df.columns if c not in keep))
+
+
+def _later(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str, percent: int) -> DataFrame:
+    """(id): of each pair (a, b) of classes whose whole sets match, the later class."""
+    pairs = written(pairs.distinct(), "pairs")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    wanted = written(classes.select("id", "h", F.xxhash64("doc_id").alias("d")).join(ends, "id"), "wanted")
+    size = 64
+    while size < min(MOST_FLAGS, 16 * wanted.count()):
+        size *= 2
+    bit = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(63).cast("int"))
+    cell = lambda k: F.shiftrightunsigned(k, 6).bitwiseAND(size // 64 - 1).cast("int")
+    k = F.col("k")
+    marks = wanted.select(F.explode(F.array("h", "d")).alias("k")).groupBy(cell(k).alias("place")).agg(F.bit_or(bit(k)).alias("value"))
+    flags = _table(marks, size // 64, "flags")
+    flagged = lambda k: F.get(flags.scalar(), cell(k)).bitwiseAND(bit(k)) != 0
+    maybe = _lines(docs.where(flagged(F.xxhash64("doc_id"))), text).select(F.xxhash64("line").alias("h"), "line").where(flagged(F.col("h")))
+    # copies of a line are one row before they meet the wanted ones; lines that share a hash are kept apart
+    found = maybe.groupBy("h", "line").agg(F.count(F.lit(1)).alias("copies")).join(wanted, "h")
+    sets = written(found.select("id", _set(F.col("line")).alias("s")), "sets")
+    checked = pairs.join(_sided(sets, "a").withColumnRenamed("id_a", "a"), "a").join(_sided(sets, "b").withColumnRenamed("id_b", "b"), "b")
+    common = F.size(F.array_intersect("s_a", "s_b"))
+    matched = checked.where(100 * common >= percent * (F.size("s_a") + F.size("s_b") - common))
+    later = written(matched.select(F.greatest("a", "b").alias("id")).distinct(), "later")
+    dropped(pairs, wanted, flags, sets)
     return later
 
 
@@ -103,45 +130,51 @@ def similar_lines(docs: DataFrame, text: str = "text", percent: int = 90) -> Dat
     Lines are parted by line feeds; a line's words are runs of no ASCII white space, lower-cased. A line without words
     is never removed. Two lines match if 100 * common words >= percent * words of either. A line goes if any earlier one
     matches it, removed itself or not. Null and empty texts are one empty line. A repeated row counts as one document,
-    and so do all rows without an id. An empty table gives an empty result. Other columns are left alone.
+    and so do all rows without an id, which come first. An empty table gives an empty result. Other columns are left alone.
     """
     docs = docs.select("doc_id", text)
-    rarity = _rarity(docs, text)
-    keyed = _with_keys(_lines(docs, text), rarity)
-    n = F.size("keys")
-    prefix = n - _ceil(n * percent, 100) + 1
-    bits = F.aggregate("keys", F.lit(0).cast("long"), lambda acc, k: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(63).cast("int"))))
-    lines = written(
-        keyed.select("doc_id", "line_no", n.alias("n"), F.when(n > 0, F.xxhash64("keys")).alias("cls"), F.slice("keys", F.lit(1), F.greatest(prefix, F.lit(0))).alias("prefix"), bits.alias("bits")),
-        "lines",
-    )
-    found = lines.where("n > 0").groupBy("cls").agg(F.min(F.struct("doc_id", "line_no", "n", "prefix", "bits")).alias("f"))
-    classes = written(found.select("cls", F.struct("f.doc_id", "f.line_no").alias("at"), "f.n", "f.prefix", "f.bits"), "classes")
-    words = classes.select("cls", "at", "n", "bits", F.posexplode("prefix").alias("pos", "word"))
-    sided = lambda df, s: df.select("word", *(F.col(c).alias(f"{c}_{s}") for c in df.columns if c != "word"))
-    both = F.col("n_a") + F.col("n_b")
+    lines = _profiles(docs, text, percent)
+    found = lines.where("n > 0").groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "line_no", "h", "n", "bits", "prefix")).alias("f")).select("c1", "c2", "copies", "f.*")
+    # ids ascend as the classes' first lines do
+    classes = written(found.orderBy("doc_id", "line_no", "h").withColumn("id", F.monotonically_increasing_id()), "classes")
+    sets = classes.where("prefix IS NOT NULL").select("id", "n", "bits", "prefix")
+
+    def words(of: DataFrame) -> DataFrame:
+        """A row for each word of a prefix: word, id, bits, n and pos (as one long), and the columns of ``of`` behind these."""
+        found = of.select("id", "bits", "n", *of.columns[4:], F.posexplode("prefix").alias("pos", "word"))
+        return found.select("word", "id", "bits", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("pos").cast("long")).alias("np"), *of.columns[4:])
+
+    n = lambda s: F.shiftrightunsigned(f"np_{s}", 32).cast("int")
+    pos = lambda s: F.col(f"np_{s}").bitwiseAND((1 << 32) - 1).cast("int")
+    both = n("a") + n("b")
     overlap = _ceil(percent * both, 100 + percent)
-    length = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    positional = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) >= overlap
+    length = 100 * F.least(n("a"), n("b")) >= percent * F.greatest(n("a"), n("b"))
+    positional = F.least(n("a") - pos("a"), n("b") - pos("b")) >= overlap
     maps = F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b"))) <= both - 2 * overlap
     alike = length & positional & maps
-    lead = words.groupBy("word").agg(F.min(F.struct("at", "cls", "n", "bits", "pos")).alias("f"), F.count(F.lit(1)).alias("m")).where("m > 1").select("word", "f.*")
-    near_lead = sided(words, "a").join(sided(lead, "b"), "word").where(alike & (F.col("cls_a") != F.col("cls_b")))
-    settled = _later(near_lead.select("cls_a", "cls_b").distinct(), classes, docs, text, rarity, percent)
-    marked = words.join(settled.withColumn("settled", F.lit(True)), "cls", "left").withColumn("open", F.col("settled").isNull()).drop("settled")
-    index_prefix = F.col("n") - _ceil(2 * percent * F.col("n"), 100 + percent) + 1
-    small = sided(marked.where(F.col("pos") < index_prefix), "b")
-    smaller = (F.col("n_b") < F.col("n_a")) | ((F.col("n_b") == F.col("n_a")) & (F.col("cls_b") < F.col("cls_a")))
-    undecided = F.when(F.col("at_a") > F.col("at_b"), F.col("open_a")).otherwise(F.col("open_b"))
-    rest = sided(marked, "a").join(small, "word").where(smaller & alike & undecided)
-    late = settled.union(_later(rest.select("cls_a", "cls_b").distinct(), classes, docs, text, rarity, percent))
-    first = classes.select("cls", F.col("at.doc_id").alias("d"), F.col("at.line_no").alias("l"))
-    verdict = written(first.join(late.distinct().withColumn("late", F.lit(True)), "cls", "left"), "verdict")
-    judged = lines.select("doc_id", "line_no", "cls").join(verdict, "cls", "left")
-    is_first = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("line_no") == F.col("l"))
-    goes = F.col("cls").isNotNull() & (F.coalesce("late", F.lit(False)) | ~is_first)
-    by_doc = judged.groupBy("doc_id").agg(F.max("line_no").alias("last"), F.sort_array(F.collect_set(F.when(goes, F.col("line_no")))).alias("removed"))
-    return by_doc.select("doc_id", (F.col("last") + 1).cast("long").alias("n_lines"), F.size("removed").cast("long").alias("n_removed"), "removed")
+    pair = (F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+    first = words(sets).groupBy("word").agg(F.min("id").alias("lead"), F.count(F.lit(1)).alias("m")).where("m > 1").select("word", "lead")
+    led = words(sets).join(first, "word")
+    lead = led.where(F.col("id") == F.col("lead")).drop("lead")
+    near_lead = _sided(led.where(F.col("id") != F.col("lead")).drop("lead"), "a", "word").join(_sided(lead, "b", "word"), "word").where(alike)
+    settled = _later(near_lead.select(*pair), classes, docs, text, percent)
+    marked = sets.join(settled.withColumn("settled", F.lit(True)), "id", "left").withColumn("open", F.col("settled").isNull()).drop("settled")
+    # both sides are the same table, which is shuffled once: what holds for one side only is asked of the pair as well
+    smaller = (n("b") < n("a")) | ((n("b") == n("a")) & (F.col("id_b") < F.col("id_a")))
+    index_prefix = pos("b") < n("b") - _ceil(2 * percent * n("b"), 100 + percent) + 1
+    undecided = F.when(F.col("id_a") > F.col("id_b"), F.col("open_a")).otherwise(F.col("open_b"))
+    rest = _sided(words(marked), "a", "word").join(_sided(words(marked), "b", "word"), "word").where(F.when(smaller, index_prefix & alike & undecided).otherwise(False))
+    late = settled.union(_later(rest.select(*pair), classes, docs, text, percent)).distinct()
+    named = classes.select("c1", "c2", "id", "copies", F.col("doc_id").alias("d"), F.col("line_no").alias("l")).join(late.withColumn("late", F.lit(True)), "id", "left")
+    verdict = written(named.where("late OR copies > 1").select("c1", "c2", "d", "l", F.coalesce("late", F.lit(False)).alias("late")), "verdict")
+    dropped(classes, settled)
+    first = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("line_no") == F.col("l"))
+    gone = lines.select("doc_id", "line_no", "c1", "c2").join(verdict, ["c1", "c2"]).where(F.col("late") | ~first)
+    gone = gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("removed")).withColumnRenamed("doc_id", "_d")
+    counts = lines.groupBy("doc_id").agg((F.max("line_no") + 1).cast("long").alias("n_lines"))
+    none = F.expr("cast(array() as array<int>)")
+    both = counts.join(gone, F.col("doc_id").eqNullSafe(F.col("_d")), "left").withColumn("removed", F.coalesce("removed", none))
+    return both.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed")
 
 
 def without_lines(docs: DataFrame, removed: DataFrame, text: str = "text") -> DataFrame:
