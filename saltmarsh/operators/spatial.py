@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -108,10 +108,11 @@ def _kept_corners(ring: list, tolerance: float) -> list:
 def simplified(rings: Column, tolerance: float) -> Column:
     """Rings without the corners that lie within ``tolerance`` of what is left; null stays null. Shapes in Arrow batches."""
 
-    @F.pandas_udf(RINGS)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(RINGS)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for shapes in batches:
-            yield shapes.map(lambda shape: None if shape is None else [_kept_corners(list(ring), tolerance) if len(ring) else [] for ring in shape])
+            done = [None if shape is None else [_kept_corners(ring, tolerance) if ring else [] for ring in shape] for shape in shapes.to_pylist()]
+            yield pa.array(done, shapes.type)
 
     return run(rings)
 
