@@ -21,6 +21,17 @@ def zone_convert(events: DataFrame) -> DataFrame:
     return events.select("event_id", times.localized(F.col("ts"), zone).cast("timestamp_ntz").alias("utc"), times.in_zone(F.col("ts"), zone).cast("timestamp_ntz").alias("pacific"))
 
 
+@query("""WITH t AS (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN TIMESTAMP '2024-03-10 08:00:00' ELSE TIMESTAMP '2024-11-03 07:00:00' END + to_minutes(event_id % 241) AS u FROM events),
+p AS (SELECT event_id, u, (u AT TIME ZONE 'UTC') AT TIME ZONE 'America/Los_Angeles' AS pacific FROM t)
+SELECT event_id, pacific, strftime(pacific, '%Y-%m-%dT%H:%M:%S') || CASE date_diff('hour', u, pacific) WHEN -8 THEN '-08:00' WHEN -7 THEN '-07:00' END AS iso FROM p""")
+def zone_clock_changes(events: DataFrame) -> DataFrame:
+    """Instants in the hours around both clock changes of a year."""
+    zone = "America/Los_Angeles"
+    start = F.when(F.col("event_id") % 2 == 0, "2024-03-10 08:00:00").otherwise("2024-11-03 07:00:00").cast("timestamp_ntz")
+    at = events.select("event_id", F.timestamp_add("MINUTE", (F.col("event_id") % 241).cast("int"), start).alias("u"))
+    return at.select("event_id", times.in_zone(F.col("u"), zone).cast("timestamp_ntz").alias("pacific"), times.iso_text(F.col("u"), zone).alias("iso"))
+
+
 @query("SELECT o_orderkey, o_orderdate::DATE + INTERVAL 8 HOUR + INTERVAL 1 HOUR * (o_orderkey % 24) AS instant FROM orders")
 def fixed_offset_hour(orders: DataFrame) -> DataFrame:
     return orders.select("o_orderkey", times.report_hour(F.to_date("o_orderdate"), (F.col("o_orderkey") % 24).cast("int")).alias("instant"))
