@@ -24,15 +24,15 @@ def components(links: DataFrame) -> DataFrame:
     state = _state(table)
     while state[0]:
         both = table.union(table.select("v", "u"))
-        # tables and not aggregates are joined, so that Spark can split the partition of a node with very many links
+        # a node with very many links is mostly the least of them, and changes nothing; the join reads a table and not an
+        # aggregate, so that Spark can split such a node's partition
         least = written(both.groupBy("u").agg(F.min("v").alias("m")).where("m < u"), "least")
         large = both.where(F.col("v") > F.col("u")).join(least, "u", "left").select(F.col("v").alias("u"), F.coalesce("m", "u").alias("v")).distinct()
-        large = written(large, "large")
-        smallest = written(large.groupBy("u").agg(F.min("v").alias("m")), "smallest")
+        smallest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(smallest, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         after = written(small.union(smallest).distinct(), "links")
         now = _state(after)
-        dropped(table, least, large, smallest)
+        dropped(table, least)
         table = after
         if now == state:
             break

@@ -1,7 +1,7 @@
 """Line deduplication: an exact set-similarity join of all lines. DataFrame functions only.
 
-1. Words are counted over all texts into a table of 2**20 hashed counters, kept as one byte of log count each; its size
-   is fixed, and a counter that several words share only makes them look more frequent. A line's distinct words, as
+1. Words are counted over all texts into a table of 2**20 hashed counters, kept as log counts, 8 MB in all; its size is
+   fixed, and a counter that several words share only makes them look more frequent. A line's distinct words, as
    64-bit hashes, are ordered by that rarity and then by hash: one order for all lines, which is all that exactness needs.
 2. One pass over the texts gives each line its class (128 bits of its word set), its number of words, its rarest words
    and a 64-bit map of its set, in which each word flips one bit. Lines of one class are one row from here on, so a line that stands in a third of all rows
@@ -58,10 +58,11 @@ def _table(marks: DataFrame, size: int, name: str) -> DataFrame:
 
 
 def _rarity(docs: DataFrame, text: str) -> DataFrame:
-    """The table of log counts, 0 to 125."""
+    """The table of log counts, 0 to 125, each in the high byte of a long."""
     words = docs.select(F.explode(_split(F.col(text))).alias("w")).where("w != ''")
     counts = words.groupBy(F.xxhash64("w").bitwiseAND(COUNTERS - 1).alias("place")).agg(F.count(F.lit(1)).alias("n"))
-    return _table(counts.select("place", F.least(F.lit(125), F.round(F.log2("n") * 4)).cast("byte").alias("value")), COUNTERS, "rarity")
+    code = F.least(F.lit(125), F.round(F.log2("n") * 4)).cast("long")
+    return _table(counts.select("place", F.shiftleft(code, 56).alias("value")), COUNTERS, "rarity")
 
 
 def _lines(docs: DataFrame, text: str) -> DataFrame:
@@ -83,10 +84,10 @@ def _profiles(docs: DataFrame, text: str, percent: int) -> DataFrame:
     n = F.size("s")
     shift = lambda x, by: F.call_function("shiftleft", x, by)
     bits = F.aggregate("s", F.lit(0).cast("long"), lambda acc, k: acc.bitwiseXOR(shift(F.lit(1).cast("long"), k.bitwiseAND(63).cast("int"))))
-    sets = sets.select("*", F.xxhash64("s").alias("c1"), F.xxhash64(F.lit(1), "s").alias("c2"), n.alias("n"), bits.alias("bits"), (n - _ceil(n * percent, 100) + 1).alias("most"), (n * (100 - percent) >= percent).alias("large"), rarity.scalar().alias("table"))
+    sets = sets.select("*", F.xxhash64("s").alias("c1"), F.xxhash64(F.lit(1), "s").alias("c2"), n.alias("n"), F.when(n * (100 - percent) >= percent, bits).alias("bits"), (n - _ceil(n * percent, 100) + 1).alias("most"), (n * (100 - percent) >= percent).alias("large"), rarity.scalar().alias("table"))
     # each column of the step before has one use here, so the optimiser merges the two steps: the table is one value for
     # each executor, and no row holds it
-    key = lambda h: F.shiftleft(F.get("table", h.bitwiseAND(COUNTERS - 1).cast("int")).cast("long"), 56).bitwiseOR(h.bitwiseAND((1 << 56) - 1))
+    key = lambda h: F.get("table", h.bitwiseAND(COUNTERS - 1).cast("int")).bitwiseOR(h.bitwiseAND((1 << 56) - 1))
     prefix = F.slice(F.sort_array(F.transform("s", key)), F.lit(1), F.col("most"))
     out = sets.select("doc_id", "line_no", "h", "c1", "c2", "n", "bits", F.when(F.col("large"), prefix).alias("prefix"))
     table = written(out, "lines")
@@ -153,7 +154,7 @@ def similar_lines(docs: DataFrame, text: str = "text", percent: int = 90) -> Dat
     maps = F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b"))) <= both - 2 * overlap
     alike = length & positional & maps
     pair = (F.col("id_a").alias("a"), F.col("id_b").alias("b"))
-    first = words(sets).groupBy("word").agg(F.min("id").alias("lead"), F.count(F.lit(1)).alias("m")).where("m > 1").select("word", "lead")
+    first = words(sets).groupBy("word").agg(F.min("id").alias("lead"))
     led = words(sets).join(first, "word")
     lead = led.where(F.col("id") == F.col("lead")).drop("lead")
     near_lead = _sided(led.where(F.col("id") != F.col("lead")).drop("lead"), "a", "word").join(_sided(lead, "b", "word"), "word").where(alike)

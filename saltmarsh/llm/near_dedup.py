@@ -24,11 +24,11 @@ split the partitions of hot keys.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
@@ -238,6 +238,23 @@ def _compare(n: int, percent: int):
     return run
 
 
+def _open_families(placed: DataFrame, linked: DataFrame, links: DataFrame, compared: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Components once the texts of large families that lie outside their family's largest component have met all its blocks."""
+    several = placed.where("blocks > 1").join(linked, "node", "left").withColumn("joined", F.coalesce("component", "node")).drop("component")
+    several = written(several, "several")
+    sizes = several.groupBy("family", "joined").agg(F.count(F.lit(1)).alias("m"))
+    largest = sizes.groupBy("family").agg(F.max(F.struct("m", "joined")).alias("x"), F.sum("m").alias("all"))
+    largest = written(largest.select("family", F.col("x.joined").alias("largest"), (F.col("all") - F.col("x.m")).alias("rest")).where("rest > 0"), "largest")
+    if not largest.isEmpty():
+        open_ = several.join(largest, "family").withColumn("others", F.ceil(F.col("rest") / BLOCK_TEXTS).cast("int"))
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        other = open_.where(F.col("joined") != F.col("largest")).withColumns({"ti": F.pmod(F.xxhash64(F.lit(1), "node"), F.col("others")).cast("int"), "side": F.lit(1)}).withColumn("tj", every("blocks"))
+        each = open_.withColumns({"tj": F.col("block"), "side": F.lit(0)}).withColumn("ti", every("others"))
+        linked = written(components(links.union(compared(other.unionByName(each)))), "linked")
+    dropped(several, largest)
+    return linked
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of ``docs`` (doc_id, text; other columns are left alone).
 
@@ -258,33 +275,22 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     parts = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_TEXTS, F.sum("n") / BLOCK_SHINGLES)).cast("int")
     large = written(members.groupBy("family").agg(parts.alias("blocks")).where("blocks > 1"), "large")
     placed = members.join(large, "family", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    placed = written(placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "placed")
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     ours = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
 
     def compared(tiles: DataFrame) -> DataFrame:
         texts = ours.join(tiles.select("node", "k1", "k2", "family", "ti", "tj", "side", "joined"), "node")
         return written(gathered(texts, "family", "ti", "tj").mapInArrow(_compare(words, percent), "a long, b long"), "confirmed")
 
-    def blocks_to(n: Column) -> Column:
-        return F.explode(F.sequence(F.lit(0), n - 1))
-
     # each block meets the first one of its family
     one = placed.withColumn("joined", F.col("node")).withColumn("ti", F.lit(0))
     met = one.withColumn("tj", F.explode(F.when(F.col("block") > 0, F.array("block")).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))))
     links = compared(met.withColumn("side", F.when(F.col("block") > 0, 1).otherwise(0)))
     linked = written(components(links), "linked")
-    # in families of several blocks: what is outside the largest component meets all blocks
-    several = placed.where("blocks > 1").join(linked, "node", "left").withColumn("joined", F.coalesce("component", "node")).drop("component")
-    several = written(several, "several")
-    sizes = several.groupBy("family", "joined").agg(F.count(F.lit(1)).alias("m"))
-    largest = written(sizes.groupBy("family").agg(F.max(F.struct("m", "joined")).alias("x"), F.sum("m").alias("all")).select("family", F.col("x.joined").alias("largest"), (F.col("all") - F.col("x.m")).alias("rest")).where("rest > 0"), "largest")
-    if not largest.isEmpty():
-        open_ = several.join(largest, "family").withColumn("others", F.ceil(F.col("rest") / BLOCK_TEXTS).cast("int"))
-        other = open_.where(F.col("joined") != F.col("largest")).withColumns({"ti": F.pmod(F.xxhash64(F.lit(1), "node"), F.col("others")).cast("int"), "side": F.lit(1)}).withColumn("tj", blocks_to(F.col("blocks")))
-        each = open_.withColumns({"tj": F.col("block"), "side": F.lit(0)}).withColumn("ti", blocks_to(F.col("others")))
-        linked = written(components(links.union(compared(other.unionByName(each)))), "linked")
+    if not large.isEmpty():
+        linked = _open_families(placed, linked, links, compared)
     named_component = written(keys.join(linked, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component")), "components")
-    dropped(members, large, placed, several, largest)
+    dropped(members, large)
     out = profiles.drop("bands").join(named_component, ["k1", "k2"], "left").withColumn("component_id", F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
