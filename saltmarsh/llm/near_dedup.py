@@ -276,7 +276,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     large = written(members.groupBy("family").agg(parts.alias("blocks")).where("blocks > 1"), "large")
     placed = members.join(large, "family", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    ours = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
+    # of all texts, only the families' are shuffled again
+    ours = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(members.select("node").distinct(), "node")
+    ours = written(ours, "texts")
 
     def compared(tiles: DataFrame) -> DataFrame:
         texts = ours.join(tiles.select("node", "k1", "k2", "family", "ti", "tj", "side", "joined"), "node")
@@ -290,7 +292,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     if not large.isEmpty():
         linked = _open_families(placed, linked, links, compared)
     named_component = written(keys.join(linked, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component")), "components")
-    dropped(members, large)
+    dropped(members, large, ours)
     out = profiles.drop("bands").join(named_component, ["k1", "k2"], "left").withColumn("component_id", F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
