@@ -28,12 +28,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import dropped, written
+from .shared import dense_table, dropped, flags_of, written
 
 COUNTERS = 1 << 20
 MOST_FLAGS = 1 << 26
-#: Cells of a table that are gathered into one row at first.
-CHUNK = 4096
 
 
 def _split(text: Column) -> Column:
@@ -48,21 +46,12 @@ def _set(line: Column) -> Column:
     return F.sort_array(F.array_remove(hashes, F.xxhash64(F.lit(""))))
 
 
-def _table(marks: DataFrame, size: int, name: str) -> DataFrame:
-    """One row: an array of ``size`` values from rows (place, value); 0 elsewhere. Its size is bounded, so it may travel."""
-    filled = marks.sparkSession.range(size).join(marks.withColumnRenamed("place", "id"), "id", "left")
-    zero = F.lit(0).cast(marks.schema["value"].dataType)
-    in_order = lambda cells: F.transform(F.sort_array(F.collect_list(cells)), lambda x: x["v"])
-    rows = filled.groupBy(F.floor(F.col("id") / CHUNK).alias("id")).agg(in_order(F.struct("id", F.coalesce("value", zero).alias("v"))).alias("v"))
-    return written(rows.agg(F.flatten(in_order(F.struct("id", "v"))).alias("cells")), name)
-
-
 def _rarity(docs: DataFrame, text: str) -> DataFrame:
     """The table of log counts, 0 to 125, each in the high byte of a long."""
     words = docs.select(F.explode(_split(F.col(text))).alias("w")).where("w != ''")
     counts = words.groupBy(F.xxhash64("w").bitwiseAND(COUNTERS - 1).alias("place")).agg(F.count(F.lit(1)).alias("n"))
     code = F.least(F.lit(125), F.round(F.log2("n") * 4)).cast("long")
-    return _table(counts.select("place", F.shiftleft(code, 56).alias("value")), COUNTERS, "rarity")
+    return dense_table(counts.select("place", F.shiftleft(code, 56).alias("value")), COUNTERS, "rarity")
 
 
 def _lines(docs: DataFrame, text: str) -> DataFrame:
@@ -104,15 +93,7 @@ def _later(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str, per
     pairs = written(pairs.distinct(), "pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     wanted = written(classes.select("id", "h", F.xxhash64("doc_id").alias("d")).join(ends, "id"), "wanted")
-    size = 64
-    while size < min(MOST_FLAGS, 16 * wanted.count()):
-        size *= 2
-    bit = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(63).cast("int"))
-    cell = lambda k: F.shiftrightunsigned(k, 6).bitwiseAND(size // 64 - 1).cast("int")
-    k = F.col("k")
-    marks = wanted.select(F.explode(F.array("h", "d")).alias("k")).groupBy(cell(k).alias("place")).agg(F.bit_or(bit(k)).alias("value"))
-    flags = _table(marks, size // 64, "flags")
-    flagged = lambda k: F.get(flags.scalar(), cell(k)).bitwiseAND(bit(k)) != 0
+    flags, flagged = flags_of(wanted.select(F.explode(F.array("h", "d")).alias("k")), 16 * wanted.count(), MOST_FLAGS)
     maybe = _lines(docs.where(flagged(F.xxhash64("doc_id"))), text).select(F.xxhash64("line").alias("h"), "line").where(flagged(F.col("h")))
     # copies of a line are one row before they meet the wanted ones; lines that share a hash are kept apart
     found = maybe.groupBy("h", "line").agg(F.count(F.lit(1)).alias("copies")).join(wanted, "h")

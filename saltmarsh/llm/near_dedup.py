@@ -34,12 +34,14 @@ from pyspark.sql import functions as F
 from . import tokens
 from .components import components
 from .groups import gathered, groups
-from .shared import dropped, written
+from .shared import dropped, flags_of, written
 
 REGISTERS, MANTISSA_BITS, BANDS, ROWS = 128, 10, 25, 5
 EMPTY = np.uint16(0xFFFF)
 #: Most texts, and shingles, of one block of a family.
 BLOCK_TEXTS, BLOCK_SHINGLES = 500, 1_000_000
+#: Flags for the members of families, 16 for each up to so many.
+MOST_FLAGS = 1 << 26
 
 
 def shingle_sets(words: tokens.Words, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -276,9 +278,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     large = written(members.groupBy("family").agg(parts.alias("blocks")).where("blocks > 1"), "large")
     placed = members.join(large, "family", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    # of all texts, only the families' are shuffled again
-    ours = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(members.select("node").distinct(), "node")
-    ours = written(ours, "texts")
+    # the families' texts, and few others, which meet no tile; texts outside families are not shuffled
+    flags, in_family = flags_of(members.select(F.xxhash64("node").alias("k")), 16 * members.count(), MOST_FLAGS)
+    ours = written(docs.select(F.col("doc_id").cast("long").alias("node"), "text").where(in_family(F.xxhash64("node"))), "texts")
 
     def compared(tiles: DataFrame) -> DataFrame:
         texts = ours.join(tiles.select("node", "k1", "k2", "family", "ti", "tj", "side", "joined"), "node")
@@ -292,7 +294,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     if not large.isEmpty():
         linked = _open_families(placed, linked, links, compared)
     named_component = written(keys.join(linked, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component")), "components")
-    dropped(members, large, ours)
+    dropped(members, large, ours, flags)
     out = profiles.drop("bands").join(named_component, ["k1", "k2"], "left").withColumn("component_id", F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 

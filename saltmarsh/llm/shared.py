@@ -9,9 +9,13 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+#: Cells of a table that are gathered into one row at first.
+CHUNK = 4096
 _OWN: dict[str, str] = {}
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -63,3 +67,26 @@ def _drop(spark: SparkSession, path: str) -> None:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def dense_table(marks: DataFrame, size: int, name: str) -> DataFrame:
+    """One row: an array of ``size`` values from rows (place, value); 0 elsewhere. Its size is bounded, so it may travel."""
+    filled = marks.sparkSession.range(size).join(marks.withColumnRenamed("place", "id"), "id", "left")
+    zero = F.lit(0).cast(marks.schema["value"].dataType)
+    in_order = lambda cells: F.transform(F.sort_array(F.collect_list(cells)), lambda x: x["v"])
+    rows = filled.groupBy(F.floor(F.col("id") / CHUNK).alias("id")).agg(in_order(F.struct("id", F.coalesce("value", zero).alias("v"))).alias("v"))
+    return written(rows.agg(F.flatten(in_order(F.struct("id", "v"))).alias("cells")), name)
+
+
+def flags_of(keys: DataFrame, wanted: int, most: int) -> tuple[DataFrame, Callable[[Column], Column]]:
+    """A one-row table of ``wanted`` to twice as many flags, ``most`` at most, and a test of whether a 64-bit hash is among
+    the one column of ``keys``. The test lets a few others through, the more the more keys there are to a flag.
+    """
+    size = 64
+    while size < min(most, wanted):
+        size *= 2
+    bit = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(63).cast("int"))
+    cell = lambda k: F.shiftrightunsigned(k, 6).bitwiseAND(size // 64 - 1).cast("int")
+    k = F.col(keys.columns[0])
+    flags = dense_table(keys.groupBy(cell(k).alias("place")).agg(F.bit_or(bit(k)).alias("value")), size // 64, "flags")
+    return flags, lambda k: F.get(flags.scalar(), cell(k)).bitwiseAND(bit(k)) != 0
