@@ -15,6 +15,7 @@ _MODULES = {
     "op8_pii": "pii",
     "op9_lpt_sharding": "sharding",
     "op10_topk_search": "topk",
+    "op11_collocations": "collocations",
     "op12_periodic_runs": "runs",
     "op13_exact_dedup": "exact_dedup",
 }

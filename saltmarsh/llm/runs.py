@@ -33,15 +33,17 @@ PERIODS, LEAST = 4, 6
 _SCHEMA = "doc_id {}, n_words long, n_runs long, start long, length long, period long, exponent_milli long, runs string, runs_sha256 string, collapsed_text string"
 
 
-def interned(words: tokens.Words) -> np.ndarray:
-    """Ids of the words: equal exactly if their bytes are."""
-    if not len(words.start):
-        return np.zeros(0, np.int32)
+def packed(words: tokens.Words) -> pa.Array:
+    """The words as an Arrow column."""
     size = words.end - words.start
-    offsets = np.concatenate([[0], np.cumsum(size)])
+    offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
     at = np.arange(offsets[-1]) + np.repeat(words.start - offsets[:-1], size)
-    packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(words.data[at])])
-    return packed.dictionary_encode().indices.to_numpy()
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(words.data[at])])
+
+
+def interned(words: tokens.Words) -> np.ndarray:
+    """Ids of the words: equal exactly if their bytes are."""
+    return packed(words).dictionary_encode().indices.to_numpy()
 
 
 def z_function(s: list[int]) -> list[int]:
