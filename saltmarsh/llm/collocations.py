@@ -36,7 +36,7 @@ from .shared import dropped, shuffle_partitions, written
 #: Most words of a phrase, which is the depth of the tries.
 DEPTH = 4
 #: Text of a shard, and of a range, in bytes; the most ranges, whose splitters the driver holds; sampled paths a range.
-SHARD_BYTES, RANGE_BYTES, MOST_RANGES, SAMPLES = 8 << 20, 16 << 20, 1 << 16, 16
+SHARD_BYTES, RANGE_BYTES, MOST_RANGES, SAMPLES = 8 << 20, 5 << 20, 1 << 16, 16
 UNKNOWN = "und"
 
 _PIECE_ENDS = tokens.separators((0x0A, 0x0D), *((ord(c), ord(c)) for c in ".,;:!?"))
@@ -106,10 +106,11 @@ def _summed(columns: list[np.ndarray], counts: np.ndarray | None = None) -> tupl
     pairs = []
     for a, b in (columns[:2], columns[2:]):
         base = int(b.max(initial=0)) + 1
-        different, place = np.unique(a * base + b, return_inverse=True)
+        different, place = np.unique(a.astype(np.int64) * base + b, return_inverse=True)
         pairs.append((different // base, different % base, place))
     (a, b, left), (c, d, right) = pairs
     key = left * np.int64(len(c)) + right
+    del left, right, pairs
     order = np.argsort(key, kind="stable")  # merges runs that are in order
     key = key[order]
     new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
@@ -143,16 +144,24 @@ def _coded(columns: list[np.ndarray], counts: np.ndarray, words: list[bytes]) ->
     new[1:] = np.logical_or.accumulate(paths[1:] != paths[:-1], axis=1)
     tails = local[new].astype(np.uint16 if len(used) < 1 << 16 else np.uint32)
     body = new.sum(axis=1).astype(np.uint8).tobytes() + counts.astype(np.int64).tobytes() + tails.tobytes()
-    return b"\n".join([words[i - 1] for i in used.tolist()]), np.int64(len(body)).tobytes() + pa.compress(body, codec="zstd", asbytes=True)
+    return _small(b"\n".join([words[i - 1] for i in used.tolist()])), _small(body)
+
+
+def _small(x: bytes) -> bytes:
+    return np.int64(len(x)).tobytes() + pa.compress(x, codec="zstd", asbytes=True)
+
+
+def _whole(x: bytes) -> bytes:
+    return pa.decompress(x[8:], int(np.frombuffer(x, np.int64, 1)[0]), codec="zstd", asbytes=True)
 
 
 def _decoded(n: int, n_words: int, coded: bytes) -> tuple[list[np.ndarray], np.ndarray]:
-    body = pa.decompress(coded[8:], int(np.frombuffer(coded, np.int64, 1)[0]), codec="zstd", asbytes=True)
+    body = _whole(coded)
     tail = np.frombuffer(body, np.uint8, n)
     counts = np.frombuffer(body, np.int64, n, offset=n)
     tails = np.frombuffer(body, np.uint16 if n_words < 1 << 16 else np.uint32, offset=9 * n)
     new = np.arange(DEPTH) >= (DEPTH - tail.astype(np.int64))[:, None]
-    paths = np.zeros((n, DEPTH), np.int64)
+    paths = np.zeros((n, DEPTH), np.int32)
     paths[new] = tails
     columns = []
     for k in range(DEPTH):
@@ -226,12 +235,12 @@ def _merged(least: int):
     schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("depth", pa.int32()), ("f", pa.int64())])
 
     def merge(lang: str, table: pa.Table) -> pa.RecordBatch:
-        lists = [x.split(b"\n") for x in table["words"].to_pylist()]
+        lists = [_whole(x).split(b"\n") for x in table["words"].to_pylist()]
         words, ids = _ordered(pa.array([w for x in lists for w in x], pa.large_binary()))
         at, parts = 0, []
         for x, n, coded in zip(lists, table["n"].to_pylist(), table["paths"].to_pylist()):
             columns, counts = _decoded(n, len(x), coded)
-            number = np.concatenate([[0], ids[at : at + len(x)]])
+            number = np.concatenate([[0], ids[at : at + len(x)]]).astype(np.int32)
             parts.append(([number[c] for c in columns], counts))
             at += len(x)
         columns, counts = _summed([np.concatenate([p[0][k] for p in parts]) for k in range(DEPTH)], np.concatenate([p[1] for p in parts]))

@@ -56,8 +56,8 @@ def test_paths_round_trip():
     columns, counts = c._trie(ids, piece)
     words = [b"w%d" % i for i in range(6)]
     names, coded = c._coded(columns, counts, words)
-    back, again = c._decoded(len(counts), len(names.split(b"\n")), coded)
-    local = names.split(b"\n")
+    local = c._whole(names).split(b"\n")
+    back, again = c._decoded(len(counts), len(local), coded)
     assert (again == counts).all() and counts.sum() == 500
     assert [[words[i - 1] if i else b"" for i in x] for x in columns] == [[local[i - 1] if i else b"" for i in x] for x in back]
 
