@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import projections
+from ..operators import spatial, topology
+from ..operators.spatial import _sides
 from .catalogue import query
 
 # The SQL side has its own way to the latitude: nine rounds of the fixed-point iteration.
@@ -41,3 +43,70 @@ def crs_from_degrees(customer: DataFrame) -> DataFrame:
     k = F.col("c_custkey")
     at = projections.from_degrees(F.lit(-117.5) + (k % 300) / 100.0, F.lit(32.4) + (k % 170) / 100.0, "EPSG:2230")
     return customer.select("c_custkey", at.alias("p")).select("c_custkey", F.round("p.x", 4).alias("x"), F.round("p.y", 4).alias("y"))
+
+
+def _tiles(customer: DataFrame, waves: bool = False) -> DataFrame:
+    """Unit squares in rows of ten; every third one has its lower side in two parts. With ``waves``, each side has a corner
+    in its middle that is moved across it, by less than 0.02 or by 0.08 and more, in both neighbours alike.
+    """
+    x, y = (F.col("c_custkey") % 10).cast("double"), F.floor(F.col("c_custkey") / 10).cast("double")
+    at = lambda dx, dy: F.struct((x + dx).alias("x"), (y + dy).alias("y"))
+    if not waves:
+        ring = F.when(F.col("c_custkey") % 3 == 0, F.array(at(0, 0), at(0.5, 0), at(1, 0), at(1, 1), at(0, 1), at(0, 0))).otherwise(F.array(at(0, 0), at(0, 1), at(1, 1), at(1, 0), at(0, 0)))
+    else:
+        off = lambda px, py, k: (px * 7 + py * 5 + k) % 8 * 0.02 - 0.02 * ((px * 7 + py * 5 + k) % 8 % 7) * F.when((px * 7 + py * 5 + k) % 8 < 4, 1).otherwise(0)
+        ring = F.array(at(0, 0), at(0.5, off(x, y, 0)), at(1, 0), at(1 + off(x + 1, y, 1), 0.5), at(1, 1), at(0.5, 1 + off(x, y + 1, 0)), at(0, 1), at(off(x, y, 1), 0.5), at(0, 0))
+    return customer.select("c_custkey", "c_nationkey", F.array(ring).alias("rings"))
+
+
+def _area(rings: Column) -> Column:
+    """The sum of the rings' signed areas."""
+    cross = lambda a, b: (a["x"] * b["y"] - b["x"] * a["y"]) / 2
+    each = F.transform(rings, lambda r: F.aggregate(_sides(r, cross), F.lit(0.0), lambda acc, v: acc + v))
+    return F.aggregate(each, F.lit(0.0), lambda acc, v: acc + v)
+
+
+def _length(rings: Column) -> Column:
+    side = lambda a, b: F.hypot(b["x"] - a["x"], b["y"] - a["y"])
+    each = F.transform(rings, lambda r: F.aggregate(_sides(r, side), F.lit(0.0), lambda acc, v: acc + v))
+    return F.aggregate(each, F.lit(0.0), lambda acc, v: acc + v)
+
+
+_GRID = "t AS (SELECT c_custkey, c_nationkey, c_custkey % 10 AS x, floor(c_custkey / 10) AS y FROM customer)"
+
+
+@query(f"""WITH {_GRID}, s AS (SELECT c_nationkey, x, y, 'h' AS k FROM t UNION ALL SELECT c_nationkey, x, y + 1, 'h' FROM t UNION ALL SELECT c_nationkey, x, y, 'v' FROM t UNION ALL SELECT c_nationkey, x + 1, y, 'v' FROM t),
+o AS (SELECT c_nationkey, count(*) AS n FROM (SELECT c_nationkey FROM s GROUP BY c_nationkey, x, y, k HAVING count(*) = 1) GROUP BY 1)
+SELECT c_nationkey, count(*)::DOUBLE AS area, any_value(n)::DOUBLE AS border FROM t JOIN o USING (c_nationkey) GROUP BY 1""")
+def dissolve_rings(customer: DataFrame) -> DataFrame:
+    """The union of each nation's tiles: its area and the length of its border, holes included."""
+    found = topology.union(_tiles(customer), ["c_nationkey"])
+    return found.select("c_nationkey", F.round(_area(F.col("rings")), 6).alias("area"), F.round(_length(F.col("rings")), 6).alias("border"))
+
+
+@query("SELECT c_custkey, c_nationkey FROM customer")
+def dissolve_contains(customer: DataFrame) -> DataFrame:
+    """Which union has each tile's middle: that of its nation, and no other."""
+    middle = customer.select("c_custkey", (F.col("c_custkey") % 10 + 0.5).alias("x"), (F.floor(F.col("c_custkey") / 10) + 0.5).alias("y"))
+    return spatial.join_points(middle, topology.union(_tiles(customer), ["c_nationkey"]), "x", "y", 10.0).select("c_custkey", "c_nationkey")
+
+
+@query(f"""WITH {_GRID}, c AS (SELECT DISTINCT c_nationkey, 2 * x + i AS x, 2 * y + j AS y FROM t, range(3) a(i), range(3) b(j)) SELECT c_nationkey, count(*) / 4 AS area FROM c GROUP BY 1""")
+def dissolve_overlaps(customer: DataFrame) -> DataFrame:
+    """Squares of one and a half, which overlap their neighbours."""
+    x, y = (F.col("c_custkey") % 10).cast("double"), F.floor(F.col("c_custkey") / 10).cast("double")
+    at = lambda dx, dy: F.struct((x + dx).alias("x"), (y + dy).alias("y"))
+    wide = customer.select("c_nationkey", F.array(F.array(at(0, 0), at(1.5, 0), at(1.5, 1.5), at(0, 1.5), at(0, 0))).alias("rings"))
+    return topology.union(wide, ["c_nationkey"]).select("c_nationkey", F.round(_area(F.col("rings")), 6).alias("area"))
+
+
+_OFF = "((({0}) * 7 + ({1}) * 5 + {2}) % 8 * 0.02 - 0.02 * ((({0}) * 7 + ({1}) * 5 + {2}) % 8 % 7) * (CASE WHEN (({0}) * 7 + ({1}) * 5 + {2}) % 8 < 4 THEN 1 ELSE 0 END))"
+_KEPT = [f"CASE WHEN abs({_OFF.format(*a)}) > 0.05 THEN {_OFF.format(*a)} ELSE 0 END" for a in (("x", "y", 0), ("x", "y + 1", 0), ("x", "y", 1), ("x + 1", "y", 1))]
+
+
+@query(f"""WITH {_GRID}, d AS (SELECT c_custkey, {_KEPT[0]} AS lower, {_KEPT[1]} AS upper, {_KEPT[2]} AS lefter, {_KEPT[3]} AS righter FROM t)
+SELECT c_custkey, round(1 + (upper - lower + righter - lefter) / 2, 6)::DOUBLE AS area FROM d""")
+def simplify_shared(customer: DataFrame) -> DataFrame:
+    """Small corners go from both neighbours' sides, and large ones stay in both."""
+    found = topology.simplified_together(_tiles(customer, waves=True), 0.05)
+    return found.select("c_custkey", F.round(_area(F.col("rings")), 6).alias("area"))
