@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import projections
 from ..operators import spatial, topology
 from ..operators.spatial import _sides
+from ..session import new_folder
+from ..sources import shapefile
 from .catalogue import query
 
 # The SQL side has its own way to the latitude: nine rounds of the fixed-point iteration.
@@ -110,3 +112,26 @@ def simplify_shared(customer: DataFrame) -> DataFrame:
     """Small corners go from both neighbours' sides, and large ones stay in both."""
     found = topology.simplified_together(_tiles(customer, waves=True), 0.05)
     return found.select("c_custkey", F.round(_area(F.col("rings")), 6).alias("area"))
+
+
+def _square(k: Column) -> Column:
+    at = lambda dx, dy: F.struct((k + dx).cast("double").alias("x"), (k * 2 + dy).cast("double").alias("y"))
+    return F.array(F.array(at(0, 0), at(0, 1), at(1, 1), at(1, 0), at(0, 0)))
+
+
+@query("""SELECT c_custkey AS id, left(c_name, 40) AS name, CASE WHEN c_custkey % 7 <> 0 THEN c_acctbal END AS balance, c_nationkey > 12 AS high, CASE WHEN c_custkey % 5 <> 0 THEN DATE '2024-01-01' + (c_custkey % 366)::INT END AS day,
+CASE c_custkey % 4 WHEN 0 THEN 'point' WHEN 3 THEN NULL ELSE 'polygon' END AS shape, CASE WHEN c_custkey % 4 = 0 THEN c_custkey / 8 - 117 END AS longitude, CASE WHEN c_custkey % 4 IN (1, 2) THEN 5 + 5 * (c_custkey % 4 - 1) ELSE 0 END::INT AS corners FROM customer""")
+def shapefile_round_trip(spark, customer: DataFrame) -> DataFrame:
+    """Points, polygons, polygons of two parts and empty records with all kinds of attributes, written by partitions and read by ranges."""
+    k = F.col("c_custkey")
+    shape = F.when(k % 4 == 0, "point").when(k % 4 != 3, "polygon")
+    attributes = [k.cast("long").alias("id"), F.left("c_name", F.lit(40)).alias("name"), F.when(k % 7 != 0, F.col("c_acctbal").cast("double")).alias("balance"), (F.col("c_nationkey") > 12).alias("high")]
+    day = F.when(k % 5 != 0, F.date_add(F.lit("2024-01-01").cast("date"), (k % 366).cast("int"))).alias("day")
+    rings = F.when(k % 4 == 1, _square(k)).when(k % 4 == 2, F.concat(_square(k), _square(k + 1)))
+    table = customer.select(*attributes, day, shape.alias("shape"), F.when(k % 4 == 0, k / 8 - 117).alias("longitude"), F.when(k % 4 == 0, k / 16 + 30).alias("latitude"), rings.alias("rings"))
+    shapefile.register(spark)
+    path = new_folder(spark, "shapes")
+    table.write.format("shapefile").mode("append").save(path)
+    read = spark.read.format("shapefile").option("rowsPerPartition", "500").load(path)
+    corners = F.coalesce(F.size(F.flatten("rings")), F.lit(0))
+    return read.select("id", "name", "balance", "high", "day", "shape", "longitude", corners.alias("corners"))
