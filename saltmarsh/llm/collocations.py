@@ -37,6 +37,8 @@ from .shared import dropped, shuffle_partitions, written
 DEPTH = 4
 #: Text of a shard, and of a range, in bytes; the most ranges, whose splitters the driver holds; sampled paths a range.
 SHARD_BYTES, RANGE_BYTES, MOST_RANGES, SAMPLES = 8 << 20, 5 << 20, 1 << 16, 16
+#: Parts in which a language's phrases are ranked first.
+PARTS = 16
 UNKNOWN = "und"
 
 _PIECE_ENDS = tokens.separators((0x0A, 0x0D), *((ord(c), ord(c)) for c in ".,;:!?"))
@@ -313,8 +315,11 @@ def collocations(docs: DataFrame, least: int = 30, most: int = 2000, scale: int
     inner = inner.select("lang", "a", "w", "size", F.explode(F.sequence(F.lit(1), F.col("depth") - F.col("size") + 1)).alias("at"))
     inner = inner.select("lang", join(F.col("at"), F.col("size")).alias("phrase"), "a").groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
     held = scored.join(inner, ["lang", "phrase"], "left").where(F.col("longer").isNull() | (100 * wide("longer") < share * wide("a")))
-    order = Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "phrase")
-    best = held.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
+    # the best of each part first, so that the last step has PARTS * most rows of a language whatever the input
+    best_first = [F.desc("cut.score"), F.desc("a"), F.col("phrase")]
+    parts = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(PARTS))).orderBy(*best_first)
+    few = held.withColumn("rank", F.row_number().over(parts)).where(F.col("rank") <= most)
+    best = few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best_first))).where(F.col("rank") <= most)
     all_words = counts.where("depth = 0").select("lang", F.col("f").alias("n"))
     return best.join(all_words, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
 
