@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
-_PARTS = ("relational", "reshaping", "texts", "times", "indices", "landing", "stateful", "geometry")
+_PARTS = ("relational", "reshaping", "texts", "times", "indices", "landing", "stateful", "geometry", "pages")
 
 
 def query(sql: str | None = None) -> Callable[[Callable], Callable]:
