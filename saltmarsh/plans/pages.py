@@ -22,7 +22,7 @@ def page_nodes(pages: DataFrame) -> DataFrame:
     )
 
 
-@query("""WITH n AS (SELECT l_orderkey, l_linenumber, l_partkey, row_number() OVER (PARTITION BY l_orderkey, l_linenumber % 2 ORDER BY l_linenumber) AS k FROM lineitem),
+@query("""WITH n AS (SELECT l_orderkey, l_linenumber, l_partkey, row_number() OVER (PARTITION BY l_orderkey, l_linenumber % 2 ORDER BY l_linenumber, l_partkey::VARCHAR) AS k FROM lineitem),
 r AS (SELECT *, 'Park ' || l_partkey AS name, 'from ' || l_linenumber || ' on' AS own, 'gate ' || l_linenumber AS inner_item FROM n)
 SELECT l_orderkey, CASE l_linenumber % 2 WHEN 1 THEN 'Temporary Closures' ELSE 'Weather-related Park Closures' END AS header, (2 * k - 1)::INT AS item, name, own || ' ' || inner_item AS details, '/p/' || l_partkey AS link FROM r
 UNION ALL SELECT l_orderkey, CASE l_linenumber % 2 WHEN 1 THEN 'Temporary Closures' ELSE 'Weather-related Park Closures' END, (2 * k)::INT, '', inner_item, '' FROM r""")
