@@ -80,10 +80,12 @@ def sessions(stream: DataFrame, time: str, keys: list[str], aggregates: list[Col
     return stream.withWatermark(time, lateness).groupBy(F.session_window(time, gap), *keys).agg(*aggregates)
 
 
-def run_to_end(stream: DataFrame, mode: str = "append", batch=None) -> DataFrame | None:
-    """Drains the stream (AvailableNow) into a table and reads it back; with ``batch(df, id)``, calls that instead."""
+def run_to_end(stream: DataFrame, mode: str = "append", batch=None, checkpoint: str | None = None) -> DataFrame | None:
+    """Drains the stream (AvailableNow) into a table and reads it back; with ``batch(df, id)``, calls that instead. With
+    ``checkpoint``, goes on where the run before it ended.
+    """
     spark = stream.sparkSession
-    out, checkpoint = new_folder(spark, "stream"), new_folder(spark, "offsets")
+    out, checkpoint = new_folder(spark, "stream"), checkpoint or new_folder(spark, "offsets")
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if batch:
         writer.foreachBatch(batch).start().awaitTermination()
