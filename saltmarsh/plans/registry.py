@@ -2,19 +2,22 @@
 
 ``Registry.run`` builds the chosen tables in dependency order. A table's function gets the session and its inputs as
 DataFrames, read back from what was written, so each table is planned on files with statistics and a run can resume. A
-partitioned table gets its partition key and replaces that partition only. A failed check stops the tables that depend
-on it. Every table has a metadata file beside it.
+partitioned table gets its partition key and replaces that partition only. Expectations are checked by the job that writes
+the table, and only other checks read it again. A table that fails stops those that depend on it. Every table has a
+metadata file beside it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.sinks import metadata
+from .checks import Expectation, observed
 
 Build = Callable[..., DataFrame]
 Check = Callable[[DataFrame], DataFrame]
@@ -30,12 +33,23 @@ class Table:
     description: str = ""
     source: str | None = None
     checks: dict[str, Check] = field(default_factory=dict)
+    expectations: dict[str, Expectation] = field(default_factory=dict)
 
 
 class CheckFailed(RuntimeError):
     pass
 
 
+def partition_key(scheduled: datetime, period: str = "day", week_start: int = 6) -> str:
+    """The key of the partition that a run scheduled for this time builds: the first day of the day, week or month that it
+    falls in, as text. ``week_start`` counts from Monday as 0; weeks start on Sunday unless told otherwise. The time is in
+    the zone that the partitions are in.
+    """
+    day = scheduled.date()
+    first = {"day": day, "week": day - timedelta(days=(day.weekday() - week_start) % 7), "month": day.replace(day=1)}
+    return first[period].isoformat()
+
+
 class Registry:
     def __init__(self) -> None:
         self.tables: dict[str, Table] = {}
@@ -56,6 +70,10 @@ class Registry:
 
         return add
 
+    def expect(self, table: str, **expectations: Expectation) -> None:
+        """Checks, by name, of the rows as they are written."""
+        self.tables[table].expectations.update(expectations)
+
     def order(self, select: list[str] | None = None, upstream: bool = True, group: str | None = None) -> list[Table]:
         """The chosen tables, inputs first; with ``upstream``, all that they depend on as well."""
         chosen = select or [t.name for t in self.tables.values() if group in (None, t.group)]
@@ -75,27 +93,29 @@ class Registry:
             visit(name, ())
         return list(out.values())
 
-    def run(self, spark: SparkSession, root: str, select: list[str] | None = None, upstream: bool = True, partition: str | None = None, on_failure: Callable[[str, Exception], None] | None = None) -> DataFrame:
-        """Writes the tables; returns (table, check, passed), one row for each check. A failure is reported, then raised."""
+    def run(self, spark: SparkSession, root: str, select: list[str] | None = None, upstream: bool = True, partition: str | None = None, on_failure: Callable[[str, Exception], None] | None = None, stop: bool = True) -> DataFrame:
+        """Writes the tables; returns (table, check, passed), one row for each check. A failure is reported, then raised; with
+        ``stop=False``, checks that fail are rows of the result only.
+        """
         results: list[tuple[str, str, bool]] = []
         for t in self.order(select, upstream):
             try:
                 inputs = [self.read(spark, root, d) for d in t.deps]
+                if t.partition and partition is None:
+                    raise ValueError(f"{t.name} needs a partition key")
+                df, outcome = observed(t.build(spark, *inputs, *([partition] if t.partition else [])), t.expectations)
                 if t.partition:
-                    if partition is None:
-                        raise ValueError(f"{t.name} needs a partition key")
-                    df = t.build(spark, *inputs, partition).withColumn(t.partition, F.lit(partition))
+                    df = df.withColumn(t.partition, F.lit(partition))
                     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(t.partition).parquet(self.path(root, t.name))
                 else:
-                    t.build(spark, *inputs).write.mode("overwrite").parquet(self.path(root, t.name))
+                    df.write.mode("overwrite").parquet(self.path(root, t.name))
                 written = self.read(spark, root, t.name)
                 about = metadata(t.name, t.description, t.source, {c: k for c, k in written.dtypes}, {"application/vnd.apache.parquet": self.path(root, t.name)})
                 spark.createDataFrame([(about,)], "value string").coalesce(1).write.mode("overwrite").text(f"{root}/{t.name}.metadata")
-                for name, check in t.checks.items():
-                    passed = bool(check(written).first()["passed"])
-                    results.append((t.name, name, passed))
-                    if not passed:
-                        raise CheckFailed(f"{t.name}: {name}")
+                found = {name: ok for name, (ok, _) in outcome().items()} | {name: bool(check(written).first()["passed"]) for name, check in t.checks.items()}
+                results += [(t.name, name, ok) for name, ok in found.items()]
+                if stop and (failed := [name for name, ok in found.items() if not ok]):
+                    raise CheckFailed(f"{t.name}: {', '.join(failed)}")
             except Exception as e:
                 if on_failure:
                     on_failure(t.name, e)

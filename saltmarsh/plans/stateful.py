@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, datetime, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,8 +12,8 @@ from ..operators import relational as op
 from ..session import new_folder
 from ..streaming import alerts, feeds
 from .catalogue import query
-from .checks import freshness, no_nulls
-from .registry import Registry
+from .checks import expect_all, expect_fresh, expect_no_nulls, expect_rows
+from .registry import Registry, partition_key
 
 
 @query("SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS cursor FROM events")
@@ -81,13 +83,7 @@ def sensor_tables(sf_dir: str) -> Registry:
     def readings(spark) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value")
 
-    @tables.check("readings", "keys are given")
-    def keys_given(df: DataFrame) -> DataFrame:
-        return no_nulls(df, ["event_id", "ts"])
-
-    @tables.check("readings", "is fresh")
-    def is_fresh(df: DataFrame) -> DataFrame:
-        return freshness(df, "ts", F.lit("2024-02-01").cast("timestamp_ntz"), "3 days")
+    tables.expect("readings", **{"keys are given": expect_no_nulls("event_id", "ts"), "is fresh": expect_fresh("ts", datetime(2024, 2, 1), timedelta(days=3))})
 
     @tables.table("levels", deps=("readings",), description="Readings with their guidance level")
     def levels(spark, readings: DataFrame) -> DataFrame:
@@ -110,3 +106,36 @@ def registry_run(spark, sf_dir) -> DataFrame:
     root, tables = new_folder(spark, "tables"), sensor_tables(sf_dir)
     tables.run(spark, root, ["latest"])
     return tables.read(spark, root, "latest").select("user_id", "event_id", "level")
+
+
+@query("""SELECT 'orders' AS name, 'keys' AS expectation, count(*) FILTER (WHERE o_orderkey IS NULL OR o_custkey IS NULL) = 0 AS passed FROM orders
+UNION ALL SELECT 'orders', 'priced', count(*) FILTER (WHERE o_totalprice > 1000) = count(*) FROM orders UNION ALL SELECT 'orders', 'size', count(*) BETWEEN 10 AND 100000000 FROM orders
+UNION ALL SELECT 'orders', 'recent', max(o_orderdate) >= DATE '2030-01-01' FROM orders""")
+def observed_checks(spark, sf_dir) -> DataFrame:
+    """Four checks taken by the job that writes the table, two of which may fail."""
+    tables, root = Registry(), new_folder(spark, "tables")
+
+    @tables.table("orders")
+    def orders(spark) -> DataFrame:
+        return spark.read.parquet(f"{sf_dir}/orders.parquet")
+
+    day = spark.read.parquet(f"{sf_dir}/orders.parquet").schema["o_orderdate"].dataType.simpleString()
+    as_of = datetime(2030, 1, 1) if day.startswith("timestamp") else date(2030, 1, 1)
+    checks = {"keys": expect_no_nulls("o_orderkey", "o_custkey"), "priced": expect_all(F.col("o_totalprice") > 1000), "size": expect_rows(10, 100_000_000), "recent": expect_fresh("o_orderdate", as_of, timedelta(0))}
+    tables.expect("orders", **checks)
+    return tables.run(spark, root, stop=False).select(F.col("table").alias("name"), F.col("check").alias("expectation"), "passed")
+
+
+@query("""SELECT o_orderdate::DATE - dayofweek(o_orderdate)::INT AS week, count(*) AS n FROM orders WHERE o_orderdate::DATE - dayofweek(o_orderdate)::INT IN (DATE '1995-03-12', DATE '1995-03-19') GROUP BY 1""")
+def partition_by_schedule(spark, sf_dir) -> DataFrame:
+    """A weekly table run for two scheduled times, the first one twice: each run replaces its week."""
+    tables, root = Registry(), new_folder(spark, "tables")
+
+    @tables.table("weekly", partition="week")
+    def weekly(spark, week: str) -> DataFrame:
+        day = F.to_date("o_orderdate")
+        return spark.read.parquet(f"{sf_dir}/orders.parquet").where((day >= F.lit(week).cast("date")) & (day < F.date_add(F.lit(week).cast("date"), 7))).select("o_orderkey")
+
+    for scheduled in (datetime(1995, 3, 16, 0, 20), datetime(1995, 3, 19), datetime(1995, 3, 18, 23, 59)):
+        tables.run(spark, root, partition=partition_key(scheduled, "week"))
+    return tables.read(spark, root, "weekly").groupBy(F.col("week").cast("date").alias("week")).agg(F.count("o_orderkey").alias("n"))
