@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import new_folder
+
 
 def last_days(df: DataFrame, time: str, days: int, as_of: Column) -> DataFrame:
     """Rows strictly newer than ``days`` before ``as_of``."""
@@ -60,12 +63,83 @@ def top_groups(df: DataFrame, key: str, n: int) -> DataFrame:
 
 
 def describe(df: DataFrame, column: str) -> DataFrame:
-    """count, mean, sample deviation, min, exact quartiles, max."""
+    """One row: count, mean, sample deviation, min, exact quartiles, max; null and NaN as Spark's aggregates treat them."""
     c = F.col(column)
-    return df.agg(
-        F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"),
-        F.percentile(c, F.lit(0.25)).alias("p25"), F.percentile(c, F.lit(0.5)).alias("p50"), F.percentile(c, F.lit(0.75)).alias("p75"), F.max(c).alias("max"),
-    )
+    basic = [F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max")]
+    found = df.agg(*basic).first()
+    quartiles = exact_quantiles(df, column, [0.25, 0.5, 0.75])
+    kinds = df.select(column).agg(*basic).schema
+    shape = ", ".join(f"{n} {'double' if n[0] == 'p' else kinds[n].dataType.simpleString()}" for n in ("n", "mean", "std", "min", "p25", "p50", "p75", "max"))
+    return df.sparkSession.createDataFrame([(found["n"], found["mean"], found["std"], found["min"], *quartiles, found["max"])], shape)
+
+
+#: Bins of one round, and values that are looked at one by one.
+BINS, FEW = 4096, 10_000
+
+
+def exact_quantiles(df: DataFrame, column: str, shares: list[float]) -> list[float | None]:
+    """Quantiles with linear interpolation, exact, in bounded memory whatever the number of rows or of different values.
+
+    Each round counts the rows in BINS bins of the stretch that holds a wanted rank, with map-side combining, and goes on with
+    the one bin that has it, from its least to its greatest value, until the bin is one value or holds FEW different ones at
+    most, which are counted one by one. All ranks are narrowed in the same scan; most columns take two or three scans. Nulls
+    are left out; NaN is greater than all numbers; without rows, all are null.
+    """
+    v = F.col("v")
+    rows = df.select(F.col(column).cast("double").alias("v")).where(v.isNotNull())
+    number = ~F.isnan(v) & (F.abs(v) != float("inf"))
+    ends = rows.agg(F.count(F.lit(1)), F.count_if(v == float("-inf")), F.count_if(number), F.min(F.when(number, v)), F.max(F.when(number, v)), F.count_if(v == float("inf"))).first()
+    n, below, finite, low, high, above = ends
+    if not n:
+        return [None] * len(shares)
+    spots = [(n - 1) * s for s in shares]
+    ranks = sorted({r for x in spots for r in (math.floor(x), math.ceil(x))})
+    values: dict[int, float] = {}
+    open_: dict[int, tuple[float, float, int]] = {}  # rank -> stretch, and the rows before it
+    for r in ranks:
+        if r < below:
+            values[r] = float("-inf")
+        elif r < below + finite:
+            open_[r] = (low, high, below)
+        else:
+            values[r] = float("inf") if r < below + finite + above else float("nan")
+    while open_:
+        for r, (a, b, _) in list(open_.items()):
+            if a == b:
+                values[r] = a
+                del open_[r]
+        stretches = sorted({s for s in open_.values()})
+        if not stretches:
+            break
+        # halves, so that the width of a stretch is a number
+        bins = [F.when(v.between(a, b), F.struct(F.lit(k).alias("k"), F.least(F.floor((v / 2 - a / 2) / (b / 2 - a / 2) * BINS), F.lit(BINS - 1)).alias("bin"))) for k, (a, b, _) in enumerate(stretches)]
+        placed = rows.select("v", F.explode(F.array_compact(F.array(*bins))).alias("p"))
+        counted = placed.groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("a"), F.max("v").alias("b"), F.approx_count_distinct("v").alias("d")).collect()
+        by_stretch: dict[int, list] = {}
+        for row in sorted(counted, key=lambda x: (x["p"]["k"], x["p"]["bin"])):
+            by_stretch.setdefault(row["p"]["k"], []).append(row)
+        few: dict[tuple[float, float, int], list[int]] = {}
+        for r, stretch in list(open_.items()):
+            before = stretch[2]
+            for row in by_stretch[stretches.index(stretch)]:
+                if r < before + row["n"]:
+                    open_[r] = (row["a"], row["b"], before)
+                    if row["d"] <= FEW / 2 and row["a"] < row["b"]:
+                        few.setdefault(open_[r], []).append(r)
+                    break
+                before += row["n"]
+        if few:
+            wanted = reduce(Column.__or__, [v.between(a, b) for a, b, _ in few])
+            single = sorted(map(tuple, rows.where(wanted).groupBy("v").agg(F.count(F.lit(1))).collect()))
+            for (a, b, before), own in few.items():
+                for value, times in single:
+                    if a <= value <= b:
+                        values |= {r: value for r in own if before <= r < before + times}
+                        before += times
+                for r in own:
+                    del open_[r]
+    between = lambda x: values[math.floor(x)] if x == math.floor(x) else (math.ceil(x) - x) * values[math.floor(x)] + (x - math.floor(x)) * values[math.ceil(x)]
+    return [between(x) for x in spots]
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -78,6 +152,21 @@ def n_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int) -> Da
     return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 
 
+def row_numbers(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """``df`` with its rows numbered from 1 in this order, without one window over all rows: sorted by ranges, written, and
+    numbered inside each range from the number of rows in those before it. Equal rows are numbered in any order.
+    """
+    path = new_folder(df.sparkSession, "sorted")
+    df.orderBy(*order).withColumn("_m", F.monotonically_increasing_id()).write.parquet(path)
+    rows = df.sparkSession.read.parquet(path).withColumns({"_p": F.shiftright("_m", 33), "_at": F.col("_m").bitwiseAND((1 << 33) - 1)})
+    offsets, before = [], 0
+    for p, n in sorted(map(tuple, rows.groupBy("_p").count().collect())):
+        offsets.append((p, before + 1))
+        before += n
+    starts = df.sparkSession.createDataFrame(offsets, "_p long, _first long")
+    return rows.join(F.broadcast(starts), "_p").withColumn(name, F.col("_first") + F.col("_at")).drop("_p", "_at", "_m", "_first")
+
+
 def last_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:
     """The first n rows in ``order`` (give it descending) of each group; rows with a null key go."""
     return n_per_key(df.na.drop(subset=keys), keys, order, n)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import relational
 from ..session import new_folder
 from ..sources import html_tables, readers, sinks
 from .catalogue import query
@@ -99,15 +100,12 @@ def read_ragged_series(spark, supplier: DataFrame) -> DataFrame:
 
 @query("SELECT c_custkey, c_name, (c_custkey % 50)::DOUBLE AS longitude, (c_custkey % 30)::DOUBLE AS latitude FROM customer WHERE c_custkey % 4 <> 0 UNION ALL SELECT c_custkey, c_name, NULL, NULL FROM customer WHERE c_custkey % 4 = 0")
 def read_geojson(spark, customer: DataFrame) -> DataFrame:
+    """Collections as the sink writes their features, a file for each fifty."""
     place = lambda n: F.when(F.col("c_custkey") % 4 != 0, (F.col("c_custkey") % n).cast("double"))
     points = customer.select("c_custkey", "c_name", place(50).alias("longitude"), place(30).alias("latitude"))
-    collection = points.groupBy((F.col("c_custkey") % 8).alias("k")).agg(F.concat(F.lit('{"type": "FeatureCollection", "features": ['), F.array_join(F.collect_list(sinks.feature(points)), ","), F.lit("]}")).alias("v"))
-    path = new_folder(spark, "geojson")
-    collection.repartition(8, "k").select("v").write.text(path)
-    # a collection is a line here, so this is not the reader of whole files
-    shape = "features array<struct<properties: struct<c_custkey: long, c_name: string>, geometry: struct<type: string, coordinates: array<double>>>>"
-    f = spark.read.schema(shape).json(path).select(F.explode("features").alias("f"))
-    return f.select("f.properties.*", F.col("f.geometry.coordinates")[0].alias("longitude"), F.col("f.geometry.coordinates")[1].alias("latitude"))
+    features = points.select("c_custkey", sinks.feature(points).alias("one"))
+    whole = lambda rows: F.concat(F.lit('{"type": "FeatureCollection", "features": ['), _joined(rows, lambda r: r["one"], ","), F.lit("]}"))
+    return readers.geojson(spark, _files(features, "c_custkey", whole, "geojson"), "c_custkey: long, c_name: string").drop("rings")
 
 
 @query("""SELECT 's' || s_suppkey AS name, s_suppkey AS id, CASE WHEN s_suppkey % 4 = 0 THEN s_nationkey::DOUBLE END AS longitude, CASE WHEN s_suppkey % 4 = 0 THEN 32.5::DOUBLE END AS latitude,
@@ -201,27 +199,25 @@ def html_tables_of_pages(lineitem: DataFrame) -> DataFrame:
     return found.groupBy("page_id").agg(F.count_distinct("table").cast("int").alias("n"), F.count(F.lit(1)).cast("int").alias("n_rows"))
 
 
-@query("SELECT c_custkey, c_name, c_nationkey::VARCHAR AS week, c_acctbal AS cases FROM customer")
+@query("SELECT c_custkey, c_name, c_nationkey::VARCHAR AS week, c_acctbal AS cases FROM customer WHERE c_custkey % 11 <> 3")
 def read_paged_feed(spark, customer: DataFrame) -> DataFrame:
-    """Pages of 100 rows, written by Spark to the shared folder and read from there."""
-    limit, count = 100, customer.count()
+    """Pages of 100 rows by rank, as keys have gaps, written by Spark to the shared folder and read from there."""
     given = F.to_json(F.struct("c_custkey", "c_name", F.col("c_nationkey").cast("string").alias("week"), F.col("c_acctbal").alias("cases")))
-    numbered = customer.select("c_custkey", given.alias("one"))
-    edges = numbered.agg(F.min("c_custkey")).first()[0] or 0
-    page = ((F.col("c_custkey") - edges) / limit).cast("long") * limit
+    numbered = relational.row_numbers(customer.where("c_custkey % 11 <> 3").select("c_custkey", given.alias("one")), ["c_custkey"], "n")
+    page = F.floor((F.col("n") - 1) / 100) * 100
     path = new_folder(spark, "pages")
     numbered.groupBy(page.alias("k")).agg(F.concat(F.lit("["), F.array_join(F.collect_list("one"), ","), F.lit("]")).alias("value")).write.partitionBy("k").text(path)
-    return readers.paged(spark, path, "c_custkey long, c_name string, week string, cases double", count, limit, "k={}")
+    return readers.paged(spark, path, "c_custkey long, c_name string, week string, cases double", numbered.count(), page=None)
 
 
-@query("SELECT count(*) AS files, true AS whole, 25 AS lines FROM (SELECT DISTINCT n_regionkey FROM nation)")
+@query("SELECT n_regionkey, sum(strlen(n_name) + 1)::BIGINT AS length, md5(string_agg(n_name || chr(10), '' ORDER BY n_nationkey)) AS content FROM nation GROUP BY 1")
 def land_raw_copy(spark, nation: DataFrame) -> DataFrame:
-    """Files are copied as they are before they are parsed."""
+    """Files are copied as they are before they are parsed: the bytes of each copy."""
     path = new_folder(spark, "source")
-    nation.select("n_regionkey", "n_name").repartition(1).write.partitionBy("n_regionkey").text(path)
+    nation.select("n_regionkey", "n_nationkey", "n_name").repartition(1).sortWithinPartitions("n_regionkey", "n_nationkey").drop("n_nationkey").write.partitionBy("n_regionkey").text(path)
     raw = readers.landed(spark, path, new_folder(spark, "raw"))
-    text = F.col("content").cast("string")
-    return raw.agg(F.count(F.lit(1)).alias("files"), F.bool_and(F.col("length") == F.octet_length("content")).alias("whole"), F.sum(F.regexp_count(text, F.lit("\n"))).cast("int").alias("lines"))
+    region = F.regexp_extract("path", "n_regionkey=([0-9]+)", 1).cast("int")
+    return raw.select(region.alias("n_regionkey"), "length", F.md5("content").alias("content"))
 
 
 @query("SELECT o_orderpriority AS priority, count(*) AS n FROM orders GROUP BY 1")
@@ -239,8 +235,46 @@ def json_records(region: DataFrame) -> DataFrame:
     return holes.select("r_regionkey", sinks.records(holes).alias("kept"), sinks.records(holes, keep_nulls=False).alias("short"))
 
 
-@query("SELECT count(*) AS files, true AS sized FROM region")
+@query("SELECT r_regionkey, strlen(r_name) + 1 AS length FROM region")
 def list_objects(spark, region: DataFrame) -> DataFrame:
+    """An object for each region, listed with its size."""
     path = new_folder(spark, "objects")
-    region.repartitionByRange(region.count(), "r_regionkey").select("r_name").write.text(path)
-    return readers.whole_files(spark, path, "*.txt").agg(F.count("path").alias("files"), (F.sum("length") > 0).alias("sized"))
+    region.select("r_regionkey", "r_name").write.partitionBy("r_regionkey").text(path)
+    return readers.whole_files(spark, path, "*.txt").select(F.regexp_extract("path", "r_regionkey=([0-9]+)", 1).cast("int").alias("r_regionkey"), "length")
+
+
+@query("SELECT 'p' || page_id // 100 || '/' || page_id || '.html' AS name, strlen(html) AS length, sha256(html) AS sha256, strlen(html) AS read_length, md5(html) AS read_content FROM pages")
+def store_objects(spark, pages: DataFrame) -> DataFrame:
+    """An object for each page, as it was written and as it is read back."""
+    folder = new_folder(spark, "objects")
+    name = F.concat(F.lit("p"), F.floor(F.col("page_id") / 100).cast("string"), F.lit("/"), F.col("page_id").cast("string"), F.lit(".html"))
+    put = sinks.put_objects(pages.select(name.alias("name"), "html"), folder, "name", "html")
+    read = readers.whole_files(spark, folder, "*.html").select(F.regexp_extract("path", "(p[0-9]+/[0-9]+[.]html)$", 1).alias("name"), F.col("length").alias("read_length"), F.md5("content").alias("read_content"))
+    return put.join(read, "name")
+
+
+@query("SELECT l_orderkey, l_linenumber::INT AS l_linenumber, CASE WHEN l_quantity > 10 THEN l_quantity END AS quantity, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS line FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem QUALIFY count(*) OVER (PARTITION BY l_orderkey, l_linenumber, l_partkey, l_suppkey) = 1)")
+def json_document(spark, lineitem: DataFrame) -> DataFrame:
+    """All lines as the records of one document, in their order; read back line by line, with each record's place in the file."""
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    once = lineitem.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.max("l_quantity").alias("q")).where("n = 1").orderBy(*keys)
+    rows = once.select("l_orderkey", F.col("l_linenumber").cast("int").alias("l_linenumber"), F.when(F.col("q") > 10, F.col("q")).alias("quantity"))
+    path = new_folder(spark, "document")
+    sinks.document(rows.select(sinks.records(rows).alias("one")), path, "data", "2024-01-01")
+    # lines keep their order inside a file, and the one file is read by ranges of bytes in order
+    numbered = new_folder(spark, "numbered")
+    spark.read.text(path).withColumn("m", F.monotonically_increasing_id()).write.parquet(numbered)
+    lines = relational.row_numbers(spark.read.parquet(numbered), ["m"], "n").where("n > 1 AND value <> ']}'")
+    record = F.from_json(F.regexp_replace("value", "^,", ""), "l_orderkey long, l_linenumber int, quantity double")
+    return lines.select(record.alias("r"), (F.col("n") - 1).alias("line")).select("r.*", "line")
+
+
+@query("SELECT 'csv' AS format, CASE WHEN c_custkey % 3 <> 0 THEN c_acctbal END AS balance, count(*) AS n FROM customer GROUP BY 2 UNION ALL SELECT 'json', CASE WHEN c_custkey % 3 <> 0 THEN c_acctbal END, count(*) FROM customer GROUP BY 2")
+def publish_series(spark, customer: DataFrame) -> DataFrame:
+    """One column as CSV and as a JSON document, read back: how often each value occurs, nulls included."""
+    column = customer.select(F.when(F.col("c_custkey") % 3 != 0, F.col("c_acctbal").cast("double")).alias("balance"))
+    folders = sinks.to_series(column, "balance", new_folder(spark, "series"), "2024-01-01")
+    from_csv = readers.csv(spark, folders["csv"], "balance string").select(F.lit("csv").alias("format"), F.col("balance").try_cast("double").alias("balance"))
+    lines = spark.read.text(folders["json"]).where("NOT startswith(value, '{') AND value <> ']}'")
+    from_json = lines.select(F.lit("json").alias("format"), F.regexp_replace("value", "^,", "").try_cast("double").alias("balance"))
+    return from_csv.unionByName(from_json).groupBy("format", "balance").agg(F.count(F.lit(1)).alias("n"))

@@ -222,10 +222,15 @@ def dissolve_regions(customer: DataFrame) -> DataFrame:
     return found.select("c_nationkey", F.size("edges").cast("long").alias("sides"))
 
 
-@query("SELECT * FROM (VALUES ('square', 20.0::DOUBLE, 20.0::DOUBLE), ('triangle', 70.0, 26.666667), ('ring', 40.0, 77.5)) t(region, x, y)")
-def region_centroids(spark) -> DataFrame:
-    c = spatial.centroid(F.col("rings"))
-    return _regions(spark).select("region", F.round(c["x"], 6).alias("x"), F.round(c["y"], 6).alias("y"))
+@query("""SELECT c_custkey, round(k::DOUBLE, 6) AS x, round(k / 3.0 + 1, 6)::DOUBLE AS y FROM (SELECT c_custkey, (c_custkey % 9 + 1) AS k FROM customer)""")
+def region_centroids(customer: DataFrame) -> DataFrame:
+    """Right triangles of all sizes: the middle is a third of the way from the right angle along both legs."""
+    k = (F.col("c_custkey") % 9 + 1).cast("double")
+    at = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    one = F.lit(1.0)
+    rings = F.array(F.array(at(k * 0, one), at(k * 3, one), at(k * 0, one + k), at(k * 0, one)))
+    c = spatial.centroid(rings)
+    return customer.select("c_custkey", F.round(c["x"], 6).alias("x"), F.round(c["y"], 6).alias("y"))
 
 
 @query("SELECT c_custkey, (c_custkey % 7)::DOUBLE AS x, (c_custkey % 11)::DOUBLE AS y FROM customer WHERE c_custkey % 3 <> 0 UNION ALL SELECT c_custkey, NULL, NULL FROM customer WHERE c_custkey % 3 = 0")

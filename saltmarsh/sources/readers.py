@@ -172,14 +172,21 @@ def whole_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
 
 
-def paged(spark: SparkSession, path: str, schema: str, count: int, limit: int = 1000, page: str = "page-{}.json") -> DataFrame:
-    """A feed's pages (arrays of objects, named by their offset) on any store that Spark reads, a task or more for each.
+def paged(spark: SparkSession, path: str, schema: str, count: int, limit: int = 1000, page: str | None = "page-{}.json") -> DataFrame:
+    """A feed's pages (arrays of objects) on any store that Spark reads, a task or more for each.
 
-    ``count`` rows in all, ``limit`` a page; a page that is missing fails the read instead of leaving rows out.
+    ``count`` rows in all, as the feed says, and ``limit`` a page; pages are named by their offset, or, with ``page=None``, are
+    all files of the folder, which Spark lists. A page that is missing or is no array of such objects fails the read, and so
+    does another number of rows, so nothing is left out or counted twice unseen.
     """
     if not count:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("mode", "FAILFAST").json([f"{path}/{page.format(k)}" for k in range(0, count, limit)], multiLine=True)
+    paths = [f"{path}/{page.format(k)}" for k in range(0, count, limit)] if page else [path]
+    rows = spark.read.schema(schema).option("mode", "FAILFAST").option("recursiveFileLookup", str(page is None).lower()).json(paths, multiLine=True)
+    found = rows.count()
+    if found != count:
+        raise ValueError(f"the pages in {path} have {found} rows, and not {count}")
+    return rows
 
 
 def landed(spark: SparkSession, path: str, folder: str) -> DataFrame:

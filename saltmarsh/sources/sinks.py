@@ -1,16 +1,22 @@
 """Published snapshots. Spark writes all rows in parallel; nothing is gathered on the driver.
 
-A JSON or GeoJSON snapshot is a folder of part files with one record a line. ``document`` joins them, where a consumer
-needs one file, on an executor's side by Spark itself; that is for small published tables.
+A JSON or GeoJSON snapshot is a folder of part files with one record a line. ``document`` makes one file of them, where a
+consumer needs that; ``put_objects`` writes an object for each row.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
+import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import new_folder
+
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
@@ -44,18 +50,96 @@ def to_geojson_lines(df: DataFrame, path: str, **place: str) -> None:
 
 
 def document(lines: DataFrame, path: str, member: str, last_updated: str, **head: str) -> None:
-    """One JSON document {head..., lastUpdated, member: [records]} from a one-column table of JSON texts.
+    """One JSON document {head..., lastUpdated, member: [records]} from a one-column table of JSON texts, in its order.
 
-    One task writes it, line by line, so this is for snapshots that a browser loads.
+    All tasks write their records, one a line with a comma before it; the parts then become one file of the folder ``path``:
+    they are copied one after another inside the store's client, a buffer at a time, and the first comma is left out.
+    The file gets its name when it is whole. Null texts are left out.
     """
     (column,) = lines.columns
-    start = json.dumps({**head, "lastUpdated": last_updated})[:-1] + f', "{member}": ['
-    numbered = lines.select(F.lit(1).alias("part"), F.col(column).alias("text"))
     spark = lines.sparkSession
-    ends = spark.createDataFrame([(0, start), (2, "]}")], "part int, text string")
-    first = F.row_number().over(Window.orderBy("text")) == 1
-    body = numbered.withColumn("text", F.when(first, F.col("text")).otherwise(F.concat(F.lit(","), "text")))
-    body.unionByName(ends).coalesce(1).sortWithinPartitions("part").select("text").write.mode("overwrite").text(path)
+    own = uuid.uuid4().hex
+    parts = f"{path.rstrip('/')}/_parts-{own}"
+    lines.where(F.col(column).isNotNull()).select(F.concat(F.lit(","), F.col(column))).write.text(parts)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = lambda *p: jvm.org.apache.hadoop.fs.Path(*p)
+    store = at(path).getFileSystem(conf)
+    files = sorted((f.getPath().toString() for f in store.listStatus(at(parts)) if f.isFile() and f.getPath().getName().startswith("part-") and f.getLen() > 0))
+    whole = at(parts, "whole")
+    out = store.create(whole, True)
+    try:
+        out.write(bytearray((json.dumps({**head, "lastUpdated": last_updated})[:-1] + f', "{member}": [\n').encode()))
+        for n, file in enumerate(files):
+            source = store.open(at(file))
+            try:
+                if n == 0:
+                    source.seek(1)
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, conf, False)
+            finally:
+                source.close()
+        out.write(bytearray(b"]}"))
+    finally:
+        out.close()
+    for old in store.listStatus(at(path)):
+        if old.getPath().getName().startswith("part-"):
+            store.delete(old.getPath(), False)
+    if not store.rename(whole, at(path, f"part-00000-{own}.json")):
+        raise OSError(f"the document could not be put into {path}")
+    store.delete(at(parts), True)
+
+
+def series(df: DataFrame, column: str) -> DataFrame:
+    """One column's values as JSON texts, nulls as ``null``, for a document of a series."""
+    listed = F.to_json(F.array(column))
+    return df.select(F.substring(listed, F.lit(2), F.length(listed) - 2).alias("value"))
+
+
+def to_series(df: DataFrame, column: str, path: str, last_updated: str, formats: tuple[str, ...] = ("csv", "json")) -> dict[str, str]:
+    """A column published as CSV with a header, and as {lastUpdated, data: [values]}; format -> folder."""
+    written = {}
+    for kind in formats:
+        written[kind] = f"{path}.{kind}"
+        if kind == "csv":
+            # a blank line would be no row, so null is an empty text here
+            to_csv(df.select(F.coalesce(F.col(column).cast("string"), F.lit("")).alias(column)), written[kind])
+        elif kind == "json":
+            document(series(df, column), written[kind], "data", last_updated)
+        else:
+            raise ValueError(f"a series is published as csv or json, not as {kind}")
+    return written
+
+
+def put_objects(df: DataFrame, folder: str, name: str, content: str) -> DataFrame:
+    """Objects from rows, (name, length, sha256): each row's bytes become the object ``folder/name``, written by the tasks that
+    have the rows.
+
+    An object appears whole or not at all: it is written under another name first, and a task that runs again replaces it.
+    Names may have folders in them, but may not leave ``folder``; a null content is an empty object. ``content`` may be text.
+    Everything has been written when this returns.
+    """
+    kind = df.schema[content].dataType.typeName()
+    if kind not in ("binary", "string"):
+        raise ValueError("the content of an object is bytes or text")
+
+    def run(batches):
+        store, root = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+        for batch in batches:
+            names, found = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            data = [(x.encode() if isinstance(x, str) else x) or b"" for x in found]
+            for own, x in zip(names, data):
+                if own is None or own.startswith("/") or ".." in own.split("/"):
+                    raise ValueError(f"no name for an object: {own}")
+                at = f"{root}/{own}"
+                temporary = f"{at}.{uuid.uuid4().hex}.tmp"
+                store.create_dir(at.rpartition("/")[0], recursive=True)
+                with store.open_output_stream(temporary) as f:
+                    f.write(x)
+                store.move(temporary, at)
+            yield pa.RecordBatch.from_pydict({"name": names, "length": [len(x) for x in data], "sha256": [hashlib.sha256(x).hexdigest() for x in data]})
+
+    path = new_folder(df.sparkSession, "objects")
+    df.select(F.col(name).cast("string"), content).mapInArrow(run, "name string, length long, sha256 string").write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def metadata(name: str, description: str, source: str | None = None, columns: dict[str, str] | None = None, downloads: dict[str, str] | None = None) -> str:
