@@ -1,10 +1,10 @@
 """Main text of web pages by minimum-cut labelling.
 
 A page is cut into blocks: runs of text between block-level tags, in page order. A linear classifier gives each block a
-score from its ancestors' tags and the words in their names, its length and the share of its text inside links. A word
-in a name weighs by how sure a sign it is and by its share of the name, and less on a paragraph than on a container; so
-it is one piece of evidence beside the article around a block and the blocks next to it. In a flow network,
-a block with a positive score is tied to the source by that capacity, one with a negative score to the sink; neighbours
+score from its ancestors' tags and names, its length and the share of its text inside links. Names are read whole: one
+speaks against content if all its words do, or the last one does ("post-comments"), and says nothing if it tells of a state
+or a layout ("has-sidebar", "ad-free", "nav-open"). What an element holds outweighs its name: a container of the article,
+or, on a page without one, of most of the running text, is no boilerplate whatever it is called. In a flow network, a block with a positive score is tied to the source by that capacity, one with a negative score to the sink; neighbours
 in page order, and neighbours among the blocks of one parent element, are tied to each other by smoothness edges. The
 minimum cut, found by max-flow, is the labelling with the least total of classifier costs and broken edges; the blocks
 on the source side are the content.
@@ -23,6 +23,7 @@ import re
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, types
@@ -45,18 +46,26 @@ INNER = frozenset("p div section li h1 h2 h3 h4 h5 h6".split())
 TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 li dd dt td th pre blockquote figcaption caption".split())
 BAD_TAGS = {"nav": 4.0, "footer": 4.0, "aside": 4.0, "form": 4.0, "header": 4.0, "menu": 4.0, "dialog": 4.0, "head": 9.0, "fieldset": 2.0, "button": 4.0}
 GOOD_TAGS = {"article": 3.0, "main": 2.0}
-#: Words that name boilerplate wherever they stand in a name, and words that do so only as far as they make up the name.
+#: Words that name boilerplate, and words that do so only in a name without others.
 BAD_WORDS = frozenset(
     "ad ads adv advert advertisement advertising adbox adsense breadcrumb breadcrumbs comment comments commentlist cookie cookies disqus footer gdpr login masthead modal nav navbar navigation navi newsletter overlay pager pagination pagenav popup sidebar signin signup skyscraper sponsor sponsored subscribe subscription tagcloud toolbar topbar".split()
 )
 WEAK_WORDS = frozenset(
-    "banner consent copyright disclaimer feedback header menu notice notification paging promo promoted promotion recommend recommended related replies reply respond response responses search share sharing side skip social tags trending widget widgets".split()
+    "banner consent copyright disclaimer discussion feedback header menu notice notification paging promo promoted promotion recommend recommended related replies reply respond response responses search share sharing side skip social tags trending widget widgets".split()
 )
 GOOD_WORDS = frozenset("article articlebody body content entry main maintext post posttext story text".split())
+#: Words that add nothing to a name, and those that make it one of a state or a layout.
+PLAIN_WORDS = frozenset(
+    "area bar block bottom box button buttons center col column container footer form global group holder icons inner item items left links list main module outer page panel primary region right row secondary section site thread top wrap wrapper".split()
+)
+STATE_WORDS = frozenset("active collapsed closed disabled enabled expanded fixed free has hidden hide is layout no non not open opened off on required show sticky toggle toggled with without".split())
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-#: The classifier's weights: of words in names, of a role, of being hidden; of links, length, and a block's place.
-STRONG, WEAK, ROLE, HIDDEN = 5.0, 4.5, 4.0, 9.0
-LINKS, LENGTH, BIAS, HEADING, PARAGRAPH, ITEM, BARE = 2.5, 0.5, 0.7, 0.5, 0.5, 0.2, 0.4
+#: The classifier's weights: of a name that speaks against content, of one that does so in part, of a role, of being hidden;
+#: of links (outside articles and in them), length, and a block's place.
+NAME, PART, ROLE, HIDDEN = 4.5, 1.0, 4.0, 9.0
+LINKS, LINKS_INSIDE, LENGTH, BIAS, HEADING, PARAGRAPH, ITEM, BARE = 2.5, 1.0, 0.5, 0.7, 0.5, 0.5, 0.2, 0.4
+#: The share of a page's running text that makes a container of it more than its name.
+OWN_TEXT = 2 / 3
 #: Smoothness: neighbours in page order under one parent, or whose parents are related; others; neighbours in a group; and
 #: the part of it that goes between unlike blocks.
 BROTHERS, NEAR, FAR, GROUP, CONTRAST = 0.7, 0.4, 0.15, 0.2, 0.8
@@ -65,21 +74,26 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)",
     re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"([a-zA-Z_:-]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
-_WORD = re.compile(r"[a-z]+|[0-9]+")
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+_WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"([a-z])([A-Z])")
 
 
-@dataclass
+@dataclass(slots=True)
 class Element:
     tag: str
     parent: Element | None
+    attributes: str = ""
     bad: float = 0.0  # of this element and all above
     good: float = 0.0
     in_article: bool = False
+    running: int = 0  # characters outside links, in this element
+    headed: bool = False  # holds a first heading
+    holds: bool = False  # holds the page's own article
+    inside: bool = False  # stands in it
 
 
-@dataclass
+@dataclass(slots=True)
 class Block:
     text: str
     linked: int
@@ -91,46 +105,83 @@ class Block:
         return min(1.0, self.linked / len(self.text))
 
 
-def _attributes(source: str) -> tuple[list[list[str]], str, bool]:
-    """(words of each name in class and id, role, hidden)."""
-    names, role, hidden = [], "", False
-    for m in _ATTRIBUTE.finditer(source):
-        name, value = m[1].lower(), m[2].strip("\"'")
+def _badness(words: list[str], textual: bool) -> float:
+    """How much a name speaks against content."""
+    if not STATE_WORDS.isdisjoint(words):
+        return 0.0
+    telling = [w for w in words if w not in PLAIN_WORDS] or words
+    named = [w in BAD_WORDS or w in WEAK_WORDS for w in telling]
+    if all(named):
+        return NAME * (0.5 if textual else 1.0)
+    if textual or not any(named):
+        return 0.0
+    return NAME if telling[-1] in BAD_WORDS else PART
+
+
+@lru_cache(maxsize=1 << 14)
+def _evidence(attributes: str, textual: bool) -> tuple[float, bool, str, bool, bool]:
+    """(badness of the worst name in class and id, whether one is only "header", role, hidden, whether one names content) of a tag's attributes."""
+    worst, header, role, hidden, good = 0.0, False, "", False, False
+    for m in _ATTRIBUTE.finditer(attributes):
+        name, value = m[1].lower(), (m[2] or "").strip("\"'")
         if name in ("class", "id"):
-            names += [found for x in value.split() if (found := _WORD.findall(_CAMEL.sub(r"\1 \2", x).lower()))]
+            for x in value.split():
+                words = _WORD.findall(_CAMEL.sub(r"\1 \2", x).lower())
+                if words == ["header"]:
+                    header = True
+                elif words:
+                    worst = max(worst, _badness(words, textual))
+                    good = good or not GOOD_WORDS.isdisjoint(words)
         elif name == "role":
             role = value.lower()
+        elif name == "hidden":
+            hidden = value.lower() != "until-found"
         elif name == "style":
             hidden = hidden or "display:none" in value.replace(" ", "").lower()
-    return names, role, hidden or bool(re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", source))
-
-
-def _badness(words: list[str], textual: bool) -> float:
-    """How much a name speaks against content."""
-    bad = sum(w in BAD_WORDS for w in words)
-    weak = sum(w in WEAK_WORDS for w in words)
-    if bad and (not textual or bad + weak == len(words)):
-        return STRONG
-    return WEAK * (bad + weak) / len(words) * (0.5 if textual else 1.0)
-
-
-def _element(tag: str, attributes: str, parent: Element) -> Element:
-    names, role, hidden = _attributes(attributes) if attributes.strip(" /") else ([], "", False)
-    out = Element(tag, parent, parent.bad, parent.good, parent.in_article or tag in GOOD_TAGS)
-    if tag in BAD_TAGS and not (tag == "header" and parent.in_article):
-        out.bad += BAD_TAGS[tag]
-    out.good = max(out.good, GOOD_TAGS.get(tag, 0.0))
-    if tag not in ("body", "html", "article", "main"):
-        if parent.in_article:  # an article's own header is part of it
-            names = [x for x in names if x != ["header"]]
-        out.bad += max((_badness(x, tag in TEXTUAL) for x in names), default=0.0)
-        if role in BAD_ROLES:
-            out.bad += ROLE
-    if hidden:
-        out.bad += HIDDEN
-    if role in ("main", "article") or any(w in GOOD_WORDS for x in names for w in x):
-        out.good = max(out.good, 1.5)
-    return out
+    return (worst, header, role, hidden, good)
+
+
+def _judge(elements: list[Element], blocks: list[Block]) -> None:
+    """Sets what is known of each element. Parents come before their children in ``elements``."""
+    total = 0
+    for b in blocks:
+        own = len(b.text) - b.linked
+        b.parent.running += max(own, 0)
+        total += max(own, 0)
+    for e in reversed(elements):
+        if e.tag == "h1":
+            e.headed = True
+        if (up := e.parent) is not None:
+            up.running += e.running
+            up.headed = up.headed or e.headed
+    # the page's own article is the first one with the first heading in it, or else the one with most text
+    articles = [e for e in elements if e.tag in GOOD_TAGS and e.running]
+    own = next((e for e in articles if e.headed), max(articles, key=lambda e: e.running, default=None))
+    if own:
+        own.inside, e = True, own
+        while e:
+            e.holds, e = True, e.parent
+    root = elements[0]
+    for e in elements[1:]:
+        up = e.parent
+        worst, header, role, hidden, good = _evidence(e.attributes, e.tag in TEXTUAL) if e.attributes else (0.0, False, "", False, False)
+        e.in_article, e.inside = up.in_article or e.tag in GOOD_TAGS, up.inside or e.inside
+        e.bad, e.good = up.bad, max(up.good, GOOD_TAGS.get(e.tag, 0.0))
+        if header and not up.in_article:  # an article's own header is part of it
+            worst = max(worst, NAME)
+        if e.tag in ("body", "html", "article", "main"):
+            worst = 0.0
+        tag = BAD_TAGS.get(e.tag, 0.0) if not (e.tag == "header" and up.in_article) else 0.0
+        if (worst or tag or role) and e.running:
+            all_there_is = e.running >= OWN_TEXT * total and e.headed == root.headed and (own is None or e.inside)
+            if e.holds or all_there_is:
+                worst = 0.0
+                if e.tag in ("form", "fieldset"):
+                    tag = 0.0
+                role = role if role in ("main", "article") else ""
+        e.bad += tag + worst + (ROLE if role in BAD_ROLES else 0.0) + (HIDDEN if hidden else 0.0)
+        if role in ("main", "article") or good:
+            e.good = max(e.good, 1.5)
 
 
 class _Open:
@@ -138,6 +189,7 @@ class _Open:
 
     def __init__(self) -> None:
         self.stack = [Element("html", None)]
+        self.elements = list(self.stack)
         self.places: dict[str, list[int]] = {}
 
     @property
@@ -150,7 +202,8 @@ class _Open:
 
     def push(self, tag: str, attributes: str) -> None:
         self.places.setdefault(tag, []).append(len(self.stack))
-        self.stack.append(_element(tag, attributes, self.here))
+        self.stack.append(Element(tag, self.here, attributes.strip(" /")))
+        self.elements.append(self.here)
 
     def close(self, place: int) -> None:
         while len(self.stack) > place:
@@ -230,13 +283,14 @@ def blocks_of(page: str) -> list[Block]:
                 open_.push(tag, attributes)
                 heading = len(tag) == 2 and tag[0] == "h" and tag[1].isdigit()
     flush()
+    _judge(open_.elements, out)
     return out
 
 
 def score(block: Block) -> float:
     """The classifier: positive for content."""
     size = len(block.text)
-    out = block.parent.good - block.parent.bad - LINKS * block.density + LENGTH * min(6.0, (size / 40) ** 0.5) - BIAS
+    out = block.parent.good - block.parent.bad - (LINKS_INSIDE if block.parent.in_article else LINKS) * block.density + LENGTH * min(6.0, (size / 40) ** 0.5) - BIAS
     if block.heading:
         out += HEADING
     if block.parent.tag in ("p", "pre", "blockquote"):
@@ -255,19 +309,17 @@ def edges(blocks: list[Block]) -> dict[tuple[int, int], float]:
         a, b = blocks[i].parent, blocks[i + 1].parent
         related = a.parent is b.parent or a.parent is b or b.parent is a
         out[i, i + 1] = BROTHERS if a is b or a.parent is b.parent and a.tag == b.tag else NEAR if related else FAR
-    groups: dict[int, list[int]] = {}
+    last: dict[int, int] = {}
     for i, b in enumerate(blocks):
-        above = b.parent.parent or b.parent
-        groups.setdefault(id(above), []).append(i)
-    for group in groups.values():
-        for a, b in zip(group, group[1:]):
-            out[a, b] = out.get((a, b), 0.0) + GROUP
-    return {(a, b): w * (1 - CONTRAST * _contrast(blocks[a], blocks[b])) for (a, b), w in out.items()}
-
-
-def _contrast(a: Block, b: Block) -> float:
-    """1 where only one block is all links, or their elements' names differ in badness; 0 where they are alike in both."""
-    return max(abs(a.density - b.density), min(1.0, abs(a.parent.bad - b.parent.bad) / 2))
+        above = id(b.parent.parent or b.parent)
+        if above in last:
+            pair = (last[above], i)
+            out[pair] = out.get(pair, 0.0) + GROUP
+        last[above] = i
+    density = [b.density for b in blocks]
+    bad = [b.parent.bad for b in blocks]
+    # unlike blocks, of which one is all links or whose elements differ in badness, are less tied
+    return {(a, b): w * (1 - CONTRAST * max(abs(density[a] - density[b]), min(1.0, abs(bad[a] - bad[b]) / 2))) for (a, b), w in out.items()}
 
 
 def minimum_cut(capacity: list[float], edge: dict[tuple[int, int], float]) -> list[bool]:
@@ -275,12 +327,17 @@ def minimum_cut(capacity: list[float], edge: dict[tuple[int, int], float]) -> li
     n = len(capacity)
     if not n:
         return []
+    weight = [0.0] * n
+    for (a, b), w in edge.items():
+        weight[a] += w
+        weight[b] += w
+    if all(abs(c) >= w for c, w in zip(capacity, weight)):
+        return [c > 0 for c in capacity]
     own = list(capacity)
     near: list[dict[int, float]] = [{} for _ in range(n)]
     for (a, b), w in edge.items():
         near[a][b] = near[a].get(b, 0.0) + w
         near[b][a] = near[b].get(a, 0.0) + w
-    weight = [sum(x.values()) for x in near]
     label: list[bool | None] = [None] * n
     queue = deque(range(n))
     while queue:

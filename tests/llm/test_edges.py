@@ -533,3 +533,57 @@ def test_words(texts, most):
         assert [[x for x, _ in g] for g in got] == [re.findall(pattern, t) for t in shown]
         names = {h: x for g in got for x, h in g}
         assert all(names[h] == x for g in got for x, h in g)
+
+
+LONG_PART = "<p>This is the first of several long sentences of the article, which go on for a while.</p><p>And this is the second one, as long as the first one and longer, it seems.</p>"
+
+
+@pytest.mark.parametrize(
+    "around",
+    [
+        '<div class="layout has-sidebar"><article>%s</article></div>', '<div id="page" class="no-sidebar"><main>%s</main></div>', '<div class="content with-sidebar">%s</div>', '<div class="nav-open"><article>%s</article></div>',
+        '<article><div class="entry with-comments">%s</div></article>', '<article><div class="ad-free-story">%s</div></article>', '<article><div class="login-required-story">%s</div></article>',
+        "<form><h1>T</h1><article>%s</article></form>", "<form action=x>%s</form>", '<article title="The hidden truth">%s</article>', '<div data-title="a hidden gem">%s</div>', '<div class="prose hidden md:block">%s</div>',
+        '<div class="content-sidebar"><article>%s</article></div>', '<div class="sidebar"><main>%s</main></div>', "<section data-hidden=x>%s</section>",
+    ],
+)
+def test_names_do_not_throw_articles_away(around):
+    page = "<body><nav><a href=/>Home</a></nav>" + around % LONG_PART + '<div class="sidebar"><p>Our other pages are here for you.</p></div><footer>copyright 2020 by us</footer>'
+    found = html_extract.main_text(page)
+    assert found.removeprefix("T ").startswith("This is the first") and found.endswith("it seems.")
+
+
+@pytest.mark.parametrize("around", ["<div hidden>%s</div>", '<div style="display: none">%s</div>', "<div hidden=''>%s</div>", '<section class="post-comments">%s</section>', '<div id="commentList">%s</div>', "<aside>%s</aside>", '<div class="ads left">%s</div>', '<div class="reader-comments"><article>%s</article></div>'])
+def test_what_is_no_content_goes(around):
+    page = "<body><article><h1>Head</h1><p>A short article, that is one line long, as some are.</p></article>" + around % "<p>Well said, and I have something to add to that, at some length.</p>"
+    assert html_extract.main_text(page) == "Head A short article, that is one line long, as some are."
+
+
+def test_links_in_lists_and_tables_of_articles_stay():
+    inside = "<h2>Steps</h2><ul><li><a href=x>One</a></li><li><a href=y>Two</a></li></ul><table><tr><td><a href=z>Cell</a></td><td>3</td></tr></table>"
+    assert html_extract.main_text("<article>" + LONG_PART + inside + "</article>").endswith("it seems. Steps One Two Cell 3")
+
+
+def test_the_cut_helps_on_pages_without_an_article(spark):
+    """Pages made of the given texts: lines as paragraphs, every fourth one under a short heading, links beside them."""
+    moved = right_with = right_without = pages = 0
+    for row in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect():
+        lines = [" ".join(x.split()) for x in (row["text"] or "").replace("<", " ").replace("&", " ").split("\n") if x.strip()][:40]
+        if len(lines) < 4 or sum(map(len, lines)) < 400:
+            continue
+        body, content = [], []
+        for k, line in enumerate(lines):
+            if k % 4 == 0:
+                content.append(f"Part {k}")
+                body.append(f"<h3>Part {k}</h3>")
+            content.append(line)
+            body.append(f"<p>{line}</p>")
+        page = "<body><div class=top><a href=/>Home</a> <a href=/a>About us</a></div><div class=x>" + "".join(body) + "</div><div class=bottom><a href=/t>Terms</a> <a href=/p>Privacy</a></div></body>"
+        blocks = html_extract.blocks_of(page)
+        alone = [html_extract.score(b) for b in blocks]
+        cut = html_extract.minimum_cut(alone, html_extract.edges(blocks))
+        moved += sum((a > 0) != b for a, b in zip(alone, cut))
+        pages += 1
+        right_with += [b.text for b, k in zip(blocks, cut) if k] == content
+        right_without += [b.text for b, k in zip(blocks, alone) if k > 0] == content
+    assert pages > 100 and moved > 0 and right_with > right_without and right_with >= 0.9 * pages
