@@ -7,8 +7,10 @@ words. Where the shift is zero, the hash of the last two words selects a bucket
 selects within the bucket, and a comparison of the words themselves, byte by byte, confirms. Many stretches of a batch are searched in step, so
 each of these is a NumPy pass.
 
-The tables of at most ``PATTERN_BYTES`` of benchmark text go to the executors at once. A larger benchmark is cut into
-blocks of that size, and the texts pass through one search after another. Documents are never shuffled.
+A benchmark is cut into blocks of about ``PATTERN_BYTES`` of text, and each block's tables are a broadcast, which an executor
+keeps on its disk. The texts pass by once: a task holds some MB of them, and searches them for one block after another with
+the tables of one in memory. So neither the driver nor a task holds more than one block's tables, whatever the benchmark's
+size. Documents are never shuffled.
 """
 
 from __future__ import annotations
@@ -22,10 +24,13 @@ from pyspark.sql import Column, DataFrame, types
 from pyspark.sql import functions as F
 
 from . import tokens
+from .shared import written
 
 WINDOW = 13
-#: Benchmark text, in bytes, that is searched for in one pass; its tables take some ten times that.
+#: Benchmark text, in bytes, of one block; its tables take some ten times that.
 PATTERN_BYTES = 4 << 20
+#: Text that a task holds while it goes through several blocks, in bytes.
+HELD_BYTES = 16 << 20
 #: Words of a stretch that one cursor walks.
 STRETCH = 256
 _Q = np.uint64(0xD6E8FEB86659FD93)
@@ -106,54 +111,65 @@ def patterns_of(texts: list[str | None], window: int) -> list[Patterns]:
             starts = np.arange(words.first[i], words.first[i + 1] - m + 1)
             at.append(starts)
             item.append(np.full(len(starts), i))
-        one = Patterns(words, hashes, np.concatenate(at), np.concatenate(item), m)
-        lead = np.searchsorted(one.key, one.key)
-        for j in range(m):
-            if not tokens.same_words(words, one.at + j, words, one.at[lead] + j).all():
-                raise ValueError("two different word sequences of the benchmark share a 64-bit key")
-        out.append(one)
+        at, item = np.concatenate(at), np.concatenate(item)
+        while len(at):
+            one = Patterns(words, hashes, at, item, m)
+            lead = np.searchsorted(one.key, one.key)
+            same = np.ones(len(one.key), bool)
+            for j in range(m):
+                same &= tokens.same_words(words, one.at + j, words, one.at[lead] + j)
+            # different windows that share a key are searched for one after another
+            at, item = one.at[~same], one.item[~same]
+            out.append(one if same.all() else Patterns(words, hashes, one.at[same], one.item[same], m))
     return out
 
 
-def _scan(tables, names, text: str):
+def _portions(batches: Iterator[pa.RecordBatch], text: str, most: int) -> Iterator[list[tuple[pa.RecordBatch, tokens.Words]]]:
+    """Slices of batches with their words, ``most`` bytes of text or little more at a time."""
+    held, size = [], 0
+    for batch in batches:
+        for i, j, words in tokens.sliced(tokens.column_of(batch, text), tokens.NOT_ALPHANUMERIC, lower=True):
+            held.append((batch.slice(i, j - i), words))
+            size += len(words.data)
+            if size >= most:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
+def _scan(tables: list, text: str):
     """Adds to each row: its words, the hit words' positions (as flags packed into bits), its items."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        patterns, ids = tables.value, names.value
-        for batch in batches:
-            before = [c for c in batch.schema.names if c not in ("_n_words", "_hit", "_items")]
-            for i, j, words in tokens.sliced(tokens.column_of(batch, text), tokens.NOT_ALPHANUMERIC, lower=True):
-                hashes, owner = words.hashes(), words.text_of()
-                cover = np.zeros(len(hashes) + 1, np.int32)
-                items: list[set[str]] = [set() for _ in range(j - i)]
-                for p in patterns:
-                    start, first = p.search(words, hashes)
-                    inside = owner[start] == owner[start + p.m - 1]
-                    start, first = start[inside], first[inside]
-                    np.add.at(cover, start, 1)
-                    np.add.at(cover, start + p.m, -1)
-                    if len(start):
-                        for doc, one in np.unique(np.stack([owner[start], first]), axis=1).T:
-                            items[doc].update(ids[k] for k in p.items(one))
-                hit = np.cumsum(cover[:-1]) > 0
-                part = batch.slice(i, j - i)
+        for held in _portions(batches, text, HELD_BYTES if len(tables) > 1 else 0):
+            hits = [np.zeros(len(words.start), bool) for _, words in held]
+            items: list[list[set[str]]] = [[set() for _ in range(part.num_rows)] for part, _ in held]
+            for table in tables:
+                # one block's tables at a time, unless there is but one
+                patterns, ids = table.value if len(tables) == 1 else table.load_from_path(table._path)
+                for (_, words), hit, found in zip(held, hits, items):
+                    hashes, owner = words.hashes(), words.text_of()
+                    cover = np.zeros(len(hashes) + 1, np.int32)
+                    for p in patterns:
+                        start, first = p.search(words, hashes)
+                        inside = owner[start] == owner[start + p.m - 1]
+                        start, first = start[inside], first[inside]
+                        np.add.at(cover, start, 1)
+                        np.add.at(cover, start + p.m, -1)
+                        if len(start):
+                            for doc, one in np.unique(np.stack([owner[start], first]), axis=1).T:
+                                found[doc].update(ids[k] for k in p.items(one))
+                    hit |= np.cumsum(cover[:-1]) > 0
+                del patterns, ids
+            for (part, words), hit, found in zip(held, hits, items):
                 bits = [np.packbits(hit[a:b]).tobytes() if hit[a:b].any() else b"" for a, b in zip(words.first[:-1], words.first[1:])]
-                if "_hit" in batch.schema.names:
-                    bits = [_either(a, b) for a, b in zip(bits, tokens.column_of(part, "_hit").to_pylist())]
-                    items = [a.union(b) for a, b in zip(items, tokens.column_of(part, "_items").to_pylist())]
-                columns = [tokens.column_of(part, c) for c in before]
-                columns += [pa.array(words.counts.astype(np.int64)), pa.array(bits, pa.binary()), pa.array([sorted(x) for x in items], pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays(columns, names=[*before, "_n_words", "_hit", "_items"])
+                columns = [*part.columns, pa.array(words.counts.astype(np.int64)), pa.array(bits, pa.binary()), pa.array([sorted(x) for x in found], pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, "_n_words", "_hit", "_items"])
 
     return run
 
 
-def _either(a: bytes, b: bytes) -> bytes:
-    if not a or not b:
-        return a or b
-    return np.bitwise_or(np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)).tobytes()
-
-
 def _hits(column: Column) -> Column:
     """The number of bits set: each hex digit's count, by removing digits of other counts."""
     digits = F.hex(column)
@@ -176,12 +192,14 @@ def find_benchmark(docs: DataFrame, items: DataFrame, text: str = "text", item_i
     n_blocks = max(1, math.ceil(total / PATTERN_BYTES))
     extra = [types.StructField("_n_words", types.LongType()), types.StructField("_hit", types.BinaryType()), types.StructField("_items", types.ArrayType(types.StringType()))]
     schema = types.StructType([*docs.schema.fields, *extra])
+    if n_blocks > 1:
+        # the benchmark is read once, and each block's rows lie together
+        named = written(named.withColumn("block", F.pmod(F.xxhash64("id", "t"), F.lit(n_blocks)).cast("int")).repartitionByRange("block").sortWithinPartitions("block"), "benchmark")
+    tables = []
     for k in range(n_blocks):
-        # about PATTERN_BYTES of benchmark text
-        block = named.where(F.pmod(F.xxhash64("id", "t"), F.lit(n_blocks)) == k).collect()
-        tables = spark.sparkContext.broadcast(patterns_of([r["t"] for r in block], window))
-        ids = spark.sparkContext.broadcast([r["id"] for r in block])
-        docs = docs.mapInArrow(_scan(tables, ids, text), schema)
+        block = (named.where(F.col("block") == k) if n_blocks > 1 else named).collect()
+        tables.append(spark.sparkContext.broadcast((patterns_of([r["t"] for r in block], window), [r["id"] for r in block])))
+    docs = docs.mapInArrow(_scan(tables, text), schema)
     return docs.withColumn("_n_hit", _hits(F.col("_hit"))).drop("_hit")
 
 

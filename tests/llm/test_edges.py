@@ -239,6 +239,20 @@ def test_large_benchmark_goes_in_blocks(docs, spark, monkeypatch):
     monkeypatch.setattr(decontam, "PATTERN_BYTES", 150)
     assert by_id(decontam.find_benchmark(docs, items, window=3), "_n_hit", "_items") == whole
     assert max(len(r[2]) for r in whole) > 5
+    found = decontam.find_benchmark(docs, items, window=3)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
+def test_windows_that_share_a_key_are_all_found(monkeypatch):
+    """With all words' hashes equal, each window of a length has one key."""
+    monkeypatch.setattr(tokens.Words, "hashes", lambda self: np.ones(len(self.start), np.uint64))
+    items = ["a b c d", "b c d e", "a b c d", "x y", "y x", "z"]
+    words = tokens.split(*tokens.buffers(pa.array(["q a b c d e x y x z"])), tokens.NOT_ALPHANUMERIC, lower=True)
+    found = set()
+    for p in decontam.patterns_of(items, 3):
+        for s, f in zip(*p.search(words, words.hashes())):
+            found |= {(int(s), p.m, int(i)) for i in p.items(f)}
+    assert found == {(1, 3, 0), (2, 3, 0), (1, 3, 2), (2, 3, 2), (2, 3, 1), (3, 3, 1), (6, 2, 3), (7, 2, 4), (9, 1, 5)}
 
 
 def test_wu_manber_brute_force():
