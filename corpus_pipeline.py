@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saltmarsh.llm import decontam, langid, mixing, near_dedup, sharding
-from saltmarsh.llm.shared import written
+from saltmarsh.llm.shared import flags_of, written
 
 N_SHARDS = 24
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -48,9 +48,13 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     keyed = docs.withColumn("_row", F.xxhash64(*docs.columns))
     found = near_dedup.near_duplicates(keyed.select(F.col("_row").alias("doc_id"), "text"), words=5, percent=80).select(F.col("doc_id").alias("_row"), "component_id")
     ids = keyed.select("_row", F.col("doc_id").isNull().alias("none"), "doc_id").distinct()
-    least = found.distinct().join(ids, "_row").groupBy("component_id").agg(F.min(F.struct("none", "doc_id", "_row")).alias("least"))
-    kept = keyed.join(least.select("least._row"), "_row", "left_semi")
-    return kept.dropDuplicates(["_row", *docs.columns]).select(docs.columns)
+    least = found.distinct().join(ids, "_row").groupBy("component_id").agg(F.min(F.struct("none", "doc_id", "_row")).alias("least")).select("least._row")
+    # all other rows stay as they are, without a shuffle: those that go, and those that may be equal, are told by flags first
+    gone = written(found.select("_row").distinct().join(least, "_row", "left_anti"), "gone")
+    again = written(found.groupBy("_row").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_row"), "again")
+    flags, flagged = flags_of(gone.union(again), 16 * (gone.count() + again.count()), near_dedup.MOST_FLAGS)
+    looked_at = keyed.where(flagged(F.col("_row"))).join(gone, "_row", "left_anti").dropDuplicates(["_row", *docs.columns])
+    return keyed.where(~flagged(F.col("_row"))).unionByName(looked_at).select(docs.columns)
 
 
 @_on_plain_names
