@@ -10,8 +10,12 @@
 4. Each batch's answers meet its ids: a text's repeated windows, merged into maximal intervals of words, are joined to
    the texts by id and text hash, and the words are removed.
 
-Hashes have 64 bits: with 1e9 windows the chance that any two different ones agree is below 0.03; words are hashed
-with all their bytes. Whether two windows are equal is judged on the input, so all copies of a passage go.
+A window has two independent hashes. The second one names its bucket and the first one, of 64 bits, is compared there, so two
+windows are taken for equal if they agree in 64 bits and in the bucket: with N windows and B buckets, some N**2 / (B * 2**65)
+pairs of different windows must be expected to, which is 7 at 100 TB and 2**20 buckets. Words are hashed with all their bytes.
+Whether two windows are equal is judged on the input, so all copies of a passage go.
+
+Only texts that lose words are shuffled for that; flags, of bounded size, tell the others, which are copied as they are.
 """
 
 from __future__ import annotations
@@ -26,10 +30,12 @@ from pyspark.sql import functions as F
 
 from . import tokens
 from .groups import gathered, groups
-from .shared import shuffle_partitions
+from .shared import flags_of, shuffle_partitions, written
 
 #: Text of one batch, in bytes; one longer text is a batch by itself.
 BATCH_BYTES = 4 << 20
+#: Flags for the texts that lose words, 16 for each up to so many.
+MOST_FLAGS = 1 << 26
 _PIECES = pa.schema([("bucket", pa.int32()), ("batch", pa.int64()), ("hashes", pa.binary()), ("steps", pa.binary()), ("repeated", pa.binary())])
 
 
@@ -54,24 +60,34 @@ def _ranges(flags: np.ndarray) -> np.ndarray:
     return np.flatnonzero(padded[1:] != padded[:-1]).astype(np.int32)
 
 
+def two_hashes(words: tokens.Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start word, hash, another hash) of each window."""
+    hashes = words.hashes()
+    place, value = words.windows(hashes, window)
+    _, second = words.windows(tokens.mixed(hashes ^ np.uint64(0xA0761D6478BD642F)), window)
+    return place, value, second
+
+
 def _hashed(window: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         serial = TaskContext.get().partitionId() << 32
         for batch in batches:
             ids, checks = tokens.column_of(batch, "doc_id"), tokens.column_of(batch, "check")
             for i, j, words in tokens.sliced(tokens.column_of(batch, "text"), tokens.WHITESPACE, most=BATCH_BYTES):
-                place, value = words.windows(words.hashes(), window)
+                place, value, second = two_hashes(words, window)
                 # every first occurrence in the batch is sent; windows repeated within the batch are known at once
                 order = np.argsort(value, kind="stable")
-                ordered = value[order]
+                if ((value[order][1:] == value[order][:-1]) & (second[order][1:] != second[order][:-1])).any():
+                    order = np.lexsort((second, value))  # stable, too
+                ordered, other = value[order], second[order]
                 new = np.ones(len(ordered), bool)
-                new[1:] = ordered[1:] != ordered[:-1]
+                new[1:] = (ordered[1:] != ordered[:-1]) | (other[1:] != other[:-1])
                 group = np.cumsum(new) - 1
                 twice = (np.bincount(group, minlength=1) > 1)[group] if len(group) else np.zeros(0, bool)
                 known = np.zeros(len(words.start), bool)
                 known[place[order[twice]]] = True
                 first = order[new]
-                bucket = (value[first] >> np.uint64(33)).astype(np.int64) % buckets
+                bucket = (second[first] >> np.uint64(33)).astype(np.int64) % buckets
                 # by bucket, then by place
                 by = np.lexsort((place[first], bucket))
                 first, bucket = first[by], bucket[by]
@@ -187,8 +203,12 @@ def remove_repeated(docs: DataFrame, window: int = 35) -> DataFrame:
     pieces = checked.mapInArrow(_hashed(window, buckets), "bucket int, batch long, hashes binary, steps binary, repeated binary")
     answers = gathered(pieces, "bucket").mapInArrow(_counted, "batch long, about binary, places binary")
     removed = gathered(answers, "batch").mapInArrow(_merged(window), "doc_id long, check long, removed binary").dropDuplicates(["doc_id", "check"])
-    both = checked.join(removed.withColumnsRenamed({"doc_id": "d", "check": "c"}), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("check") == F.col("c")), "left")
-    return both.select("doc_id", "text", "removed").mapInArrow(_cut, "doc_id long, n_words long, n_removed long, kept_text string")
+    removed = written(removed.withColumnsRenamed({"doc_id": "d", "check": "c"}), "removed")
+    _, flagged = flags_of(removed.select(F.xxhash64("d", "c").alias("k")), 16 * removed.count(), MOST_FLAGS)
+    loses = flagged(F.xxhash64("doc_id", "check"))
+    changed = checked.where(loses).join(removed, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("check") == F.col("c")), "left").select("doc_id", "text", "removed")
+    whole = checked.where(~loses).select("doc_id", "text", F.lit(None).cast("binary").alias("removed"))
+    return whole.unionByName(changed).mapInArrow(_cut, "doc_id long, n_words long, n_removed long, kept_text string")
 
 
 def op5_substring_dedup(spark, sf_dir: str) -> DataFrame:

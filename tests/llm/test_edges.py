@@ -198,6 +198,19 @@ def test_steps_round_trip(places):
     assert substring_dedup._places(substring_dedup._steps(places)).tolist() == places.tolist()
 
 
+def test_windows_with_one_hash_are_told_apart_in_a_batch(monkeypatch):
+    """All first hashes forced to be equal: windows repeat only where the others agree too."""
+    real = substring_dedup.two_hashes
+    monkeypatch.setattr(substring_dedup, "two_hashes", lambda words, n: (lambda p, v, w: (p, np.full(len(v), 7, np.uint64), w))(*real(words, n)))
+    monkeypatch.setattr(substring_dedup, "TaskContext", type("T", (), {"get": staticmethod(lambda: type("C", (), {"partitionId": lambda self: 0})())}))
+    texts = ["a b c d e f g", "x b c d y", "q r s t u"]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array([0, 0, 0]), pa.array(texts)], names=["doc_id", "check", "text"])
+    rows = [r for b in substring_dedup._hashed(3, 4)(iter([batch])) for r in b.to_pylist()]
+    (known,) = [np.frombuffer(r["steps"], np.int32).tolist() for r in rows if r["bucket"] < 0]
+    assert known == [1, 2, 8, 9]  # b c d, at its two places
+    assert sum(len(r["hashes"]) // 8 for r in rows if r["bucket"] >= 0) == 5 + 3 + 3 - 1
+
+
 def test_substrings_brute_force(spark):
     rng = np.random.default_rng(5)
     texts = [" ".join(rng.choice(list("abc"), rng.integers(0, 30))) for _ in range(40)]
