@@ -12,7 +12,8 @@
 4. A family's texts are brought together and compared inside a task. A large family is cut into blocks of bounded size.
    First each block meets the family's first block only, which joins a group of near copies into one component, or a few.
    Texts outside their family's largest component then meet all of its blocks; texts of one component need not meet. So
-   a group of m near copies takes about m / 500 tasks, and only a family that falls apart takes more.
+   a group of m near copies takes about m / 500 tasks, and only a family that falls apart takes more. In one that has very
+   many blocks, such texts meet only those with which they share a band, so it isn't quadratic in the family either.
    Inside a task, the sketches' collision-corrected Jaccard estimate rules out pairs that are five standard errors below
    the threshold; pairs that links found so far join already need no more work; all others are counted exactly on the
    full sets. A task returns at most one link for each text it has.
@@ -40,6 +41,8 @@ REGISTERS, MANTISSA_BITS, BANDS, ROWS = 128, 10, 25, 5
 EMPTY = np.uint16(0xFFFF)
 #: Most texts, and shingles, of one block of a family.
 BLOCK_TEXTS, BLOCK_SHINGLES = 500, 1_000_000
+#: Blocks of a family beyond which its open texts meet by bands: a text has as many bands, and so many copies at least.
+MOST_BLOCKS = 2 * BANDS
 #: Flags for the members of families, 16 for each up to so many.
 MOST_FLAGS = 1 << 26
 
@@ -240,8 +243,35 @@ def _compare(n: int, percent: int):
     return run
 
 
-def _open_families(placed: DataFrame, linked: DataFrame, links: DataFrame, compared: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Components once the texts of large families that lie outside their family's largest component have met all its blocks."""
+def _tiles(rows: DataFrame, others: Column, blocks: Column) -> DataFrame:
+    """A copy of each text for each tile: texts outside their group's largest component, dealt to ``others`` parts (side 1), meet
+    all of its ``blocks`` (side 0). rows: node, k1, k2, family, joined, block, largest.
+    """
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    keep = ("node", "k1", "k2", "family", "joined")
+    outside = rows.where(F.col("joined") != F.col("largest"))
+    other = outside.select(*keep, F.pmod(F.xxhash64(F.lit(1), "node"), others).cast("int").alias("ti"), F.lit(1).alias("side"), every(blocks).alias("tj"))
+    each = rows.select(*keep, every(others).alias("ti"), F.lit(0).alias("side"), F.col("block").alias("tj"))
+    return other.unionByName(each.select(other.columns))
+
+
+def _by_band(many: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Tiles of families with very many blocks: only texts with a band in common meet, as any two that are linked have one."""
+    own = profiles.select(F.col("doc_id").alias("node"), "k1", "k2", "bands").dropDuplicates(["node", "k1", "k2"])
+    rows = many.select("node", "k1", "k2", "n", "family", "joined").join(own, ["node", "k1", "k2"]).withColumn("band", F.explode("bands")).drop("bands")
+    rows = written(rows.withColumn("family", F.xxhash64("family", "band")).drop("band"), "banded")
+    parts = F.ceil(F.greatest(F.sum("m") / BLOCK_TEXTS, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    sizes = rows.groupBy("family", "joined").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("n"))
+    groups_ = sizes.groupBy("family").agg(F.max(F.struct("m", "joined")).alias("x"), F.sum("m").alias("all"), parts.alias("blocks"))
+    open_ = groups_.select("family", F.col("x.joined").alias("largest"), F.ceil((F.col("all") - F.col("x.m")) / BLOCK_TEXTS).cast("int").alias("others"), "blocks").where("others > 0")
+    placed = rows.join(written(open_, "open"), "family").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    return _tiles(placed, F.col("others"), F.col("blocks"))
+
+
+def _open_families(placed: DataFrame, profiles: DataFrame, linked: DataFrame, links: DataFrame, compared: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Components once the texts of large families that lie outside their family's largest component have met those that they may
+    be linked with: all of the family's blocks, or, in a family of more than ``MOST_BLOCKS``, the texts that share a band.
+    """
     several = placed.where("blocks > 1").join(linked, "node", "left").withColumn("joined", F.coalesce("component", "node")).drop("component")
     several = written(several, "several")
     sizes = several.groupBy("family", "joined").agg(F.count(F.lit(1)).alias("m"))
@@ -249,10 +279,11 @@ def _open_families(placed: DataFrame, linked: DataFrame, links: DataFrame, compa
     largest = written(largest.select("family", F.col("x.joined").alias("largest"), (F.col("all") - F.col("x.m")).alias("rest")).where("rest > 0"), "largest")
     if not largest.isEmpty():
         open_ = several.join(largest, "family").withColumn("others", F.ceil(F.col("rest") / BLOCK_TEXTS).cast("int"))
-        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-        other = open_.where(F.col("joined") != F.col("largest")).withColumns({"ti": F.pmod(F.xxhash64(F.lit(1), "node"), F.col("others")).cast("int"), "side": F.lit(1)}).withColumn("tj", every("blocks"))
-        each = open_.withColumns({"tj": F.col("block"), "side": F.lit(0)}).withColumn("ti", every("others"))
-        linked = written(components(links.union(compared(other.unionByName(each)))), "linked")
+        tiles = _tiles(open_.where(F.col("blocks") <= MOST_BLOCKS), F.col("others"), F.col("blocks"))
+        many = open_.where(F.col("blocks") > MOST_BLOCKS)
+        if not many.isEmpty():
+            tiles = tiles.unionByName(_by_band(many, profiles))
+        linked = written(components(links.union(compared(tiles))), "linked")
     dropped(several, largest)
     return linked
 
@@ -292,7 +323,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     links = compared(met.withColumn("side", F.when(F.col("block") > 0, 1).otherwise(0)))
     linked = written(components(links), "linked")
     if not large.isEmpty():
-        linked = _open_families(placed, linked, links, compared)
+        linked = _open_families(placed, profiles, linked, links, compared)
     named_component = written(keys.join(linked, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component")), "components")
     dropped(members, large, ours, flags)
     out = profiles.drop("bands").join(named_component, ["k1", "k2"], "left").withColumn("component_id", F.coalesce("component", "doc_id"))

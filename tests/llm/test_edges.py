@@ -145,6 +145,8 @@ def test_family_that_falls_apart(spark, monkeypatch):
     assert len({r for _, r in want}) > 2
     monkeypatch.setattr(near_dedup, "BLOCK_TEXTS", 9)
     assert by_id(near_dedup.near_duplicates(df, 1, 90), "component_id") == want
+    monkeypatch.setattr(near_dedup, "MOST_BLOCKS", 1)  # by bands
+    assert by_id(near_dedup.near_duplicates(df, 1, 90), "component_id") == want
 
 
 def test_recall_of_pairs_at_the_threshold(spark):
