@@ -206,7 +206,8 @@ def remove_repeated(docs: DataFrame, window: int = 35) -> DataFrame:
     removed = written(removed.withColumnsRenamed({"doc_id": "d", "check": "c"}), "removed")
     _, flagged = flags_of(removed.select(F.xxhash64("d", "c").alias("k")), 16 * removed.count(), MOST_FLAGS)
     loses = flagged(F.xxhash64("doc_id", "check"))
-    changed = checked.where(loses).join(removed, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("check") == F.col("c")), "left").select("doc_id", "text", "removed")
+    # one plan at all sizes: the intervals of a third of all texts are no table to broadcast
+    changed = checked.where(loses).join(removed.hint("merge"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("check") == F.col("c")), "left").select("doc_id", "text", "removed")
     whole = checked.where(~loses).select("doc_id", "text", F.lit(None).cast("binary").alias("removed"))
     return whole.unionByName(changed).mapInArrow(_cut, "doc_id long, n_words long, n_removed long, kept_text string")
 
