@@ -278,3 +278,20 @@ def publish_series(spark, customer: DataFrame) -> DataFrame:
     lines = spark.read.text(folders["json"]).where("NOT startswith(value, '{') AND value <> ']}'")
     from_json = lines.select(F.lit("json").alias("format"), F.regexp_replace("value", "^,", "").try_cast("double").alias("balance"))
     return from_csv.unionByName(from_json).groupBy("format", "balance").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT 'n' || n_nationkey AS label, n_regionkey::VARCHAR AS year, 'w' || n_nationkey % 3 AS week, n_nationkey / 2.0::DOUBLE AS cases FROM nation WHERE n_regionkey = 2 AND n_nationkey / 2.0 > 1")
+def feed_pushdown(spark, nation: DataFrame) -> DataFrame:
+    """A paged feed as a data source: the equality is tested by its readers, the comparison by Spark."""
+    from ..sources.paged import PagedFeed
+
+    spark.dataSource.register(PagedFeed)
+    path, limit = new_folder(spark, "feed"), 7
+    key = F.col("n_nationkey")
+    one = F.to_json(F.struct(F.concat(F.lit("n"), key).alias("label"), F.col("n_regionkey").cast("string").alias("year"), F.concat(F.lit("w"), key % 3).alias("week"), (key / 2.0).cast("double").alias("cases")))
+    numbered = relational.row_numbers(nation.select("n_nationkey", one.alias("one")), ["n_nationkey"], "n")
+    offset = F.floor((F.col("n") - 1) / limit) * limit
+    pages = numbered.groupBy(offset.alias("k")).agg(F.concat(F.lit("["), F.array_join(F.collect_list("one"), ","), F.lit("]")).alias("page"))
+    sinks.put_objects(pages.select(F.concat(F.lit("page-"), F.col("k").cast("string"), F.lit(".json")).alias("name"), "page"), path, "name", "page")
+    feed = spark.read.format("paged_feed").options(path=path, count=str(numbered.count()), limit=str(limit)).load()
+    return feed.where("year = '2' AND cases > 1")

@@ -4,7 +4,8 @@
 DataFrames, read back from what was written, so each table is planned on files with statistics and a run can resume. A
 partitioned table gets its partition key and replaces that partition only. Expectations are checked by the job that writes
 the table, and only other checks read it again. A table that fails stops those that depend on it. Every table has a
-metadata file beside it.
+metadata file beside it. What a table needs from its surroundings (a folder, a threshold, a notifier) it names in
+``requires``; a run gets the values of its environment and does not start if one is missing.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ class Table:
     source: str | None = None
     checks: dict[str, Check] = field(default_factory=dict)
     expectations: dict[str, Expectation] = field(default_factory=dict)
+    requires: tuple[str, ...] = ()
 
 
 class CheckFailed(RuntimeError):
@@ -50,6 +52,13 @@ def partition_key(scheduled: datetime, period: str = "day", week_start: int = 6)
     return first[period].isoformat()
 
 
+def environment(settings: dict[str, dict[str, object]], name: str) -> dict[str, object]:
+    """The values of one environment, on top of those that all have (under ``default``)."""
+    if name not in settings:
+        raise ValueError(f"no environment {name}: there are {', '.join(sorted(settings))}")
+    return settings.get("default", {}) | settings[name]
+
+
 class Registry:
     def __init__(self) -> None:
         self.tables: dict[str, Table] = {}
@@ -93,17 +102,20 @@ class Registry:
             visit(name, ())
         return list(out.values())
 
-    def run(self, spark: SparkSession, root: str, select: list[str] | None = None, upstream: bool = True, partition: str | None = None, on_failure: Callable[[str, Exception], None] | None = None, stop: bool = True) -> DataFrame:
+    def run(self, spark: SparkSession, root: str, select: list[str] | None = None, upstream: bool = True, partition: str | None = None, on_failure: Callable[[str, Exception], None] | None = None, stop: bool = True, resources: dict[str, object] | None = None) -> DataFrame:
         """Writes the tables; returns (table, check, passed), one row for each check. A failure is reported, then raised; with
         ``stop=False``, checks that fail are rows of the result only.
         """
         results: list[tuple[str, str, bool]] = []
-        for t in self.order(select, upstream):
+        chosen, given = self.order(select, upstream), resources or {}
+        if missing := sorted({f"{r} (for {t.name})" for t in chosen for r in t.requires if r not in given}):
+            raise ValueError(f"the environment lacks {', '.join(missing)}")
+        for t in chosen:
             try:
                 inputs = [self.read(spark, root, d) for d in t.deps]
                 if t.partition and partition is None:
                     raise ValueError(f"{t.name} needs a partition key")
-                df, outcome = observed(t.build(spark, *inputs, *([partition] if t.partition else [])), t.expectations)
+                df, outcome = observed(t.build(spark, *inputs, *([partition] if t.partition else []), **{r: given[r] for r in t.requires}), t.expectations)
                 if t.partition:
                     df = df.withColumn(t.partition, F.lit(partition))
                     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(t.partition).parquet(self.path(root, t.name))

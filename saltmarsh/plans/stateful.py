@@ -13,7 +13,7 @@ from ..session import new_folder
 from ..streaming import alerts, feeds
 from .catalogue import query
 from .checks import expect_all, expect_fresh, expect_no_nulls, expect_rows
-from .registry import Registry, partition_key
+from .registry import CheckFailed, Registry, environment, partition_key
 
 
 @query("SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS cursor FROM events")
@@ -139,3 +139,55 @@ def partition_by_schedule(spark, sf_dir) -> DataFrame:
     for scheduled in (datetime(1995, 3, 16, 0, 20), datetime(1995, 3, 19), datetime(1995, 3, 18, 23, 59)):
         tables.run(spark, root, partition=partition_key(scheduled, "week"))
     return tables.read(spark, root, "weekly").groupBy(F.col("week").cast("date").alias("week")).agg(F.count("o_orderkey").alias("n"))
+
+
+@query("""SELECT 'priced' AS name, count(*) FILTER (WHERE o_totalprice < 1000) > 0 AS told, false AS below_built FROM orders WHERE o_totalprice IS NOT NULL HAVING count(*) FILTER (WHERE o_totalprice < 1000) > 0
+UNION ALL SELECT 'priced', false, true FROM orders HAVING count(*) FILTER (WHERE o_totalprice < 1000) = 0""")
+def failure_notice(spark, sf_dir) -> DataFrame:
+    """A table whose check fails if any order is cheap: who is told, and whether the table below it is built."""
+    tables, root, told, built = Registry(), new_folder(spark, "tables"), [], []
+
+    @tables.table("priced")
+    def priced(spark) -> DataFrame:
+        return spark.read.parquet(f"{sf_dir}/orders.parquet")
+
+    @tables.table("below", deps=("priced",))
+    def below(spark, priced: DataFrame) -> DataFrame:
+        built.append("below")
+        return priced
+
+    tables.expect("priced", dear=expect_all(F.col("o_totalprice") >= 1000))
+    try:
+        tables.run(spark, root, on_failure=lambda name, error: told.append(name))
+    except CheckFailed:
+        pass
+    return spark.createDataFrame([("priced", told == ["priced"], bool(built))], "name string, told boolean, below_built boolean")
+
+
+@query("SELECT column_name AS variable, 'https://example.org/orders' AS based_on FROM (DESCRIBE orders)")
+def table_metadata(spark, sf_dir) -> DataFrame:
+    """The metadata that stands beside a table: its columns, and what it is based on."""
+    tables, root = Registry(), new_folder(spark, "tables")
+
+    @tables.table("orders", description="Orders as they are", source="https://example.org/orders")
+    def orders(spark) -> DataFrame:
+        return spark.read.parquet(f"{sf_dir}/orders.parquet")
+
+    tables.run(spark, root)
+    shape = "isBasedOn string, variableMeasured array<struct<name: string>>"
+    about = spark.read.text(f"{root}/orders.metadata").select(F.from_json("value", shape).alias("m"))
+    return about.select(F.explode("m.variableMeasured.name").alias("variable"), F.col("m.isBasedOn").alias("based_on"))
+
+
+@query("SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_totalprice >= 150000 GROUP BY 1")
+def environment_resources(spark, sf_dir) -> DataFrame:
+    """A table that needs a limit, which the environment of the run gives."""
+    settings = {"default": {"limit": 150_000, "site": "all"}, "test": {"site": "one"}, "production": {"limit": 10}}
+    tables, root = Registry(), new_folder(spark, "tables")
+
+    @tables.table("dear", requires=("limit",))
+    def dear(spark, limit: float) -> DataFrame:
+        return spark.read.parquet(f"{sf_dir}/orders.parquet").where(F.col("o_totalprice") >= limit)
+
+    tables.run(spark, root, resources=environment(settings, "test"))
+    return tables.read(spark, root, "dear").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))

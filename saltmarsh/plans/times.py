@@ -99,3 +99,15 @@ def fill_null(orders: DataFrame) -> DataFrame:
         F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderdate")).alias("done"),
     )
     return holes.na.fill({"n": 0, "status": ""}).withColumn("done", F.coalesce("done", F.lit("2001-01-01").cast("timestamp_ntz")))
+
+
+@query("""WITH t AS (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN TIMESTAMP '2024-03-10 00:00:00' ELSE TIMESTAMP '2024-11-03 00:00:00' END + to_minutes(event_id % 300) AS local FROM events)
+SELECT event_id, local, local + CASE WHEN event_id % 2 = 0 THEN CASE WHEN local < TIMESTAMP '2024-03-10 03:00:00' THEN INTERVAL 8 HOUR ELSE INTERVAL 7 HOUR END
+  ELSE CASE WHEN local < TIMESTAMP '2024-11-03 02:00:00' THEN INTERVAL 7 HOUR ELSE INTERVAL 8 HOUR END END AS utc FROM t""")
+def localize_clock_changes(events: DataFrame) -> DataFrame:
+    """Local times around both clock changes: one that is skipped counts as if the clock had not changed yet, one that comes
+    twice is the first of the two.
+    """
+    start = F.when(F.col("event_id") % 2 == 0, F.lit("2024-03-10").cast("timestamp_ntz")).otherwise(F.lit("2024-11-03").cast("timestamp_ntz"))
+    local = F.timestamp_add("MINUTE", (F.col("event_id") % 300).cast("int"), start)
+    return events.select("event_id", local.alias("local"), times.localized(local, "America/Los_Angeles").cast("timestamp_ntz").alias("utc"))

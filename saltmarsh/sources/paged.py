@@ -1,8 +1,8 @@
 """A paged feed as a Spark data source: one input partition for each page, read in parallel.
 
 A landing folder holds page files ``page-<offset>.json`` (arrays of objects), as a crawler of the feed leaves them. The
-reader asks for the count first and plans a partition for each page; a page that is missing or unreadable fails the
-query instead of leaving rows out.
+reader asks for the count first and plans a partition for each page; a page that is missing or unreadable, or has another
+number of rows than its place says, fails the query instead of leaving rows out. The folder is on any store that Arrow reaches.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from collections.abc import Iterator
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, InputPartition
 from pyspark.sql.types import StructType
 
+from .stores import text_of
+
 
 class Page(InputPartition):
     def __init__(self, offset: int) -> None:
@@ -54,8 +56,13 @@ class _Reader(DataSourceReader):
         return [Page(k) for k in range(0, self.count, self.limit)]
 
     def read(self, partition: Page) -> Iterator[tuple]:
-        with open(f"{self.path}/page-{partition.offset}.json", encoding="utf-8") as f:
-            rows = json.load(f)
+        page = text_of(f"{self.path}/page-{partition.offset}.json")
+        if page is None:
+            raise FileNotFoundError(f"page-{partition.offset}.json is missing from {self.path}")
+        rows = json.loads(page)
+        expected = min(self.limit, self.count - partition.offset)
+        if len(rows) != expected:
+            raise ValueError(f"page-{partition.offset}.json has {len(rows)} rows, and not {expected}")
         for row in rows:
             if all(row.get(c) == v for c, v in self.equal):
                 yield tuple(self._value(row.get(n), self.types[n]) for n in self.names)

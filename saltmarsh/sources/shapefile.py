@@ -27,6 +27,7 @@ from pyspark.sql import SparkSession, types
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
 from ..operators.spatial import RINGS
+from .stores import opened
 
 # Fixed values of the public format: type codes (those above ten have Z or M), header sizes, and the mark of an empty date.
 SHAPES = {0: None, 1: "point", 3: "line", 5: "polygon", 8: "multipoint", 11: "point", 13: "line", 15: "polygon", 18: "multipoint", 21: "point", 23: "line", 25: "polygon", 28: "multipoint"}
@@ -93,18 +94,15 @@ class Shapefile(DataSource):
     def name(cls) -> str:
         return "shapefile"
 
-    def _opened(self) -> tuple[fs.FileSystem, str]:
-        return fs.FileSystem.from_uri(self.options["path"]) if "://" in self.options["path"] or self.options["path"].startswith("file:") else (fs.LocalFileSystem(), self.options["path"])
-
     def _paths(self) -> list[str]:
-        store, path = self._opened()
+        store, path = opened(self.options["path"])
         if path.endswith(".shp"):
             return [path]
         found = store.get_file_info(fs.FileSelector(path, recursive=True))
         return sorted(x.path for x in found if x.path.endswith(".shp") and not x.base_name.startswith(("_", ".")))
 
     def schema(self) -> str:
-        store, _ = self._opened()
+        store, _ = opened(self.options["path"])
         paths = self._paths()
         if not paths:
             raise ValueError(f"no shapefile in {self.options['path']}")
@@ -113,11 +111,11 @@ class Shapefile(DataSource):
         return ", ".join([*(f"`{x.name}` {x.spark}" for x in fields), *(f"{n} {k}" for n, k in PLACES)])
 
     def reader(self, schema: types.StructType) -> DataSourceReader:
-        store, _ = self._opened()
+        store, _ = opened(self.options["path"])
         return _Reader(store, self._paths(), schema, self.options)
 
     def writer(self, schema: types.StructType, overwrite: bool) -> DataSourceWriter:
-        store, path = self._opened()
+        store, path = opened(self.options["path"])
         return _Writer(store, path, schema, overwrite, self.options)
 
 

@@ -11,11 +11,11 @@ import json
 import uuid
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import new_folder
+from .stores import opened
 
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
@@ -122,7 +122,7 @@ def put_objects(df: DataFrame, folder: str, name: str, content: str) -> DataFram
         raise ValueError("the content of an object is bytes or text")
 
     def run(batches):
-        store, root = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+        store, root = opened(folder)
         for batch in batches:
             names, found = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             data = [(x.encode() if isinstance(x, str) else x) or b"" for x in found]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,12 +10,13 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 from pyspark.sql.types import StructType
 
 from ..session import new_folder
+from ..sources.stores import text_of
 
 
 class ChangeFeed(DataSource):
     """Emits (cursor) each time that the text of a marker file changes; the offset is the text itself.
 
-    Option ``path``: the marker, which a crawler updates with the feed's own "last updated" value. The checkpoint keeps
+    Option ``path``: the marker, on any store that Arrow reaches, which a crawler updates with the feed's own "last updated" value. The checkpoint keeps
     the offset, so a failed batch is run again with the same cursor, and an unchanged marker starts none.
     """
 
@@ -45,10 +45,7 @@ class _ChangeReader(DataSourceStreamReader):
         return {"cursor": ""}
 
     def latestOffset(self) -> dict:
-        if not os.path.exists(self.path):
-            return {"cursor": ""}
-        with open(self.path, encoding="utf-8") as f:
-            return {"cursor": f.read().strip()}
+        return {"cursor": (text_of(self.path) or "").strip()}
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
         return [_Change(end["cursor"])] if end["cursor"] and end["cursor"] != start["cursor"] else []

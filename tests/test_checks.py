@@ -65,3 +65,24 @@ def test_partition_keys():
     assert partition_key(datetime(2024, 2, 29, 23, 59)) == "2024-02-29"
     assert [partition_key(datetime(2024, 3, d), "week") for d in (2, 3, 9, 10)] == ["2024-02-25", "2024-03-03", "2024-03-03", "2024-03-10"]
     assert partition_key(datetime(2024, 3, 3), "week", week_start=0) == "2024-02-26" and partition_key(datetime(2024, 3, 31), "month") == "2024-03-01"
+
+
+def test_environments(spark, tmp_path):
+    from saltmarsh.plans.registry import environment
+
+    tables = Registry()
+
+    @tables.table("a", requires=("limit", "notifier"))
+    def a(spark, limit, notifier):
+        notifier.append(limit)
+        return spark.range(limit)
+
+    settings = {"default": {"limit": 3}, "test": {"notifier": []}, "production": {"limit": 5}}
+    with pytest.raises(ValueError, match=r"notifier \(for a\)"):
+        tables.run(spark, str(tmp_path), resources=environment(settings, "production"))
+    assert not list(tmp_path.iterdir())
+    given = environment(settings, "test")
+    tables.run(spark, str(tmp_path), resources=given)
+    assert tables.read(spark, str(tmp_path), "a").count() == 3 and given["notifier"] == [3]
+    with pytest.raises(ValueError, match="no environment x"):
+        environment(settings, "x")
