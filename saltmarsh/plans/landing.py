@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import relational
 from ..session import new_folder
-from ..sources import html_tables, readers, sinks
+from ..sources import html_tables, paged, readers, sinks
 from .catalogue import query
 
 
@@ -283,9 +283,7 @@ def publish_series(spark, customer: DataFrame) -> DataFrame:
 @query("SELECT 'n' || n_nationkey AS label, n_regionkey::VARCHAR AS year, 'w' || n_nationkey % 3 AS week, n_nationkey / 2.0::DOUBLE AS cases FROM nation WHERE n_regionkey = 2 AND n_nationkey / 2.0 > 1")
 def feed_pushdown(spark, nation: DataFrame) -> DataFrame:
     """A paged feed as a data source: the equality is tested by its readers, the comparison by Spark."""
-    from ..sources.paged import PagedFeed
-
-    spark.dataSource.register(PagedFeed)
+    paged.register(spark)
     path, limit = new_folder(spark, "feed"), 7
     key = F.col("n_nationkey")
     one = F.to_json(F.struct(F.concat(F.lit("n"), key).alias("label"), F.col("n_regionkey").cast("string").alias("year"), F.concat(F.lit("w"), key % 3).alias("week"), (key / 2.0).cast("double").alias("cases")))
