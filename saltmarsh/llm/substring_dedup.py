@@ -68,45 +68,57 @@ def two_hashes(words: tokens.Words, window: int) -> tuple[np.ndarray, np.ndarray
     return place, value, second
 
 
+def _packed(words: tokens.Words, window: int, buckets: int, serial: int) -> tuple[pa.RecordBatch, np.ndarray]:
+    """A row for each bucket that a batch has windows in, and the ranges of windows that are repeated within the batch."""
+    place, value, second = two_hashes(words, window)
+    # every first occurrence in the batch is sent; windows repeated within the batch are known at once
+    order = np.argsort(value, kind="stable")
+    if ((value[order][1:] == value[order][:-1]) & (second[order][1:] != second[order][:-1])).any():
+        order = np.lexsort((second, value))  # stable, too
+    ordered, other = value[order], second[order]
+    new = np.ones(len(ordered), bool)
+    new[1:] = (ordered[1:] != ordered[:-1]) | (other[1:] != other[:-1])
+    del ordered, other
+    group = np.cumsum(new, dtype=np.int32) - 1
+    twice = (np.bincount(group, minlength=1) > 1)[group] if len(group) else np.zeros(0, bool)
+    known = np.zeros(len(words.start), bool)
+    known[place[order[twice]]] = True
+    first = order[new]
+    del group, twice, order, new
+    bucket = (second[first] >> np.uint64(33)).astype(np.int64) % buckets
+    del second
+    # by bucket, then by place
+    by = np.lexsort((place[first], bucket))
+    first, bucket = first[by], bucket[by]
+    cuts = np.searchsorted(bucket, np.arange(buckets + 1))
+    full = np.flatnonzero(np.diff(cuts))
+    parts = [first[cuts[b] : cuts[b + 1]] for b in full]
+    rows = pa.RecordBatch.from_arrays(
+        [
+            pa.array(full.astype(np.int32)),
+            pa.array(np.full(len(full), serial, np.int64)),
+            pa.array([value[p].tobytes() for p in parts], pa.binary()),
+            pa.array([_steps(place[p]) for p in parts], pa.binary()),
+            pa.array([np.packbits(known[place[p]]).tobytes() for p in parts], pa.binary()),
+        ],
+        schema=_PIECES,
+    )
+    return rows, _ranges(known)
+
+
 def _hashed(window: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         serial = TaskContext.get().partitionId() << 32
         for batch in batches:
             ids, checks = tokens.column_of(batch, "doc_id"), tokens.column_of(batch, "check")
             for i, j, words in tokens.sliced(tokens.column_of(batch, "text"), tokens.WHITESPACE, most=BATCH_BYTES):
-                place, value, second = two_hashes(words, window)
-                # every first occurrence in the batch is sent; windows repeated within the batch are known at once
-                order = np.argsort(value, kind="stable")
-                if ((value[order][1:] == value[order][:-1]) & (second[order][1:] != second[order][:-1])).any():
-                    order = np.lexsort((second, value))  # stable, too
-                ordered, other = value[order], second[order]
-                new = np.ones(len(ordered), bool)
-                new[1:] = (ordered[1:] != ordered[:-1]) | (other[1:] != other[:-1])
-                group = np.cumsum(new) - 1
-                twice = (np.bincount(group, minlength=1) > 1)[group] if len(group) else np.zeros(0, bool)
-                known = np.zeros(len(words.start), bool)
-                known[place[order[twice]]] = True
-                first = order[new]
-                bucket = (second[first] >> np.uint64(33)).astype(np.int64) % buckets
-                # by bucket, then by place
-                by = np.lexsort((place[first], bucket))
-                first, bucket = first[by], bucket[by]
-                cuts = np.searchsorted(bucket, np.arange(buckets + 1))
-                full = np.flatnonzero(np.diff(cuts))
-                parts = [first[cuts[b] : cuts[b + 1]] for b in full]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(full.astype(np.int32)),
-                        pa.array(np.full(len(full), serial, np.int64)),
-                        pa.array([value[p].tobytes() for p in parts], pa.binary()),
-                        pa.array([_steps(place[p]) for p in parts], pa.binary()),
-                        pa.array([np.packbits(known[place[p]]).tobytes() for p in parts], pa.binary()),
-                    ],
-                    schema=_PIECES,
-                )
-                about = np.stack([ids[i:j].fill_null(0).to_numpy(), ids[i:j].is_null().to_numpy(zero_copy_only=False).astype(np.int64), checks[i:j].to_numpy(), words.counts.astype(np.int64)])
+                counts = words.counts.astype(np.int64)
+                rows, known = _packed(words, window, buckets, serial)
+                del words  # the next ones are made before this name is theirs
+                yield rows
+                about = np.stack([ids[i:j].fill_null(0).to_numpy(), ids[i:j].is_null().to_numpy(zero_copy_only=False).astype(np.int64), checks[i:j].to_numpy(), counts])
                 spread = pa.array([-1 - serial % buckets], pa.int32())  # any partition will do
-                yield pa.RecordBatch.from_arrays([spread, pa.array([serial], pa.int64()), pa.array([about.tobytes()], pa.binary()), pa.array([_ranges(known).tobytes()], pa.binary()), pa.array([None], pa.binary())], schema=_PIECES)
+                yield pa.RecordBatch.from_arrays([spread, pa.array([serial], pa.int64()), pa.array([about.tobytes()], pa.binary()), pa.array([known.tobytes()], pa.binary()), pa.array([None], pa.binary())], schema=_PIECES)
                 serial += 1
 
     return run
