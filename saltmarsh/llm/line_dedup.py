@@ -3,7 +3,7 @@
 1. Words are counted over all texts into a table of 2**20 hashed counters, kept as log counts, 8 MB in all; its size is
    fixed, and a counter that several words share only makes them look more frequent. A line's distinct words, as
    64-bit hashes, are ordered by that rarity and then by hash: one order for all lines, which is all that exactness needs.
-2. One pass over the texts gives each line its class (128 bits of its word set), its number of words, its rarest words
+2. One pass over the texts gives each line its class (128 bits of its word set in that order), its number of words, its rarest words
    and a 64-bit map of its set, in which each word flips one bit. Lines of one class are one row from here on, so a line that stands in a third of all rows
    costs what any other does. Sets too small to have any partner but themselves go no further.
 3. Prefix filter: two sets with Jaccard similarity t or more share a word among the first n - ceil(t * n) + 1 of the
@@ -34,21 +34,22 @@ COUNTERS = 1 << 20
 MOST_FLAGS = 1 << 26
 
 
-def _split(text: Column) -> Column:
-    """The lower-cased words, parted by ASCII white space, and maybe empty strings. Plain replacing is faster than a pattern."""
-    spaced = reduce(lambda t, c: F.replace(t, F.lit(c), F.lit(" ")), "\t\n\x0b\x0c\r", F.lower(text))
-    return F.split(spaced, " ")
+def _plain(text: Column) -> Column:
+    """Lower-cased text whose white space is spaces and line feeds. Plain replacing is faster than a pattern, and once for a text
+    is faster than once for a line.
+    """
+    return reduce(lambda t, c: F.replace(t, F.lit(c), F.lit(" ")), "\t\x0b\x0c\r", F.lower(text))
 
 
 def _set(line: Column) -> Column:
-    """Hashes of the distinct words, ascending."""
-    hashes = F.array_distinct(F.transform(_split(line), lambda w: F.xxhash64(w)))
-    return F.sort_array(F.array_remove(hashes, F.xxhash64(F.lit(""))))
+    """Hashes of the distinct words of a line of plain text."""
+    hashes = F.array_distinct(F.transform(F.split(line, " "), lambda w: F.xxhash64(w)))
+    return F.array_remove(hashes, F.xxhash64(F.lit("")))
 
 
 def _rarity(docs: DataFrame, text: str) -> DataFrame:
     """The table of log counts, 0 to 125, each in the high byte of a long."""
-    words = docs.select(F.explode(_split(F.col(text))).alias("w")).where("w != ''")
+    words = docs.select(F.explode(F.split(F.replace(text, F.lit("\n"), F.lit(" ")), " ")).alias("w")).where("w != ''")
     counts = words.groupBy(F.xxhash64("w").bitwiseAND(COUNTERS - 1).alias("place")).agg(F.count(F.lit(1)).alias("n"))
     code = F.least(F.lit(125), F.round(F.log2("n") * 4)).cast("long")
     return dense_table(counts.select("place", F.shiftleft(code, 56).alias("value")), COUNTERS, "rarity")
@@ -71,14 +72,19 @@ def _profiles(docs: DataFrame, text: str, percent: int) -> DataFrame:
     rarity = _rarity(docs, text)
     sets = _lines(docs, text).select("doc_id", "line_no", F.xxhash64("line").alias("h"), _set(F.col("line")).alias("s"))
     n = F.size("s")
+    large = n * (100 - percent) >= percent
     shift = lambda x, by: F.call_function("shiftleft", x, by)
     bits = F.aggregate("s", F.lit(0).cast("long"), lambda acc, k: acc.bitwiseXOR(shift(F.lit(1).cast("long"), k.bitwiseAND(63).cast("int"))))
-    sets = sets.select("*", F.xxhash64("s").alias("c1"), F.xxhash64(F.lit(1), "s").alias("c2"), n.alias("n"), F.when(n * (100 - percent) >= percent, bits).alias("bits"), (n - _ceil(n * percent, 100) + 1).alias("most"), (n * (100 - percent) >= percent).alias("large"), rarity.scalar().alias("table"))
+    # the keys below have 56 bits of a word's hash; this has all of them
+    every = F.aggregate("s", F.lit(0).cast("long"), lambda acc, k: acc.bitwiseXOR(k))
+    sets = sets.select("*", n.alias("n"), F.when(large, every).alias("every"), F.when(large, bits).alias("bits"), (n - _ceil(n * percent, 100) + 1).alias("most"), large.alias("large"), rarity.scalar().alias("table"))
     # each column of the step before has one use here, so the optimiser merges the two steps: the table is one value for
     # each executor, and no row holds it
     key = lambda h: F.get("table", h.bitwiseAND(COUNTERS - 1).cast("int")).bitwiseOR(h.bitwiseAND((1 << 56) - 1))
-    prefix = F.slice(F.sort_array(F.transform("s", key)), F.lit(1), F.col("most"))
-    out = sets.select("doc_id", "line_no", "h", "c1", "c2", "n", "bits", F.when(F.col("large"), prefix).alias("prefix"))
+    ordered = F.sort_array(F.transform("s", lambda h: F.when(F.col("large"), key(h)).otherwise(h)))
+    sets = sets.select("doc_id", "line_no", "h", "n", "every", "bits", "most", ordered.alias("s"))
+    prefix = F.when(F.col("bits").isNotNull(), F.slice("s", F.lit(1), F.col("most")))
+    out = sets.select("doc_id", "line_no", "h", F.xxhash64("every", "s").alias("c1"), F.xxhash64(F.lit(1), "every", "s").alias("c2"), "n", "bits", prefix.alias("prefix"))
     table = written(out, "lines")
     dropped(rarity)
     return table
@@ -114,7 +120,7 @@ def similar_lines(docs: DataFrame, text: str = "text", percent: int = 90) -> Dat
     matches it, removed itself or not. Null and empty texts are one empty line. A repeated row counts as one document,
     and so do all rows without an id, which come first. An empty table gives an empty result. Other columns are left alone.
     """
-    docs = docs.select("doc_id", text)
+    docs = docs.select("doc_id", _plain(F.col(text)).alias(text))
     lines = _profiles(docs, text, percent)
     found = lines.where("n > 0").groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "line_no", "h", "n", "bits", "prefix")).alias("f")).select("c1", "c2", "copies", "f.*")
     # ids ascend as the classes' first lines do
