@@ -66,9 +66,9 @@ def describe(df: DataFrame, column: str) -> DataFrame:
     """One row: count, mean, sample deviation, min, exact quartiles, max; null and NaN as Spark's aggregates treat them."""
     c = F.col(column)
     basic = [F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max")]
-    found = df.agg(*basic).first()
-    quartiles = exact_quantiles(df, column, [0.25, 0.5, 0.75])
-    kinds = df.select(column).agg(*basic).schema
+    whole = df.agg(*basic, *(x.alias(f"_{k}") for k, x in enumerate(_ends(c.cast("double")))))
+    found, kinds = whole.first(), whole.schema
+    quartiles = exact_quantiles(df, column, [0.25, 0.5, 0.75], tuple(found)[len(basic) :])
     shape = ", ".join(f"{n} {'double' if n[0] == 'p' else kinds[n].dataType.simpleString()}" for n in ("n", "mean", "std", "min", "p25", "p50", "p75", "max"))
     return df.sparkSession.createDataFrame([(found["n"], found["mean"], found["std"], found["min"], *quartiles, found["max"])], shape)
 
@@ -77,19 +77,26 @@ def describe(df: DataFrame, column: str) -> DataFrame:
 BINS, FEW = 4096, 10_000
 
 
-def exact_quantiles(df: DataFrame, column: str, shares: list[float]) -> list[float | None]:
+def _ends(v: Column) -> list[Column]:
+    """Aggregates: how many values there are, how many of them are minus infinity and how many finite, the least and the greatest
+    finite one, and how many are infinity.
+    """
+    finite = v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf"))
+    number = F.when(finite, v)
+    return [F.count(v), F.count_if(v == float("-inf")), F.count_if(finite), F.min(number), F.max(number), F.count_if(v == float("inf"))]
+
+
+def exact_quantiles(df: DataFrame, column: str, shares: list[float], ends: tuple | None = None) -> list[float | None]:
     """Quantiles with linear interpolation, exact, in bounded memory whatever the number of rows or of different values.
 
     Each round counts the rows in BINS bins of the stretch that holds a wanted rank, with map-side combining, and goes on with
     the one bin that has it, from its least to its greatest value, until the bin is one value or holds FEW different ones at
     most, which are counted one by one. All ranks are narrowed in the same scan; most columns take two or three scans. Nulls
-    are left out; NaN is greater than all numbers; without rows, all are null.
+    are left out; NaN is greater than all numbers; without rows, all are null. ``ends``: what ``_ends`` gives, if it is known.
     """
     v = F.col("v")
     rows = df.select(F.col(column).cast("double").alias("v")).where(v.isNotNull())
-    number = ~F.isnan(v) & (F.abs(v) != float("inf"))
-    ends = rows.agg(F.count(F.lit(1)), F.count_if(v == float("-inf")), F.count_if(number), F.min(F.when(number, v)), F.max(F.when(number, v)), F.count_if(v == float("inf"))).first()
-    n, below, finite, low, high, above = ends
+    n, below, finite, low, high, above = ends or rows.agg(*_ends(v)).first()
     if not n:
         return [None] * len(shares)
     spots = [(n - 1) * s for s in shares]
