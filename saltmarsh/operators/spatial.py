@@ -53,21 +53,85 @@ def intersects(rings: Column, x: Column, y: Column) -> Column:
     return (_crossings(rings, x, y) % 2 == 1) | on_edge(rings, x, y)
 
 
+#: Regions with more corners than ``WHOLE`` are cut into rows, each of a few times ``ROW_SIDES`` sides at most where sides lie evenly.
+WHOLE, ROW_SIDES, HALVINGS = 64, 16, 6
+_PIECES = f"array<struct<height:double,row:bigint,cy:bigint,right:double,rings:{RINGS}>>"
+_POINT = pa.struct([("x", pa.float64()), ("y", pa.float64())])
+
+
+def _listed(at: np.ndarray, inner: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), inner)
+
+
+def _rows_of(shape: pa.Array, cell: float) -> pa.Array:
+    """A region's sides by rows, each side as a ring of two corners: a fraction of ``cell`` that is a power of two is a row's
+    height, so that no row lies in two cells.
+    """
+    rings = shape.filter(shape.is_valid())
+    sizes = np.diff(rings.offsets.to_numpy())
+    x, y = (c.to_numpy(zero_copy_only=False) for c in rings.flatten().flatten())
+    first = np.ones(len(x), bool)
+    first[np.cumsum(sizes)[:-1][np.cumsum(sizes)[:-1] < len(x)]] = False  # no side runs from one ring to the next
+    at = np.flatnonzero(first[1:])
+    ends = np.stack([np.stack([x[at], y[at]], 1), np.stack([x[at + 1], y[at + 1]], 1)], 1)
+    ends = ends[np.isfinite(ends).all(axis=(1, 2))]
+    low, high = ends[:, :, 1].min(1), ends[:, :, 1].max(1)
+    span = np.floor(high / cell) - np.floor(low / cell) + 1
+    rows = np.floor(high.max() / cell) - np.floor(low.min() / cell) + 1 if len(ends) else 1
+    halvings = int(np.clip(np.ceil(np.log2(max(span.sum() / rows / ROW_SIDES, 1))), 0, HALVINGS))
+    height = cell / 2**halvings
+    start, count = np.floor(low / height).astype(np.int64), (np.floor(high / height) - np.floor(low / height)).astype(np.int64) + 1
+    side = np.repeat(np.arange(len(ends)), count)
+    row = np.arange(len(side)) - np.repeat(np.cumsum(count) - count, count) + start[side]
+    order = np.argsort(row, kind="stable")
+    side, row = side[order], row[order]
+    at = np.flatnonzero(np.diff(row, prepend=row[:1] - 1))
+    right = np.maximum.reduceat(ends[side, :, 0].max(1), at) if len(at) else np.empty(0)
+    corners = ends[side].reshape(-1, 2)
+    points = pa.StructArray.from_arrays([pa.array(corners[:, 0]), pa.array(corners[:, 1])], fields=list(_POINT))
+    pieces = _listed(np.append(at, len(side)), _listed(np.arange(0, len(corners) + 1, 2), points))
+    columns = [pa.array(np.full(len(at), height)), pa.array(row[at]), pa.array(row[at] >> halvings), pa.array(right), pieces]
+    return pa.StructArray.from_arrays(columns, names=["height", "row", "cy", "right", "rings"])
+
+
+def _rows(rings: Column, cell: float) -> Column:
+    """``_rows_of`` for each region; null stays null."""
+
+    @F.arrow_udf(_PIECES)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for shapes in batches:
+            if shapes.null_count == len(shapes):
+                yield pa.nulls(len(shapes), _listed(np.zeros(1), _rows_of(pa.array([], shapes.type.value_type), cell)).type)
+                continue
+            done = [_rows_of(s.values if s.is_valid else pa.array([], shapes.type.value_type), cell) for s in shapes]
+            at = np.cumsum([0, *map(len, done)])
+            yield pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.concat_arrays(done), mask=shapes.is_null())
+
+    return run(rings)
+
+
 def join_points(points: DataFrame, regions: DataFrame, x: str, y: str, cell: float, predicate=contains) -> DataFrame:
     """Each pair of a point and a region whose ``rings`` satisfy the predicate; points without coordinates match nothing.
 
     ``cell``: side of a grid cell; near the regions' usual width. A region is listed in each cell of its bounding box, a
-    point in one, so the join is an equi-join on cells and a pair is found once.
+    point in one, so the join is an equi-join on cells and a pair is found once. A region of many corners is listed by rows,
+    so that a point meets only the sides at its height, which are all that the predicates look at.
     """
     corner = F.flatten("rings")
     xs, ys = F.transform(corner, lambda p: p["x"]), F.transform(corner, lambda p: p["y"])
     box = {"_x0": F.array_min(xs), "_x1": F.array_max(xs), "_y0": F.array_min(ys), "_y1": F.array_max(ys)}
     index = lambda c: F.floor(c / cell)
-    listed = regions.withColumns(box).withColumn("_cx", F.explode(F.sequence(index(F.col("_x0")), index(F.col("_x1")))))
-    listed = listed.withColumn("_cy", F.explode(F.sequence(index(F.col("_y0")), index(F.col("_y1")))))
+    boxed = regions.withColumns(box).withColumn("_cut", _rows(F.when(F.size(corner) > WHOLE, F.col("rings")), float(cell)))
+    boxed = boxed.select("*", F.explode_outer("_cut").alias("_piece")).drop("_cut")
+    cut = F.col("_piece").isNotNull()
+    boxed = boxed.withColumns({"_x1": F.coalesce("_piece.right", "_x1"), "_part": F.coalesce("_piece.rings", "rings"), "_height": F.col("_piece.height"), "_row": F.col("_piece.row")})
+    listed = boxed.withColumn("_cx", F.explode(F.sequence(index(F.col("_x0")), index(F.col("_x1")))))
+    rows = F.when(cut, F.array("_piece.cy")).otherwise(F.sequence(index(F.col("_y0")), index(F.col("_y1"))))
+    listed = listed.withColumn("_cy", F.explode(rows)).drop("_piece")
     placed = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).withColumns({"_cx": index(F.col(x)), "_cy": index(F.col(y))})
     near = placed.join(listed, ["_cx", "_cy"]).where(F.col(x).between(F.col("_x0"), F.col("_x1")) & F.col(y).between(F.col("_y0"), F.col("_y1")))
-    return near.where(predicate(F.col("rings"), F.col(x), F.col(y))).drop("_cx", "_cy", *box)
+    near = near.where(F.col("_height").isNull() | (F.floor(F.col(y) / F.col("_height")) == F.col("_row")))
+    return near.where(predicate(F.col("_part"), F.col(x), F.col(y))).drop("_cx", "_cy", "_part", "_height", "_row", *box)
 
 
 def centroid(rings: Column) -> Column:
