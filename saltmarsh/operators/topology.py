@@ -12,7 +12,9 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -155,89 +157,126 @@ def _inside_beside(rings: Column, own: Column) -> Column:
     return F.struct(F.when(beyond_is_left, beyond).otherwise(before).alias("left"), F.when(beyond_is_left, before).otherwise(beyond).alias("right"))
 
 
-def _walked(edges: list[tuple[tuple[float, float], tuple[float, float]]]) -> list[list[tuple[float, float]]]:
+def _walked(start: list[int], end: list[int], corners: np.ndarray) -> list[list[int]]:
     """Closed rings of directed edges with the inside on their left: shells counter-clockwise, holes clockwise.
 
-    At a corner with several ways on, the walk takes the first one clockwise from where it came, so parts that meet in a
-    corner only are rings of their own; a ring that comes back to a corner is cut there.
+    Edges are pairs of numbers of ``corners`` in order. At a corner with several ways on, the walk takes the first one clockwise from
+    where it came, so parts that meet in a corner only are rings of their own; a ring that comes back to a corner is cut there.
     """
-    out: dict[tuple[float, float], list[tuple[float, float]]] = {}
-    for a, b in edges:
-        out.setdefault(a, []).append(b)
-    rings = []
-    for a, b in edges:
-        if b not in out[a]:
+    first = np.searchsorted(start, np.arange(len(corners) + 1)).tolist()
+    used, at, rings = bytearray(len(start)), [-1] * len(corners), []
+    for e, a in enumerate(start):
+        if used[e]:
             continue
-        out[a].remove(b)
-        path, at, before, here = [a], {a: 0}, a, b
+        used[e], at[a] = 1, 0
+        path, before, here = [a], a, end[e]
         while True:
-            if here in at:  # a loop is closed
-                k = at[here]
+            k = at[here]
+            if k >= 0:  # a loop is closed
                 rings.append([*path[k:], here])
                 for p in path[k + 1 :]:
-                    del at[p]
+                    at[p] = -1
                 del path[k + 1 :]
                 if k == 0:
                     break
             else:
                 at[here] = len(path)
                 path.append(here)
-            ways = out.get(here)
+            ways = [w for w in range(first[here], first[here + 1]) if not used[w]]
             if not ways:
-                raise ValueError(f"the boundary is open at {here}")
-            back = math.atan2(before[1] - here[1], before[0] - here[0])
-            following = min(ways, key=lambda w: (back - math.atan2(w[1] - here[1], w[0] - here[0])) % (2 * math.pi) or 2 * math.pi)
-            ways.remove(following)
-            before, here = here, following
+                raise ValueError(f"the boundary is open at {(corners[here].real, corners[here].imag)}")
+            following = ways[0]
+            if len(ways) > 1:
+                c = complex(corners[here])
+                angle = lambda p: math.atan2(corners[p].imag - c.imag, corners[p].real - c.real)
+                back = angle(before)
+                following = min(ways, key=lambda w: (back - angle(end[w])) % (2 * math.pi) or 2 * math.pi)
+            used[following] = 1
+            before, here = here, end[following]
+        at[a] = -1
     return [r for r in rings if len(r) > 3]
 
 
-def _area(ring: list[tuple[float, float]]) -> float:
-    x0, y0 = ring[0]  # about a corner, for precision
-    return sum((a[0] - x0) * (b[1] - y0) - (b[0] - x0) * (a[1] - y0) for a, b in zip(ring, ring[1:])) / 2
+def _holds(x: np.ndarray, y: np.ndarray, px: float, py: float) -> bool:
+    ax, ay, bx, by = x[:-1], y[:-1], x[1:], y[1:]
+    k = np.flatnonzero((ay > py) != (by > py))
+    return bool(np.count_nonzero(px < (bx[k] - ax[k]) * (py - ay[k]) / (by[k] - ay[k]) + ax[k]) % 2)
 
 
-def _holds(ring: list[tuple[float, float]], p: tuple[float, float]) -> bool:
-    x, y = p
-    odd = False
-    for (ax, ay), (bx, by) in zip(ring, ring[1:]):
-        if (ay > y) != (by > y) and x < (bx - ax) * (y - ay) / (by - ay) + ax:
-            odd = not odd
-    return odd
-
-
-def _arranged(rings: list[list[tuple[float, float]]]) -> list[list[tuple[float, float]]]:
+def _arranged(rings: list[list[int]], corners: np.ndarray) -> list[list[int]]:
     """Each shell, by its least corner, with its holes behind it."""
-    shells = sorted((r for r in rings if _area(r) > 0), key=min)
-    boxes = [(min(p[0] for p in s), min(p[1] for p in s), max(p[0] for p in s), max(p[1] for p in s)) for s in shells]
-    sizes = [_area(s) for s in shells]
+    if not rings:
+        return []
+    at = np.cumsum([0, *map(len, rings)])
+    p = corners[np.fromiter((c for r in rings for c in r), np.int64, at[-1])]
+    x, y = p.real, p.imag
+    dx, dy = x - np.repeat(x[at[:-1]], np.diff(at)), y - np.repeat(y[at[:-1]], np.diff(at))  # about a corner, for precision
+    # from a ring's last corner to the next ring's first there is no side
+    cross = np.append(dx[:-1] * dy[1:] - dx[1:] * dy[:-1], 0.0)
+    cross[at[1:] - 1] = 0.0
+    area = np.add.reduceat(cross, at[:-1]) / 2
+    least = np.fromiter(map(min, rings), np.int64, len(rings))
+    by_corner = np.argsort(least, kind="stable")
+    shells = by_corner[area[by_corner] > 0]
     holes: dict[int, list] = {}
-    for hole in sorted((r for r in rings if _area(r) < 0), key=min):
-        a, b = hole[0], hole[1]
-        length = math.hypot(b[0] - a[0], b[1] - a[1])
+    inner = by_corner[area[by_corner] < 0]
+    if len(inner) and len(shells):
+        x0, x1, y0, y1 = (f.reduceat(v, at[:-1])[shells] for v in (x, y) for f in (np.minimum, np.maximum))
+        # shells are listed in rows as high as they are on average
+        height = (y1 - y0).mean()
+        low = np.floor(y0 / height)
+        count = (np.floor(y1 / height) - low).astype(np.int64) + 1
+        shell = np.repeat(np.arange(len(shells)), count)
+        row = np.arange(len(shell)) - np.repeat(np.cumsum(count) - count, count) + low[shell]
+        order = np.argsort(row, kind="stable")
+        shell, row = shell[order], row[order]
+    for h in inner.tolist():
+        a, b = complex(p[at[h]]), complex(p[at[h] + 1])
+        length = abs(b - a)
         # a place just left of a side of the hole is inside its shell; a corner might be on one
-        middle = ((a[0] + b[0]) / 2 - (b[1] - a[1]) * 1e-9, (a[1] + b[1]) / 2 + (b[0] - a[0]) * 1e-9) if length else a
-        around = [k for k, (x0, y0, x1, y1) in enumerate(boxes) if x0 <= middle[0] <= x1 and y0 <= middle[1] <= y1 and sizes[k] > -_area(hole) and _holds(shells[k], middle)]
-        holes.setdefault(min(around, key=lambda k: sizes[k], default=-1), []).append(hole)
+        mx, my = ((a.real + b.real) / 2 - (b.imag - a.imag) * 1e-9, (a.imag + b.imag) / 2 + (b.real - a.real) * 1e-9) if length else (a.real, a.imag)
+        around = -1
+        if len(shells):
+            here = np.floor(my / height)
+            near = shell[np.searchsorted(row, here) : np.searchsorted(row, here, "right")]
+            near = near[(x0[near] <= mx) & (mx <= x1[near]) & (y0[near] <= my) & (my <= y1[near]) & (area[shells[near]] > -area[h])]
+            near = near[np.lexsort((near, area[shells[near]]))]
+            around = next((int(k) for k in near if _holds(x[at[shells[k]] : at[shells[k] + 1]], y[at[shells[k]] : at[shells[k] + 1]], mx, my)), -1)
+        holes.setdefault(around, []).append(rings[h])
     out = list(holes.get(-1, []))
-    for k, shell in enumerate(shells):
-        out += [shell, *holes.get(k, [])]
+    for k, r in enumerate(shells.tolist()):
+        out += [rings[r], *holes.get(k, [])]
     return out
 
 
+def _boundary(edges: pa.Array) -> pa.Array:
+    """The rings of one boundary, as an array of one value."""
+    ends = [pa.compute.struct_field(edges, [p, c]).to_numpy(zero_copy_only=False) for p in "ab" for c in "xy"]
+    n = len(edges)
+    both = np.empty(2 * n, np.complex128)
+    both.real, both.imag = np.concatenate([ends[0], ends[2]]), np.concatenate([ends[1], ends[3]])
+    # corners are numbered by x, then y
+    corners, number = np.unique(both, return_inverse=True)
+    start, end = number[:n], number[n:]
+    order = np.lexsort((end, start))
+    rings = _arranged(_walked(start[order].tolist(), end[order].tolist(), corners), corners)
+    at = np.cumsum([0, *map(len, rings)])
+    found = corners[np.fromiter((c for r in rings for c in r), np.int64, at[-1])]
+    points = pa.StructArray.from_arrays([pa.array(found.real), pa.array(found.imag)], fields=list(_POINT))
+    parts = pa.ListArray.from_arrays(pa.array(at, pa.int32()), points)
+    return pa.ListArray.from_arrays(pa.array([0, len(parts)], pa.int32()), parts)
+
+
 def rings_of(edges: Column) -> Column:
     """Rings of a boundary: array<struct<a, b>> of directed sides, the inside on their left. Shells run counter-clockwise,
-    each followed by its holes, which run clockwise. An open boundary is an error. Arrow batches.
+    each followed by its holes, which run clockwise. An open boundary is an error. Arrow batches, a boundary at a time.
     """
 
     @F.arrow_udf(RINGS)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in batches:
-            done = []
-            for listed in column.to_pylist():
-                given = sorted(((e["a"]["x"], e["a"]["y"]), (e["b"]["x"], e["b"]["y"])) for e in listed or [])
-                done.append([[{"x": x, "y": y} for x, y in ring] for ring in _arranged(_walked(given))])
-            yield pa.array(done, _RINGS)
+            none = pa.array([], column.type.value_type)
+            yield pa.concat_arrays([_boundary(v.values if v.is_valid else none) for v in column])
 
     return run(edges)
 
