@@ -136,12 +136,19 @@ def join_points(points: DataFrame, regions: DataFrame, x: str, y: str, cell: flo
 
 def centroid(rings: Column) -> Column:
     """struct(x, y): the area centroid of the outer ring; null for a ring without area."""
-    ring = rings[0]
-    cross = lambda a, b: a["x"] * b["y"] - b["x"] * a["y"]
-    total = lambda f: F.aggregate(_sides(ring, f), F.lit(0.0), lambda acc, v: acc + v)
-    area = total(cross)
-    cx, cy = total(lambda a, b: (a["x"] + b["x"]) * cross(a, b)), total(lambda a, b: (a["y"] + b["y"]) * cross(a, b))
-    return F.when(area != 0, F.struct((cx / (3 * area)).alias("x"), (cy / (3 * area)).alias("y")))
+    zero = F.lit(0.0)
+    point = F.lit(None).cast("struct<x:double,y:double>")
+    start = F.struct(point.alias("last"), zero.alias("area"), zero.alias("cx"), zero.alias("cy"))
+
+    def add(acc: Column, p: Column) -> Column:
+        a = acc["last"]
+        cross = a["x"] * p["y"] - p["x"] * a["y"]
+        plus = lambda name, v: F.when(a.isNull(), zero).otherwise(acc[name] + v).alias(name)
+        here = F.struct(p["x"].alias("x"), p["y"].alias("y")).alias("last")
+        return F.struct(here, plus("area", cross), plus("cx", (a["x"] + p["x"]) * cross), plus("cy", (a["y"] + p["y"]) * cross))
+
+    # one pass over the ring, with the sums as its result
+    return F.aggregate(rings[0], start, add, lambda s: F.when(s["area"] != 0, F.struct((s["cx"] / (3 * s["area"])).alias("x"), (s["cy"] / (3 * s["area"])).alias("y"))))
 
 
 def parse_wkt_point(text: Column) -> Column:
