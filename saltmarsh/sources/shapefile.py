@@ -8,8 +8,8 @@ store that Arrow reaches.
 Columns: the attributes, then ``shape`` (point, line, polygon or multipoint; null for an empty record), ``longitude`` and
 ``latitude`` (points), and ``rings`` (parts of lines and polygons, points of a multipoint as one part). Z and M are left out.
 
-``df.write.format("shapefile").mode("append" or "overwrite").save(folder)`` writes a shapefile for each partition. Files get their names only
-when the whole job has succeeded, so a lost task leaves nothing behind that a reader would see.
+``df.write.format("shapefile").mode("append" or "overwrite").save(folder)`` writes a shapefile for each partition, and more than one where it is
+large. Files get their names only when the whole job has succeeded, so a lost task leaves nothing behind that a reader would see.
 """
 
 from __future__ import annotations
@@ -35,6 +35,8 @@ CODES = {"point": 1, "line": 3, "polygon": 5, "multipoint": 8}
 HEADER, INDEX = 100, 8
 #: Bytes of shapes, and records, that one task reads at most.
 PART_BYTES, PART_ROWS = 32 << 20, 100_000
+#: Bytes of shapes and attributes, and records, that a writer holds before it writes a file; records that a reader holds.
+FILE_BYTES, FILE_ROWS, READ_ROWS = 16 << 20, 50_000, 5_000
 PLACES = (("shape", "string"), ("longitude", "double"), ("latitude", "double"), ("rings", RINGS))
 
 _POINT = pa.struct([("x", pa.float64()), ("y", pa.float64())])
@@ -135,13 +137,16 @@ class _Reader(DataSourceReader):
         return out
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
-        base, start, n = partition.path[:-4], partition.start, partition.end - partition.start
+        for start in range(partition.start, partition.end, READ_ROWS):
+            yield self._batch(partition.path[:-4], start, min(READ_ROWS, partition.end - start))
+
+    def _batch(self, base: str, start: int, n: int) -> pa.RecordBatch:
         with self.store.open_input_file(f"{base}.shx") as f:
             index = np.frombuffer(f.read_at(n * INDEX, HEADER + start * INDEX), ">i4").reshape(-1, 2).astype(np.int64) * 2
         with self.store.open_input_file(f"{base}.dbf") as f:
             _, header, size, fields = _fields(f)
             records = f.read_at(n * size, header + start * size)
-        with self.store.open_input_file(partition.path) as f:
+        with self.store.open_input_file(f"{base}.shp") as f:
             low, high = int(index[:, 0].min()), int((index[:, 0] + index[:, 1]).max()) + 8
             shapes = f.read_at(high - low, low)
         columns = {}
@@ -159,7 +164,7 @@ class _Reader(DataSourceReader):
                 i = [name for name, _ in PLACES].index(field.name)
                 kind = pa.list_(pa.list_(_POINT)) if i == 3 else pa.float64() if i else pa.string()
                 arrays.append(pa.array([places[k][i] for k in kept], kind))
-        yield pa.RecordBatch.from_arrays(arrays, names=self.schema.fieldNames())
+        return pa.RecordBatch.from_arrays(arrays, names=self.schema.fieldNames())
 
 
 def _shape(content: bytes) -> tuple:
@@ -179,13 +184,41 @@ def _shape(content: bytes) -> tuple:
     return kind, None, None, [[{"x": x, "y": y} for x, y in xy[a:b]] for a, b in zip(starts, [*starts[1:], points])]
 
 
+class _Group:
+    """Records of one type in the form in which they are written, and their box."""
+
+    def __init__(self) -> None:
+        self.contents: list[bytes] = []
+        self.texts: list[list[bytes]] = []
+        self.box: list[float] = []
+        self.bytes = 0
+
+    def add(self, content: bytes, corners: list, texts: list[bytes]) -> None:
+        self.contents.append(content)
+        self.texts.append(texts)
+        self.bytes += len(content) + sum(map(len, texts))
+        self._widen(corners)
+
+    def _widen(self, corners: list) -> None:
+        for x, y in corners:
+            self.box = [min(self.box[0], x), min(self.box[1], y), max(self.box[2], x), max(self.box[3], y)] if self.box else [x, y, x, y]
+
+    def take(self, other: _Group) -> None:
+        self.contents += other.contents
+        self.texts += other.texts
+        self.bytes += other.bytes
+        self._widen([other.box[:2], other.box[2:]] if other.box else [])
+
+
 @dataclass
 class _Written(WriterCommitMessage):
     path: str | None
 
 
 class _Writer(DataSourceWriter):
-    """A shapefile holds one type of shape, so a partition writes a file for each type that it has."""
+    """A shapefile holds one type of shape, so a partition writes a file for each type that it has, and for each ``FILE_BYTES``
+    or ``FILE_ROWS`` of it.
+    """
 
     def __init__(self, store: fs.FileSystem, path: str, schema: types.StructType, overwrite: bool, options: dict) -> None:
         self.store, self.path, self.overwrite = store, path.rstrip("/"), overwrite
@@ -199,33 +232,40 @@ class _Writer(DataSourceWriter):
         self.attempt = uuid.uuid4().hex[:8]
 
     def write(self, iterator: Iterator) -> WriterCommitMessage:
-        groups: dict[str, list] = {}
+        folder = f"{self.path}/_{self.attempt}/{uuid.uuid4().hex}"
+        groups: dict[str, _Group] = {}
+        files: dict[str, int] = {}
+
+        def flush(kind: str) -> None:
+            if not files:
+                self.store.create_dir(folder, recursive=True)
+            n = files[kind] = files.get(kind, -1) + 1
+            self._file(f"{folder}/{kind}" + (f"-{n}" if n else ""), CODES[kind], groups.pop(kind))
+
         for row in iterator:
             values = dict(zip(self.names, row))
             kind = values.get("shape") or ("point" if values.get("longitude") is not None else "polygon" if values.get("rings") is not None else None)
-            groups.setdefault(kind or "", []).append((kind, values))
-        if not groups:
-            return _Written(None)
-        folder = f"{self.path}/_{self.attempt}/{uuid.uuid4().hex}"
-        self.store.create_dir(folder, recursive=True)
-        empty = groups.pop("", [])  # an empty record may stand in a file of any type
-        if empty and not groups:
-            groups["point"] = []
-        for i, (kind, rows) in enumerate(groups.items()):
-            self._file(f"{folder}/{kind}", CODES[kind], rows + (empty if i == 0 else []))
-        return _Written(folder)
-
-    def _file(self, base: str, code: int, rows: list) -> None:
-        offset, index, box = HEADER, [], []
+            group = groups.setdefault(kind or "", _Group())
+            group.add(*_content(CODES.get(kind, 0), values), [self._text(values[c], k) for c, k in self.kinds.items()])
+            if len(group.contents) >= FILE_ROWS or group.bytes >= FILE_BYTES:
+                if not kind:
+                    groups.setdefault("point", _Group()).take(groups.pop(""))
+                flush(kind or "point")
+        if "" in groups:  # an empty record may stand in a file of any type
+            empty = groups.pop("")
+            groups.setdefault(next(iter(groups), "point"), _Group()).take(empty)
+        for kind in list(groups):
+            flush(kind)
+        return _Written(folder if files else None)
+
+    def _file(self, base: str, code: int, group: _Group) -> None:
+        offset, index, box = HEADER, [], group.box
         with self.store.open_output_stream(f"{base}.body") as f:
-            for number, (kind, values) in enumerate(rows, 1):
-                content, own = _content(CODES.get(kind, 0), values)
+            for number, content in enumerate(group.contents, 1):
                 f.write(struct.pack(">ii", number, len(content) // 2) + content)
                 index.append((offset // 2, len(content) // 2))
                 offset += 8 + len(content)
-                box += own
-        xs, ys = [p[0] for p in box] or [0.0], [p[1] for p in box] or [0.0]
-        head = lambda size: struct.pack(">7i", 9994, 0, 0, 0, 0, 0, size // 2) + struct.pack("<2i8d", 1000, code, min(xs), min(ys), max(xs), max(ys), 0, 0, 0, 0)
+        head = lambda size: struct.pack(">7i", 9994, 0, 0, 0, 0, 0, size // 2) + struct.pack("<2i8d", 1000, code, *(box or [0.0] * 4), 0, 0, 0, 0)
         with self.store.open_output_stream(f"{base}.shp") as f, self.store.open_input_stream(f"{base}.body") as body:
             f.write(head(offset))
             while chunk := body.read(1 << 20):
@@ -234,10 +274,10 @@ class _Writer(DataSourceWriter):
         with self.store.open_output_stream(f"{base}.shx") as f:
             f.write(head(HEADER + INDEX * len(index)))
             f.write(np.array(index, ">i4").tobytes())
-        self._attributes(f"{base}.dbf", [v for _, v in rows])
+        self._attributes(f"{base}.dbf", group.texts)
 
-    def _attributes(self, path: str, rows: list[dict]) -> None:
-        texts = {c: [self._text(v[c], k) for v in rows] for c, k in self.kinds.items()}
+    def _attributes(self, path: str, rows: list[list[bytes]]) -> None:
+        texts = {c: [r[i] for r in rows] for i, c in enumerate(self.kinds)}
         fixed = {"bigint": ("N", 18), "int": ("N", 11), "double": ("F", 24), "boolean": ("L", 1), "date": ("D", 8)}
         shape = {c: fixed.get(k) or ("C", max([1, *map(len, texts[c])])) for c, k in self.kinds.items()}
         if any(size > 254 for _, size in shape.values()) or any(len(x) > shape[c][1] for c, t in texts.items() for x in t):

@@ -106,3 +106,38 @@ def test_what_does_not_fit_is_an_error(registered, tmp_path):
     assert not [n for _, _, names in os.walk(tmp_path) for n in names]
     with pytest.raises(Exception, match="no shapefile"):
         registered.read.format("shapefile").load(str(tmp_path)).count()
+
+
+def test_a_writer_holds_no_more_than_a_file(tmp_path, monkeypatch):
+    import weakref
+
+    from pyarrow import fs
+    from pyspark.sql import types
+
+    monkeypatch.setattr(shapefile, "FILE_ROWS", 100)
+    alive, most = weakref.WeakSet(), [0]
+
+    class Ring(list):
+        pass
+
+    def rows():
+        for k in range(1050):
+            ring = Ring([{"x": float(k), "y": 0.0}, {"x": k + 1.0, "y": 1.0}, {"x": float(k), "y": 1.0}, {"x": float(k), "y": 0.0}])
+            ring.__class__.__hash__ = lambda self: id(self)
+            alive.add(ring)
+            most[0] = max(most[0], len(alive))
+            yield (k, "polygon" if k % 3 else None, [ring] if k % 3 else None)
+            del ring
+
+    schema = types.StructType.fromDDL("id bigint, shape string, rings " + shapefile.RINGS)
+    store = fs.LocalFileSystem()
+    writer = shapefile._Writer(store, str(tmp_path), schema, False, {})
+    writer.commit([writer.write(rows())])
+    assert most[0] <= 3
+    paths = sorted(str(p) for p in tmp_path.rglob("*.shp"))
+    assert len(paths) == 11  # seven of polygons, four of empty records
+    read = types.StructType.fromDDL("id bigint, shape string, longitude double, latitude double, rings " + shapefile.RINGS)
+    reader = shapefile._Reader(store, paths, read, {})
+    found = {r["id"]: r for p in reader.partitions() for b in reader.read(p) for r in b.to_pylist()}
+    assert sorted(found) == list(range(1050))
+    assert all((r["shape"] == "polygon") == (k % 3 > 0) and (r["rings"] or [[{"x": k}]])[0][0]["x"] == k for k, r in found.items())
