@@ -108,7 +108,7 @@ def test_what_does_not_fit_is_an_error(registered, tmp_path):
         registered.read.format("shapefile").load(str(tmp_path)).count()
 
 
-def test_a_writer_holds_no_more_than_a_file(tmp_path, monkeypatch):
+def test_a_writer_holds_no_more_than_a_file(spark, tmp_path, monkeypatch):
     import weakref
 
     from pyarrow import fs
