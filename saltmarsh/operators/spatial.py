@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -158,22 +159,30 @@ def parse_wkt_point(text: Column) -> Column:
     return F.when(x.isNotNull() & y.isNotNull(), F.struct(x.alias("x"), y.alias("y")))
 
 
-def _kept_corners(ring: list, tolerance: float) -> list:
-    """Corners that farthest-point splitting (Douglas and Peucker) keeps; a ring is split at its first and last corner."""
-    keep, parts = {0, len(ring) - 1}, [(0, len(ring) - 1)]
+def _kept_corners(xs: list[float], ys: list[float], first: int, last: int, tolerance: float) -> list[int]:
+    """Places of the corners from ``first`` to ``last`` that farthest-point splitting (Douglas and Peucker) keeps, both ends among them."""
+    keep, parts = [first, last] if last > first else [first], [(first, last)]
     while parts:
         a, b = parts.pop()
         if b - a < 2:
             continue
-        x, y = np.array([p["x"] for p in ring[a : b + 1]]), np.array([p["y"] for p in ring[a : b + 1]])
-        dx, dy = x[-1] - x[0], y[-1] - y[0]
-        length = np.hypot(dx, dy)
-        away = np.abs(dx * (y - y[0]) - dy * (x - x[0])) / length if length else np.hypot(x - x[0], y - y[0])
-        far = int(away[1:-1].argmax()) + 1
-        if away[far] > tolerance:
-            keep.add(a + far)
-            parts += [(a, a + far), (a + far, b)]
-    return [ring[k] for k in sorted(keep)]
+        x0, y0 = xs[a], ys[a]
+        dx, dy = xs[b] - x0, ys[b] - y0
+        length = float(np.hypot(dx, dy))
+        if length and b - a < 40:  # arrays cost more than they save
+            away = [abs(dx * (ys[k] - y0) - dy * (xs[k] - x0)) / length for k in range(a + 1, b)]
+            most = max(away)
+            far = a + 1 + away.index(most)
+        else:
+            x, y = np.array(xs[a + 1 : b]) - x0, np.array(ys[a + 1 : b]) - y0
+            away = np.abs(dx * y - dy * x) / length if length else np.hypot(x, y)
+            far = a + 1 + int(away.argmax())
+            most = away[far - a - 1]
+        if most > tolerance:
+            keep.append(far)
+            parts += [(a, far), (far, b)]
+    keep.sort()
+    return keep
 
 
 def simplified(rings: Column, tolerance: float) -> Column:
@@ -182,8 +191,18 @@ def simplified(rings: Column, tolerance: float) -> Column:
     @F.arrow_udf(RINGS)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for shapes in batches:
-            done = [None if shape is None else [_kept_corners(ring, tolerance) if ring else [] for ring in shape] for shape in shapes.to_pylist()]
-            yield pa.array(done, shapes.type)
+            rows = shapes.flatten()
+            points = rows.flatten()
+            x, y = (c.to_numpy(zero_copy_only=False).tolist() for c in points.flatten())
+            at, kept, sizes = 0, [], [0]
+            for n in pa.compute.list_value_length(rows).to_pylist():  # a null ring has no corners
+                if n:
+                    kept += _kept_corners(x, y, at, at + n - 1, tolerance)
+                    at += n
+                sizes.append(len(kept))
+            inner = _listed(np.array(sizes), points.take(pa.array(kept, pa.int64())))
+            counts = pa.compute.fill_null(pa.compute.list_value_length(shapes), 0).to_numpy()
+            yield pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), inner, mask=shapes.is_null()).cast(shapes.type)
 
     return run(rings)
 

@@ -349,28 +349,33 @@ def arcs_of(ring: Column) -> Column:
     return run(ring)
 
 
-def _kept_places(points: list[dict], tolerance: float) -> list[int]:
-    """Places of an arc's corners that are kept; a closed arc keeps three different ones at least."""
-    at = {id(p): k for k, p in enumerate(points)}
-    if tolerance <= 0 or len(points) < 3:
-        return list(range(len(points)))
-    if points[0] != points[-1]:
-        return [at[id(p)] for p in _kept_corners(points, tolerance)]
-    far = max(range(len(points)), key=lambda k: math.dist(points[0].values(), points[k].values()))
-    kept = [at[id(p)] for part in (points[: far + 1], points[far:]) for p in _kept_corners(part, tolerance)]
-    kept = sorted(set(kept))
+def _kept_places(x: list[float], y: list[float], first: int, n: int, tolerance: float) -> list[int]:
+    """Places of an arc's n corners, from ``first`` on in x and y, that are kept; a closed arc keeps three different ones at least."""
+    last = first + n - 1
+    if tolerance <= 0 or n < 3:
+        return list(range(n))
+    if (x[first], y[first]) != (x[last], y[last]):
+        return [k - first for k in _kept_corners(x, y, first, last, tolerance)]
+    far = max(range(first, last + 1), key=lambda k: math.dist((x[first], y[first]), (x[k], y[k])))
+    kept = sorted({*_kept_corners(x, y, first, far, tolerance), *_kept_corners(x, y, far, last, tolerance)})
     if len(kept) < 4:
-        (x0, y0), (x1, y1) = points[0].values(), points[far].values()
-        third = max(range(len(points)), key=lambda k: abs((x1 - x0) * (points[k]["y"] - y0) - (y1 - y0) * (points[k]["x"] - x0)))
+        x0, y0, x1, y1 = x[first], y[first], x[far], y[far]
+        third = max(range(first, last + 1), key=lambda k: abs((x1 - x0) * (y[k] - y0) - (y1 - y0) * (x[k] - x0)))
         kept = sorted({*kept, third})
-    return kept
+    return [k - first for k in kept]
 
 
 def _places(points: Column, tolerance: Column) -> Column:
     @F.arrow_udf("array<int>")
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for arcs, limits in batches:
-            yield pa.array([_kept_places(arc, t) for arc, t in zip(arcs.to_pylist(), limits.to_pylist())], pa.list_(pa.int32()))
+            x, y = (c.to_numpy(zero_copy_only=False).tolist() for c in arcs.flatten().flatten())
+            at, kept, ends = 0, [], [0]
+            for n, t in zip(pa.compute.list_value_length(arcs).to_pylist(), limits.to_pylist()):
+                kept += _kept_places(x, y, at, n, t)
+                at += n
+                ends.append(len(kept))
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(kept, pa.int32()))
 
     return run(points, tolerance)
 

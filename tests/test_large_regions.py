@@ -5,6 +5,7 @@ import tracemalloc
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from saltmarsh.operators import spatial, topology
 
@@ -61,3 +62,30 @@ def test_boundary_of_many_sides_takes_little_memory():
     assert peak < 600 * len(edges)
     assert len(rings[0]) == n + 2 and {len(r) for r in rings[0].as_py()} == {5}
     assert rings[0][1].as_py()[0] == {"x": -7.0, "y": -7.0}
+
+
+def test_short_and_long_rings_are_simplified_alike(spark):
+    rng = np.random.default_rng(3)
+    rings = [[[{"x": float(x), "y": float(y)} for x, y in np.concatenate([p, p[:1]])]] for p in (rng.uniform(0, 9, (n, 2)) for n in (3, 7, 38, 39, 90))] + [None, [], [[], [{"x": 1.0, "y": 2.0}]]]
+
+    def kept(ring, tolerance):
+        keep, parts = {0, len(ring) - 1}, [(0, len(ring) - 1)]
+        while parts:
+            a, b = parts.pop()
+            if b - a < 2:
+                continue
+            x, y = np.array([p["x"] for p in ring[a : b + 1]]), np.array([p["y"] for p in ring[a : b + 1]])
+            length = np.hypot(x[-1] - x[0], y[-1] - y[0])
+            away = np.abs((x[-1] - x[0]) * (y - y[0]) - (y[-1] - y[0]) * (x - x[0])) / length if length else np.hypot(x - x[0], y - y[0])
+            far = int(away[1:-1].argmax()) + 1
+            if away[far] > tolerance:
+                keep.add(a + far)
+                parts += [(a, a + far), (a + far, b)]
+        return [ring[k] for k in sorted(keep)]
+
+    df = spark.createDataFrame(list(enumerate(rings)), f"k int, rings {spatial.RINGS}").coalesce(1)
+    found = {r["k"]: r["s"] for r in df.select("k", spatial.simplified(F.col("rings"), 1.0).alias("s")).collect()}
+    for k, given in enumerate(rings):
+        want = None if given is None else [kept(r, 1.0) if r else [] for r in given]
+        assert (found[k] and [[p.asDict() for p in r] for r in found[k]]) == (want or found[k])
+    assert spatial._kept_corners([0.0, 1.0, 2.0], [0.0, 0.5, 0.0], 0, 2, 0.6) == [0, 2]
