@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .tags import fed
+
 
 class _Tables(HTMLParser):
     """Cell texts of all tables in page order; a nested table is a table of its own."""
@@ -43,20 +45,24 @@ def table_rows(pages: DataFrame, html: str, position: int | None = None) -> Data
     Line 0 is the header row. White space in cells is collapsed. Null pages and pages without tables have no rows.
     """
 
-    @F.pandas_udf("array<struct<table:int,line:int,cells:array<string>>>")
-    def parse(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<struct<table:int,line:int,cells:array<string>>>")
+    def parse(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield texts.map(_rows)
-
-    def _rows(text: str | None) -> list[dict]:
-        parser = _Tables()
-        parser.feed(text or "")
-        return [
-            {"table": k, "line": n, "cells": [" ".join(c.split()) for c in cells]}
-            for k, rows in enumerate(parser.tables)
-            if position is None or k == position
-            for n, cells in enumerate(r for r in rows if r)
-        ]
+            ends, tables, lines, cell_ends, cells = [0], [], [], [0], []
+            for text in texts:
+                parser = _Tables()
+                fed(parser, text.as_py() or "", close=False)
+                for k, rows in enumerate(parser.tables):
+                    if position is None or k == position:
+                        for n, row in enumerate(r for r in rows if r):
+                            tables.append(k)
+                            lines.append(n)
+                            cells += [" ".join(c.split()) for c in row]
+                            cell_ends.append(len(cells))
+                ends.append(len(tables))
+            listed = pa.ListArray.from_arrays(pa.array(cell_ends, pa.int32()), pa.array(cells, pa.string()))
+            rows = pa.StructArray.from_arrays([pa.array(tables, pa.int32()), pa.array(lines, pa.int32()), listed], names=["table", "line", "cells"])
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)
 
     others = [c for c in pages.columns if c != html]
     return pages.select(*others, F.inline(parse(F.col(html))))
