@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -47,18 +49,22 @@ def sides(regions: DataFrame, *keep: str) -> DataFrame:
     return out.select(*keep, "ring", "side", point("a"), point("b")).where("a <> b")
 
 
-def _cells(df: DataFrame, cell: Column | float, spare: float = 0.0) -> DataFrame:
+#: Maps often lie on a grid of their own; the cells' borders are moved off its lines, in parts of a cell.
+SHIFT = 0.37
+
+
+def _cells(df: DataFrame, cell: float, spare: float = 0.0) -> DataFrame:
     """A row for each grid cell (_cx, _cy) that a side passes, or comes near by ``spare``."""
-    cell = cell if isinstance(cell, Column) else F.lit(float(cell))
-    low, high = F.least("a.x", "b.x") - spare, F.greatest("a.x", "b.x") + spare
+    margin = cell * 0.01 + spare
+    index = lambda c: F.floor(c / cell + SHIFT)
+    low, high = F.least("a.x", "b.x"), F.greatest("a.x", "b.x")
     dx, dy = F.col("b.x") - F.col("a.x"), F.col("b.y") - F.col("a.y")
-    out = df.withColumn("_w", cell).withColumn("_cx", F.explode(F.sequence(F.floor(low / F.col("_w")), F.floor(high / F.col("_w")))))
+    out = df.withColumn("_cx", F.explode(F.sequence(index(low - margin), index(high + margin))))
     # the side's part between the column's borders, and a hundredth of a cell more against rounding
-    margin = F.col("_w") * 0.01 + spare
     at = lambda x: F.when(dx != 0, F.col("a.y") + dy * F.greatest(F.lit(0.0), F.least(F.lit(1.0), (x - F.col("a.x")) / F.nullif(dx, F.lit(0.0)))))
-    y1, y2 = at(F.col("_cx") * F.col("_w") - margin), at((F.col("_cx") + 1) * F.col("_w") + margin)
+    y1, y2 = at((F.col("_cx") - SHIFT) * cell - margin), at((F.col("_cx") + (1 - SHIFT)) * cell + margin)
     lower, upper = F.coalesce(F.least(y1, y2), F.least("a.y", "b.y")) - margin, F.coalesce(F.greatest(y1, y2), F.greatest("a.y", "b.y")) + margin
-    return out.withColumn("_cy", F.explode(F.sequence(F.floor(lower / F.col("_w")), F.floor(upper / F.col("_w"))))).drop("_w")
+    return out.withColumn("_cy", F.explode(F.sequence(index(lower), index(upper))))
 
 
 def _cell_size(all_sides: DataFrame) -> float:
@@ -67,33 +73,49 @@ def _cell_size(all_sides: DataFrame) -> float:
     return 2 * found if found else 1.0
 
 
-def _meeting(listed: DataFrame, on: list[str], tolerance: float, *keep: str) -> DataFrame:
-    """Pairs of different sides that share a grid cell, the lesser one as a-b and the other as c-d, each pair once for each
-    cell, with ``keep`` (that of c-d under names ending in 2) and what they have in common:
+def _meeting(different: DataFrame, cell: float, on: list[str], tolerance: float, *keep: str, asked: str | None = None) -> DataFrame:
+    """Pairs of different sides, each with a <= b, that meet elsewhere than in an end of both: the lesser one as a-b and the
+    other as c-d, once for each grid cell that both are in. They have ``keep`` (that of c-d under names ending in 2) and
+
+    c_on, d_on, a_on, b_on: whether that corner lies on the other side, and not in its ends; x, y: where they cross, else null.
 
-    c_on, d_on, a_on, b_on: whether that corner lies on the other side or its ends; x, y: where they cross, else null.
+    With ``asked``, a boolean column of ``keep``, pairs of which neither has it are left out.
     """
-    flat = [F.col(f"{p}.{c}").alias(f"{p}{c}") for p in "ab" for c in "xy"]
+    # coordinates are known not to be null, which keeps the code that Spark makes short enough to be compiled
+    flat = [F.coalesce(f"{p}.{c}", F.lit(0.0)).alias(f"{p}{c}") for p in "ab" for c in "xy"]
+    spare = tolerance + cell * 1e-6
+    listed = _cells(different.where(" AND ".join(f"{p}.{c} IS NOT NULL" for p in "ab" for c in "xy")), cell, tolerance)
     one = listed.select(*on, "_cx", "_cy", *keep, *flat)
-    names = {"ax": "cx", "ay": "cy", "bx": "dx", "by": "dy"} | {k: f"{k}2" for k in keep}
+    one = one.select("*", F.least("ay", "by").alias("low"), (F.greatest("ay", "by") + spare).alias("high"), (F.col("bx") + spare).alias("right"))
+    names = {"ax": "cx", "ay": "cy", "bx": "dx", "by": "dy"} | {k: f"{k}2" for k in ("low", "high", "right", *keep)}
     both = one.join(one.withColumnsRenamed(names), [*on, "_cx", "_cy"])
-    order = [F.col(x) for x in ("ax", "ay", "bx", "by")], [F.col(x) for x in ("cx", "cy", "dx", "dy")]
-    both = both.where(F.struct(*(c.alias(f"v{i}") for i, c in enumerate(order[0]))) < F.struct(*(c.alias(f"v{i}") for i, c in enumerate(order[1]))))
-
-    def on_side(p: str, a: str, b: str) -> Column:
-        x, y = F.col(f"{b}x") - F.col(f"{a}x"), F.col(f"{b}y") - F.col(f"{a}y")
-        px, py = F.col(f"{p}x") - F.col(f"{a}x"), F.col(f"{p}y") - F.col(f"{a}y")
-        cross, along, size = px * y - py * x, px * x + py * y, x * x + y * y
-        return (cross * cross <= F.lit(tolerance * tolerance) * size) & (along >= 0) & (along <= size)
-
-    found = both.select("*", on_side("c", "a", "b").alias("c_on"), on_side("d", "a", "b").alias("d_on"), on_side("a", "c", "d").alias("a_on"), on_side("b", "c", "d").alias("b_on"))
-    sx, sy, tx, ty = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay"), F.col("dx") - F.col("cx"), F.col("dy") - F.col("cy")
-    ox, oy = F.col("cx") - F.col("ax"), F.col("cy") - F.col("ay")
-    found = found.select("*", F.nullif(sx * ty - sy * tx, F.lit(0.0)).alias("_turn"), (ox * ty - oy * tx).alias("_u"), (ox * sy - oy * sx).alias("_v"))
-    found = found.select("*", (F.col("_u") / F.col("_turn")).alias("u"), (F.col("_v") / F.col("_turn")).alias("v"))
+    lesser = F.lit(False)
+    for p, q in (("by", "dy"), ("bx", "dx"), ("ay", "cy"), ("ax", "cx")):
+        lesser = (F.col(p) < F.col(q)) | ((F.col(p) == F.col(q)) & lesser)
+    # boxes apart are told first: these are most pairs, and they never are rows
+    both = both.where((F.col("cx") <= F.col("right")) & (F.col("low2") <= F.col("high")) & (F.col("low") <= F.col("high2")) & lesser)
+    if asked:
+        both = both.where(F.col(asked) | F.col(f"{asked}2"))
+    minus = lambda name, p, q: [(F.col(f"{p}{c}") - F.col(f"{q}{c}")).alias(f"_{name}{c}") for c in "xy"]
+    steps = [*minus("s", "b", "a"), *minus("t", "d", "c"), *minus("o", "c", "a"), *minus("e", "d", "a"), *minus("f", "b", "c")]
+    columns = [*on, *keep, *(f"{k}2" for k in keep), *(p + c for p in "abcd" for c in "xy")]
+    cross = lambda p, q: F.col(f"_{p}x") * F.col(f"_{q}y") - F.col(f"_{p}y") * F.col(f"_{q}x")
+    along = lambda p, q: F.col(f"_{p}x") * F.col(f"_{q}x") + F.col(f"_{p}y") * F.col(f"_{q}y")
+    told = {"c": cross("o", "s"), "d": cross("e", "s"), "a": cross("o", "t"), "b": cross("f", "t"), "turn": cross("s", "t")}
+    told |= {"c_along": along("o", "s"), "d_along": along("e", "s"), "a_along": -along("o", "t"), "b_along": along("f", "t"), "ab": along("s", "s"), "cd": along("t", "t")}
+    # as a generator's columns these are computed once a pair, and not again in each condition on them
+    found = both.select(*columns, *steps).select(*columns, "_sx", "_sy", F.inline(F.array(F.struct(*(v.alias(f"_{k}") for k, v in told.items())))))
+    sides_of = {"c": "ab", "d": "ab", "a": "cd", "b": "cd"}
+    near = {p: (F.col(f"_{p}") * F.col(f"_{p}") <= F.lit(tolerance * tolerance) * F.col(f"_{q}")) & (F.col(f"_{p}_along") >= 0) & (F.col(f"_{p}_along") <= F.col(f"_{q}")) for p, q in sides_of.items()}
+    found = found.select(*columns, "_sx", "_sy", "_turn", "_a", "_c", *(v.alias(f"{p}_at") for p, v in near.items()))
+    inner = {p: F.col(f"{p}_at") & ~_same(p, q[0]) & ~_same(p, q[1]) for p, q in sides_of.items()}
+    turn = F.nullif("_turn", F.lit(0.0))
+    u, v = F.col("_a") / turn, F.col("_c") / turn
     # where a corner touches the other side, that is the place, and not what rounding makes of a crossing
-    crosses = ~F.col("c_on") & ~F.col("d_on") & ~F.col("a_on") & ~F.col("b_on") & F.col("u").between(0, 1) & F.col("v").between(0, 1)
-    return found.select("*", F.when(crosses, F.col("ax") + sx * F.col("u")).alias("x"), F.when(crosses, F.col("ay") + sy * F.col("u")).alias("y")).drop("_turn", "_u", "_v", "u", "v")
+    crosses = ~F.col("c_at") & ~F.col("d_at") & ~F.col("a_at") & ~F.col("b_at") & u.between(0, 1) & v.between(0, 1)
+    found = found.where(reduce(or_, inner.values()) | crosses)
+    place = [F.when(crosses, F.col(f"a{c}") + F.col(f"_s{c}") * u).alias(c) for c in "xy"]
+    return found.select(*columns, *(v.alias(f"{p}_on") for p, v in inner.items()), *place)
 
 
 def split_sides(all_sides: DataFrame, group: list[str], ids: list[str], cell: float, tolerance: float = 0.0) -> DataFrame:
@@ -104,14 +126,13 @@ def split_sides(all_sides: DataFrame, group: list[str], ids: list[str], cell: fl
     """
     least, greatest = F.least("a", "b"), F.greatest("a", "b")
     different = all_sides.select(*group, least.alias("a"), greatest.alias("b")).distinct()
-    pairs = _meeting(_cells(different, cell, tolerance), group, tolerance)
+    pairs = _meeting(different, cell, group, tolerance)
     at = lambda p: F.struct(F.col(f"{p}x").alias("x"), F.col(f"{p}y").alias("y"))
     place = F.struct("x", "y")
     # each side with the places where it is cut
     cut = lambda p, a, b, where: F.struct(at(a).alias("a"), at(b).alias("b"), p.alias("p"), where.alias("here"))
-    inner = lambda p, a, b: F.col(f"{p}_on") & (at(p) != at(a)) & (at(p) != at(b))
     crossed = F.col("x").isNotNull()
-    all_cuts = [cut(at("c"), "a", "b", inner("c", "a", "b")), cut(at("d"), "a", "b", inner("d", "a", "b")), cut(at("a"), "c", "d", inner("a", "c", "d")), cut(at("b"), "c", "d", inner("b", "c", "d"))]
+    all_cuts = [cut(at("c"), "a", "b", F.col("c_on")), cut(at("d"), "a", "b", F.col("d_on")), cut(at("a"), "c", "d", F.col("a_on")), cut(at("b"), "c", "d", F.col("b_on"))]
     all_cuts += [cut(place, "a", "b", crossed), cut(place, "c", "d", crossed)]
     cuts = pairs.select(*group, F.explode(F.filter(F.array(*all_cuts), lambda c: c["here"])).alias("c"))
     cuts = cuts.groupBy(*group, F.col("c.a").alias("_a"), F.col("c.b").alias("_b")).agg(F.collect_set("c.p").alias("_cuts"))
@@ -321,30 +342,52 @@ def union(regions: DataFrame, by: list[str], cell: float | None = None, toleranc
     return rings.join(back, "_g").select(*(F.col(k).alias(c) for k, c in zip(keys, by)), "rings")
 
 
-def _arcs(ring: list[dict]) -> list[dict]:
-    """A ring's corners in order, each with whether it is a junction, cut there: points of each arc, and whether it runs
+def _arcs(rings: pa.Array) -> pa.Array:
+    """Each ring's corners in order, with whether they are junctions, cut there: points of each arc, and whether it runs
     against the arc's own direction, which is the same wherever the arc occurs.
     """
-    points = [(p["x"], p["y"]) for p in ring]
-    cuts = [k for k, p in enumerate(ring) if p["junction"]]
-    if cuts:
-        ends = [*cuts[1:], cuts[0] + len(points)]
-        found = [[points[k % len(points)] for k in range(a, b + 1)] for a, b in zip(cuts, ends)]
-    else:  # an island, or a hole that one region fills: from its least corner on
-        k = points.index(min(points))
-        found = [[*points[k:], *points[: k + 1]]]
-    return [{"points": min(p, p[::-1]), "flipped": p[::-1] < p} for p in found]
+    at = np.append(0, np.cumsum(pa.compute.list_value_length(rings).to_numpy(zero_copy_only=False)))
+    corners = rings.flatten()
+    x, y, junction = (pa.compute.struct_field(corners, c).to_numpy(zero_copy_only=False) for c in ("x", "y", "junction"))
+    size = np.diff(at)
+    ring = np.repeat(np.arange(len(size)), size)
+    whole = np.flatnonzero(np.bincount(ring[junction], minlength=len(size)) == 0)
+    # an island, or a hole that one region fills: from its least corner on
+    least = [at[r] + np.lexsort((y[at[r] : at[r + 1]], x[at[r] : at[r + 1]]))[0] for r in whole]
+    cuts = np.sort(np.append(np.flatnonzero(junction), np.array(least, np.int64)))
+    count = np.bincount(ring[cuts], minlength=len(size))
+    ends = np.append(0, np.cumsum(count))
+    # each arc runs to the next cut of its ring, the last one to the ring's first
+    steps = np.append(cuts[1:], 0) - cuts
+    steps[ends[1:] - 1] = cuts[ends[:-1]] + size - cuts[ends[1:] - 1]
+    arc = np.repeat(np.arange(len(cuts)), steps + 1)
+    first = np.append(0, np.cumsum(steps + 1))
+    place = np.arange(len(arc)) - first[arc]
+
+    def corner(k: np.ndarray, arc: np.ndarray) -> np.ndarray:
+        r = ring[cuts[arc]]
+        return at[r] + (cuts[arc] - at[r] + k) % size[r]
+
+    every = np.arange(len(cuts))
+    a, b = corner(0 * steps, every), corner(steps, every)
+    flipped = (x[b] < x[a]) | ((x[b] == x[a]) & (y[b] < y[a]))
+    for k in np.flatnonzero((x[a] == x[b]) & (y[a] == y[b])).tolist():  # closed, so its second and last but one corner tell, or those behind them
+        p = corner(np.arange(steps[k] + 1), np.full(steps[k] + 1, k))
+        points = list(zip(x[p].tolist(), y[p].tolist()))
+        flipped[k] = points[::-1] < points
+    p = corner(np.where(flipped[arc], steps[arc] - place, place), arc)
+    points = pa.StructArray.from_arrays([pa.array(x[p]), pa.array(y[p])], fields=list(_POINT))
+    arcs = [pa.ListArray.from_arrays(pa.array(first, pa.int32()), points), pa.array(flipped, pa.bool_())]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(arcs, names=["points", "flipped"]))
 
 
 def arcs_of(ring: Column) -> Column:
-    """array<struct<points, flipped>> from array<struct<..., x, y, junction>>. Arrow batches."""
+    """array<struct<points, flipped>> from array<struct<..., x, y, junction>>, which has corners. Arrow batches."""
 
     @F.arrow_udf("array<struct<points:array<struct<x:double,y:double>>,flipped:boolean>>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        kind = pa.list_(pa.struct([("points", pa.list_(_POINT)), ("flipped", pa.bool_())]))
         for column in batches:
-            done = [[{"points": [{"x": x, "y": y} for x, y in arc["points"]], "flipped": arc["flipped"]} for arc in _arcs(ring)] for ring in column.to_pylist()]
-            yield pa.array(done, kind)
+            yield _arcs(column)
 
     return run(ring)
 
@@ -406,17 +449,19 @@ def simplified_together(regions: DataFrame, tolerance: float, cell: float | None
     junctions = ends.where("n <> 2").select("a", F.lit(True).alias("_j"))
     corner = F.struct("side", "step", F.col("a.x").alias("x"), F.col("a.y").alias("y"), F.coalesce("_j", F.lit(False)).alias("junction"))
     rings = parts.join(junctions, "a", "left").groupBy("_id", "ring").agg(F.sort_array(F.collect_list(corner)).alias("corners"))
-    own = _kept(rings.select("_id", "ring", F.posexplode(arcs_of(F.col("corners"))).alias("seq", "arc")).select("_id", "ring", "seq", "arc.points", "arc.flipped"), "arcs")
-    once = own.groupBy("points").agg(F.min(F.struct("_id", "ring", "seq")).alias("key"))
-    arcs = _kept(once.select("key", "points", F.lit(0).alias("level")), "arcs")
+    # with a hash in front of them, points are seldom compared where arcs are sorted
+    own = rings.select("_id", "ring", F.posexplode(arcs_of(F.col("corners"))).alias("seq", "arc")).select("_id", "ring", "seq", "arc.points", "arc.flipped")
+    own = _kept(own.withColumn("hash", F.xxhash64("points")), "arcs")
+    once = own.groupBy("hash", "points").agg(F.min(F.struct("_id", "ring", "seq")).alias("key"))
+    arcs = _kept(once.select("key", "hash", "points", F.lit(0).alias("level")), "arcs")
     while True:
         limit = F.when(F.col("level") >= QUARTERS, 0.0).otherwise(tolerance / F.pow(F.lit(4.0), F.col("level")))
         kept = _kept(arcs.withColumn("places", _places(F.col("points"), limit)), "simplified")
         worse = _kept(_conflicts(kept, cell), "conflicts")
         if worse.isEmpty():
             break
-        arcs = kept.drop("places").join(worse.withColumn("_worse", F.lit(1)), "key", "left").select("key", "points", (F.col("level") + F.coalesce("_worse", F.lit(0))).alias("level"))
-    placed = own.join(kept.select("points", "places"), "points")
+        arcs = kept.drop("places").join(worse.withColumn("_worse", F.lit(1)), "key", "left").select("key", "hash", "points", (F.col("level") + F.coalesce("_worse", F.lit(0))).alias("level"))
+    placed = own.join(kept.select("hash", "points", "places"), ["hash", "points"])
     points = F.transform("places", lambda k: F.get("points", k))
     turned = F.when(F.col("flipped"), F.reverse(points)).otherwise(points)
     # an arc's last corner is the first one of the next arc
@@ -444,11 +489,12 @@ def _conflicts(kept: DataFrame, cell: float) -> DataFrame:
     several = either.groupBy("a", "b").agg(F.collect_set(F.when(F.col("new"), F.col("key"))).alias("keys"), F.count(F.lit(1)).alias("n"))
     several = _kept(several, "several")
     twice = several.where("n > 1").select(F.explode("keys").alias("key"))
-    pairs = _meeting(_cells(several.select("keys", "a", "b"), cell), [], 0.0, "keys")
-    shared = lambda p, a, b: F.col(f"{p}_on") & ~_same(p, a) & ~_same(p, b)
-    meets = F.col("x").isNotNull() | shared("c", "a", "b") | shared("d", "a", "b") | shared("a", "c", "d") | shared("b", "c", "d")
-    crossing = pairs.select(F.explode(F.when(meets, F.concat("keys", "keys2"))).alias("key")).unionByName(twice)
+    # sides as given were cut where they meet, so one of a pair is new
+    pairs = _meeting(several.select("keys", "a", "b", (F.size("keys") > 0).alias("new")), cell, [], 0.0, "keys", "new", asked="new")
+    crossing = pairs.select(F.explode(F.concat("keys", "keys2")).alias("key")).unionByName(twice)
     corners = segments.select(F.explode(F.array("a", "b")).alias("p")).distinct().select("p", F.col("p.x").alias("_x"), F.col("p.y").alias("_y"))
     swept = segments.where("new").select("key", F.col("chain"), F.array(F.concat("chain", F.slice("chain", 1, 1))).alias("rings"))
-    over = join_points(corners, swept, "_x", "_y", cell, intersects).where(~F.array_contains("chain", F.col("p"))).select("key")
+    # whether it is a corner of the chain itself is asked first, since it costs less
+    other = lambda rings, x, y: ~F.array_contains("chain", F.col("p")) & intersects(rings, x, y)
+    over = join_points(corners, swept, "_x", "_y", cell, other).select("key")
     return crossing.unionByName(over).distinct()
