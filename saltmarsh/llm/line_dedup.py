@@ -135,10 +135,8 @@ def similar_lines(docs: DataFrame, text: str = "text", percent: int = 90) -> Dat
     maps = F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b"))) <= both - 2 * overlap
     alike = length & positional & maps
     pair = (F.col("id_a").alias("a"), F.col("id_b").alias("b"))
-    first = words(sets).groupBy("word").agg(F.min("id").alias("lead"))
-    led = words(sets).join(first, "word")
-    lead = led.where(F.col("id") == F.col("lead")).drop("lead")
-    near_lead = _sided(led.where(F.col("id") != F.col("lead")).drop("lead"), "a", "word").join(_sided(lead, "b", "word"), "word").where(alike)
+    lead = words(sets).groupBy("word").agg(F.min(F.struct("id", "bits", "np")).alias("f")).select("word", "f.*")
+    near_lead = _sided(words(sets), "a", "word").join(_sided(lead, "b", "word"), "word").where((F.col("id_a") != F.col("id_b")) & alike)
     settled = _later(near_lead.select(*pair), classes, docs, text, percent)
     marked = sets.join(settled.withColumn("settled", F.lit(True)), "id", "left").withColumn("open", F.col("settled").isNull()).drop("settled")
     # both sides are the same table, which is shuffled once: what holds for one side only is asked of the pair as well
