@@ -4,8 +4,8 @@
    fixed, and a counter that several words share only makes them look more frequent. A line's distinct words, as
    64-bit hashes, are ordered by that rarity and then by hash: one order for all lines, which is all that exactness needs.
 2. One pass over the texts gives each line its class (128 bits of its word set), its number of words, its rarest words
-   and a 64-bit map of its set, in which each word flips one bit. Lines of one class are one row from here on, so a line that stands in a third of all rows
-   costs what any other does. Sets too small to have any partner but themselves go no further.
+   and a 64-bit map of its set, in which each of the ``MAPPED`` words of smallest hash flips one bit. Lines of one class
+   are one row from here on, so a line that stands in a third of all rows costs what any other does. Sets too small to have any partner but themselves go no further.
 3. Prefix filter: two sets with Jaccard similarity t or more share a word among the first n - ceil(t * n) + 1 of the
    larger and the first n - ceil(2t / (1 + t) * n) + 1 of the smaller. Classes meet in an equi-join on these words, which
    shuffles a row of four numbers for each class and word once for both sides, under the length filter, the positional filter (the words behind the
@@ -32,12 +32,20 @@ from .shared import dense_table, dropped, flags_of, written
 
 COUNTERS = 1 << 20
 MOST_FLAGS = 1 << 26
+RARE_SPACE = "\t\x0b\x0c\r"
+#: Words of a set that are in its map, those of smallest hash.
+MAPPED = 128
 
 
 def _split(text: Column) -> Column:
-    """The lower-cased words, parted by ASCII white space, and maybe empty strings. Plain replacing is faster than a pattern."""
-    spaced = reduce(lambda t, c: F.replace(t, F.lit(c), F.lit(" ")), "\t\n\x0b\x0c\r", F.lower(text))
-    return F.split(spaced, " ")
+    """The lower-cased words, parted by ASCII white space, and maybe empty strings. Plain replacing is faster than a pattern.
+
+    Replacing takes longer than finding, so the rarer kinds of white space are replaced only where there is any.
+    """
+    spaced = lambda t, kinds: reduce(lambda t, c: F.replace(t, F.lit(c), F.lit(" ")), kinds, t)
+    some = reduce(Column.__or__, (F.contains(text, F.lit(c)) for c in RARE_SPACE))
+    low = spaced(F.lower(text), "\n")
+    return F.split(F.when(some, spaced(low, RARE_SPACE)).otherwise(low), " ")
 
 
 def _set(line: Column) -> Column:
@@ -71,12 +79,14 @@ def _profiles(docs: DataFrame, text: str, percent: int) -> DataFrame:
     rarity = _rarity(docs, text)
     sets = _lines(docs, text).select("doc_id", "line_no", F.xxhash64("line").alias("h"), _set(F.col("line")).alias("s"))
     n = F.size("s")
-    shift = lambda x, by: F.call_function("shiftleft", x, by)
-    bits = F.aggregate("s", F.lit(0).cast("long"), lambda acc, k: acc.bitwiseXOR(shift(F.lit(1).cast("long"), k.bitwiseAND(63).cast("int"))))
+    # what is asked of each place of a set is compiled; a function of its words is not, and takes several times as long
+    bit = lambda i: F.call_function("shiftleft", F.lit(1).cast("long"), F.get("s", F.lit(i)).bitwiseAND(63).cast("int"))
+    bits = reduce(Column.bitwiseXOR, (F.coalesce(bit(i), F.lit(0).cast("long")) for i in range(MAPPED)))
     sets = sets.select("*", F.xxhash64("s").alias("c1"), F.xxhash64(F.lit(1), "s").alias("c2"), n.alias("n"), F.when(n * (100 - percent) >= percent, bits).alias("bits"), (n - _ceil(n * percent, 100) + 1).alias("most"), (n * (100 - percent) >= percent).alias("large"), rarity.scalar().alias("table"))
     # each column of the step before has one use here, so the optimiser merges the two steps: the table is one value for
     # each executor, and no row holds it
-    key = lambda h: F.get("table", h.bitwiseAND(COUNTERS - 1).cast("int")).bitwiseOR(h.bitwiseAND((1 << 56) - 1))
+    # keys that can't be null are sorted as plain numbers
+    key = lambda h: F.coalesce(F.get("table", h.bitwiseAND(COUNTERS - 1)), F.lit(0).cast("long")).bitwiseOR(h.bitwiseAND((1 << 56) - 1))
     prefix = F.slice(F.sort_array(F.transform("s", key)), F.lit(1), F.col("most"))
     out = sets.select("doc_id", "line_no", "h", "c1", "c2", "n", "bits", F.when(F.col("large"), prefix).alias("prefix"))
     table = written(out, "lines")
@@ -132,7 +142,9 @@ def similar_lines(docs: DataFrame, text: str = "text", percent: int = 90) -> Dat
     overlap = _ceil(percent * both, 100 + percent)
     length = 100 * F.least(n("a"), n("b")) >= percent * F.greatest(n("a"), n("b"))
     positional = F.least(n("a") - pos("a"), n("b") - pos("b")) >= overlap
-    maps = F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b"))) <= both - 2 * overlap
+    # whole sets differ by the words of either that the other lacks; of the smallest words, each of these may push out one more
+    apart = F.when(F.greatest(n("a"), n("b")) <= MAPPED, both - 2 * overlap).otherwise(2 * (F.greatest(n("a"), n("b")) - overlap))
+    maps = F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b"))) <= apart
     alike = length & positional & maps
     pair = (F.col("id_a").alias("a"), F.col("id_b").alias("b"))
     lead = words(sets).groupBy("word").agg(F.min(F.struct("id", "bits", "np")).alias("f")).select("word", "f.*")
