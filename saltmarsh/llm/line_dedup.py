@@ -1,19 +1,16 @@
 """Line deduplication: an exact set-similarity join of all lines. DataFrame functions only.
 
-1. Words are counted over all texts into a table of 2**20 hashed counters, kept as log counts, 8 MB in all; its size is
-   fixed, and a counter that several words share only makes them look more frequent. A line's distinct words, as
-   64-bit hashes, are ordered by that rarity and then by hash: one order for all lines, which is all that exactness needs.
-2. One pass over the texts gives each line its class (128 bits of its word set), its number of words, its rarest words
-   and a 64-bit map of its set, in which each of the ``MAPPED`` words of smallest hash flips one bit. Lines of one class
+1. One pass over the texts gives each line its class (128 bits of its word set), its number of words, a 64-bit map of
+   its set, in which each of the ``MAPPED`` words of smallest hash flips one bit, and its marks. Lines of one class
    are one row from here on, so a line that stands in a third of all rows costs what any other does. Sets too small to have any partner but themselves go no further.
-3. Prefix filter: two sets with Jaccard similarity t or more share a word among the first n - ceil(t * n) + 1 of the
-   larger and the first n - ceil(2t / (1 + t) * n) + 1 of the smaller. Classes meet in an equi-join on these words, which
-   shuffles a row of four numbers for each class and word once for both sides, under the length filter, the positional filter (the words behind the
-   shared one must suffice for the overlap), and the maps (more bits that differ than words may differ rule a pair out).
-   These are conditions of the join, so pairs that fail them are never rows.
+2. Marks: if two sets differ by k words at most and all hashes are parted into k + 1 ranges, the sets agree in one of them at
+   least. So a set has a mark, a hash of its words there, for each range. How many ranges there are follows from the size
+   of a pair's larger set, rounded up to the end of its group of sizes; a set has marks for its own group, and for the next where it may have partners there.
+3. Classes that share a mark meet, a row of four numbers for each class and mark, under the length filter and the maps
+   (more bits that differ than words may differ rule a pair out).
 4. That an earlier line matches is all that need be known of a line. So each class first meets only the earliest class
-   that has one of its prefix words, which is a row for each of its words. Near copies of one line are settled by that, and the self-join of step 3 is left with the
-   pairs whose later class is still open.
+   that has one of its marks, in one window over the marks. Near copies of one line are settled by that, and a join is left with
+   the pairs whose later class is still open.
 5. The lines of candidate pairs are read again, and their Jaccard similarity is verified on all their words. A bit map
    tells which documents and which of their lines are wanted, so that few others are cut into lines and shuffled. It has
    eight bits or more for each wanted line up to ``MOST_FLAGS`` in all; beyond that it lets more lines through to the
@@ -23,18 +20,22 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import dense_table, dropped, flags_of, written
+from .shared import dropped, flags_of, written
 
-COUNTERS = 1 << 20
 MOST_FLAGS = 1 << 26
 RARE_SPACE = "\t\x0b\x0c\r"
 #: Words of a set that are in its map, those of smallest hash.
 MAPPED = 128
+#: Parts of a set that are cut by compiled code.
+FEW = 24
+#: Groups of sizes are wider by this factor (a logarithm) than two similar sets may differ.
+WIDER = 0.25
 
 
 def _split(text: Column) -> Column:
@@ -54,14 +55,6 @@ def _set(line: Column) -> Column:
     return F.sort_array(F.array_remove(hashes, F.xxhash64(F.lit(""))))
 
 
-def _rarity(docs: DataFrame, text: str) -> DataFrame:
-    """The table of log counts, 0 to 125, each in the high byte of a long."""
-    words = docs.select(F.explode(_split(F.col(text))).alias("w")).where("w != ''")
-    counts = words.groupBy(F.xxhash64("w").bitwiseAND(COUNTERS - 1).alias("place")).agg(F.count(F.lit(1)).alias("n"))
-    code = F.least(F.lit(125), F.round(F.log2("n") * 4)).cast("long")
-    return dense_table(counts.select("place", F.shiftleft(code, 56).alias("value")), COUNTERS, "rarity")
-
-
 def _lines(docs: DataFrame, text: str) -> DataFrame:
     return docs.select("doc_id", F.posexplode(F.split(F.coalesce(text, F.lit("")), "\n")).alias("line_no", "line"))
 
@@ -70,28 +63,69 @@ def _ceil(a: Column, b: int) -> Column:
     return F.floor((a + (b - 1)) / b).cast("int")
 
 
+def _cut(cells: Column, start: Column, end: Column, last: Column) -> Column:
+    """The stretch of ``cells`` from the bound ``start`` up to the bound ``end``, or to the end of the array if it is the ``last``."""
+    first = F.array_position(cells, start)
+    behind = F.when(last, 0).otherwise(F.array_position(cells, end))
+    return F.slice(cells, first.cast("int"), (F.when(behind > 0, behind).otherwise(F.size(cells) + 1) - first).cast("int"))
+
+
+def _bound(i: Column, parts: Column) -> Column:
+    """The smallest hash of part ``i`` of ``parts`` equal ranges of hashes."""
+    return F.call_function("shiftleft", i * F.floor((1 << 32) / parts) - (1 << 31), F.lit(32))
+
+
+def _cells(s: Column, parts: Column) -> Column:
+    """The hashes of a set and the bounds of all parts, in order."""
+    few = F.slice(F.array(*(_bound(F.lit(i), parts) for i in range(FEW))), F.lit(1), parts.cast("int"))
+    many = F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda i: _bound(i, parts))
+    return F.sort_array(F.concat(s, F.when(parts <= FEW, few).otherwise(many)))
+
+
+def _marks(cells: Column, parts: Column) -> Column:
+    """A hash of each part of a set, its number and their number.
+
+    Few parts are cut by compiled code, more in two steps, into runs of parts and these into parts, so that a set of n
+    words takes n**1.5 steps.
+    """
+    mark = lambda c, i: F.xxhash64(parts, i, _cut(c, _bound(i, parts), _bound(i + 1, parts), i + 1 >= parts))
+    few = F.slice(F.array(*(F.when(F.lit(i) < parts, mark(cells, F.lit(i).cast("long"))) for i in range(FEW))), F.lit(1), parts.cast("int"))
+    run = F.ceil(F.sqrt(parts))
+    runs = F.transform(F.sequence(F.lit(0).cast("long"), F.ceil(parts / run) - 1), lambda r: _cut(cells, _bound(r * run, parts), _bound((r + 1) * run, parts), (r + 1) * run >= parts))
+    many = F.flatten(F.transform(runs, lambda c, r: F.transform(F.sequence(r * run, F.least((r + 1) * run, parts) - 1), lambda i: mark(c, i))))
+    return F.when(parts <= FEW, few).otherwise(many)
+
+
+def _parts(n: Column, percent: int) -> tuple[Column, Column]:
+    """Numbers of parts for a set of n words: as the larger of a pair, and as the smaller one, null if that is the same.
+
+    Sizes are grouped by their logarithm, and a group's number is one more than the words by which two similar sets may
+    differ whose larger one is in it. A group is wider than the ratio of similar sizes, so a set's larger partners are in its own or the next.
+    """
+    ratio = math.log(100 / percent) + 1e-6
+    width = ratio + WIDER
+    parts = lambda g: F.floor(2 * F.ceil(F.exp((g + 1) * width) + 1e-6) * (100 - percent) / (100 + percent)) + 1
+    own, above = F.floor(F.log(n) / width), F.floor((F.log(n) + ratio) / width)
+    return parts(own), F.when(parts(above) != parts(own), parts(above))
+
+
 def _profiles(docs: DataFrame, text: str, percent: int) -> DataFrame:
-    """A row for each line: doc_id, line_no, h (its text's hash), c1 and c2 (its class), n, bits, prefix.
+    """A row for each line: doc_id, line_no, h (its text's hash), c1 and c2 (its class), n, bits, marks.
 
-    ``prefix`` has the rarest words, rarity in the high byte and 56 bits of hash below; it is empty where the set is too
-    small to be similar to another one. A line without words has n = 0.
+    ``marks`` and ``bits`` are null where the set is too small to be similar to another one. A line without words has n = 0.
     """
-    rarity = _rarity(docs, text)
     sets = _lines(docs, text).select("doc_id", "line_no", F.xxhash64("line").alias("h"), _set(F.col("line")).alias("s"))
     n = F.size("s")
+    large = n * (100 - percent) >= percent
+    own, above = _parts(n, percent)
+    sets = sets.select("doc_id", "line_no", "h", F.xxhash64("s").alias("c1"), F.xxhash64(F.lit(1), "s").alias("c2"), n.alias("n"), F.when(large, F.col("s")).alias("s"), F.when(large, own).alias("own"), F.when(large, above).alias("above"))
+    cells = sets.select("*", _cells(F.col("s"), F.col("own")).alias("s0"), F.when(F.col("above").isNotNull(), _cells(F.col("s"), F.col("above"))).alias("s1"))
     # what is asked of each place of a set is compiled; a function of its words is not, and takes several times as long
     bit = lambda i: F.call_function("shiftleft", F.lit(1).cast("long"), F.get("s", F.lit(i)).bitwiseAND(63).cast("int"))
     bits = reduce(Column.bitwiseXOR, (F.coalesce(bit(i), F.lit(0).cast("long")) for i in range(MAPPED)))
-    sets = sets.select("*", F.xxhash64("s").alias("c1"), F.xxhash64(F.lit(1), "s").alias("c2"), n.alias("n"), F.when(n * (100 - percent) >= percent, bits).alias("bits"), (n - _ceil(n * percent, 100) + 1).alias("most"), (n * (100 - percent) >= percent).alias("large"), rarity.scalar().alias("table"))
-    # each column of the step before has one use here, so the optimiser merges the two steps: the table is one value for
-    # each executor, and no row holds it
-    # keys that can't be null are sorted as plain numbers
-    key = lambda h: F.coalesce(F.get("table", h.bitwiseAND(COUNTERS - 1)), F.lit(0).cast("long")).bitwiseOR(h.bitwiseAND((1 << 56) - 1))
-    prefix = F.slice(F.sort_array(F.transform("s", key)), F.lit(1), F.col("most"))
-    out = sets.select("doc_id", "line_no", "h", "c1", "c2", "n", "bits", F.when(F.col("large"), prefix).alias("prefix"))
-    table = written(out, "lines")
-    dropped(rarity)
-    return table
+    own, above = (_marks(F.col(s), F.col(p)) for s, p in (("s0", "own"), ("s1", "above")))
+    marks = F.when(F.col("above").isNull(), own).otherwise(F.concat(own, above))
+    return written(cells.select("doc_id", "line_no", "h", "c1", "c2", "n", F.when(F.col("s").isNotNull(), bits).alias("bits"), F.when(F.col("s").isNotNull(), marks).alias("marks")), "lines")
 
 
 def _sided(df: DataFrame, side: str, *keep: str) -> DataFrame:
@@ -126,47 +160,38 @@ def similar_lines(docs: DataFrame, text: str = "text", percent: int = 90) -> Dat
     """
     docs = docs.select("doc_id", text)
     lines = _profiles(docs, text, percent)
-    found = lines.where("n > 0").groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "line_no", "h", "n", "bits", "prefix")).alias("f")).select("c1", "c2", "copies", "f.*")
+    found = lines.where("n > 0").groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "line_no", "h", "n", "bits", "marks")).alias("f")).select("c1", "c2", "copies", "f.*")
     # ids ascend as the classes' first lines do
     classes = written(found.orderBy("doc_id", "line_no", "h").withColumn("id", F.monotonically_increasing_id()), "classes")
-    sets = classes.where("prefix IS NOT NULL").select("id", "n", "bits", "prefix")
-
-    def words(of: DataFrame) -> DataFrame:
-        """A row for each word of a prefix: word, id, bits, n and pos (as one long), and the columns of ``of`` behind these."""
-        found = of.select("id", "bits", "n", *of.columns[4:], F.posexplode("prefix").alias("pos", "word"))
-        return found.select("word", "id", "bits", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("pos").cast("long")).alias("np"), *of.columns[4:])
-
-    n = lambda s: F.shiftrightunsigned(f"np_{s}", 32).cast("int")
-    pos = lambda s: F.col(f"np_{s}").bitwiseAND((1 << 32) - 1).cast("int")
-    both = n("a") + n("b")
+    marks = classes.where("marks IS NOT NULL").select("id", "n", "bits", F.explode("marks").alias("mark"))
+    both, larger = F.col("n") + F.col("n_a"), F.greatest("n", "n_a")
     overlap = _ceil(percent * both, 100 + percent)
-    length = 100 * F.least(n("a"), n("b")) >= percent * F.greatest(n("a"), n("b"))
-    positional = F.least(n("a") - pos("a"), n("b") - pos("b")) >= overlap
     # whole sets differ by the words of either that the other lacks; of the smallest words, each of these may push out one more
-    apart = F.when(F.greatest(n("a"), n("b")) <= MAPPED, both - 2 * overlap).otherwise(2 * (F.greatest(n("a"), n("b")) - overlap))
-    maps = F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b"))) <= apart
-    alike = length & positional & maps
-    pair = (F.col("id_a").alias("a"), F.col("id_b").alias("b"))
-    lead = words(sets).groupBy("word").agg(F.min(F.struct("id", "bits", "np")).alias("f")).select("word", "f.*")
-    near_lead = _sided(words(sets), "a", "word").join(_sided(lead, "b", "word"), "word").where((F.col("id_a") != F.col("id_b")) & alike)
-    settled = _later(near_lead.select(*pair), classes, docs, text, percent)
-    marked = sets.join(settled.withColumn("settled", F.lit(True)), "id", "left").withColumn("open", F.col("settled").isNull()).drop("settled")
-    # both sides are the same table, which is shuffled once: what holds for one side only is asked of the pair as well
-    smaller = (n("b") < n("a")) | ((n("b") == n("a")) & (F.col("id_b") < F.col("id_a")))
-    index_prefix = pos("b") < n("b") - _ceil(2 * percent * n("b"), 100 + percent) + 1
-    undecided = F.when(F.col("id_a") > F.col("id_b"), F.col("open_a")).otherwise(F.col("open_b"))
-    rest = _sided(words(marked), "a", "word").join(_sided(words(marked), "b", "word"), "word").where(F.when(smaller, index_prefix & alike & undecided).otherwise(False))
-    late = settled.union(_later(rest.select(*pair), classes, docs, text, percent)).distinct()
+    apart = F.when(larger <= MAPPED, both - 2 * overlap).otherwise(2 * (larger - overlap))
+    alike = (100 * F.least("n", "n_a") >= percent * larger) & (F.bit_count(F.col("bits").bitwiseXOR(F.col("bits_a"))) <= apart)
+    # a mark's classes in order, in one shuffle: each meets the first of them; pairs of others are left where there are two or more
+    order = Window.partitionBy("mark").orderBy("id")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    firsts = (F.first(c).over(so_far).alias(f"{c}_a") for c in ("id", "n", "bits"))
+    queued = marks.select("*", *firsts, F.row_number().over(order).alias("place"), F.lead("id").over(order).alias("next")).where("place > 1")
+    first = F.when((F.col("id") != F.col("id_a")) & alike, F.col("id_a"))
+    met = queued.select("mark", "id", "n", "bits", first.alias("first"), ((F.col("place") > 2) | F.col("next").isNotNull()).alias("more"))
+    met = written(met.where("first IS NOT NULL OR more"), "met")
+    settled = _later(met.where("first IS NOT NULL").select(F.col("first").alias("a"), F.col("id").alias("b")), classes, docs, text, percent)
+    others = met.where("more").select("mark", "id", "n", "bits")
+    earlier = others.select("mark", *(F.col(c).alias(f"{c}_a") for c in ("id", "n", "bits")))
+    rest = others.join(settled, "id", "left_anti").join(earlier, "mark").where((F.col("id_a") < F.col("id")) & alike)
+    late = settled.union(_later(rest.select(F.col("id_a").alias("a"), F.col("id").alias("b")), classes, docs, text, percent)).distinct()
     named = classes.select("c1", "c2", "id", "copies", F.col("doc_id").alias("d"), F.col("line_no").alias("l")).join(late.withColumn("late", F.lit(True)), "id", "left")
     verdict = written(named.where("late OR copies > 1").select("c1", "c2", "d", "l", F.coalesce("late", F.lit(False)).alias("late")), "verdict")
-    dropped(classes, settled)
+    dropped(classes, settled, met)
     first = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("line_no") == F.col("l"))
     gone = lines.select("doc_id", "line_no", "c1", "c2").join(verdict, ["c1", "c2"]).where(F.col("late") | ~first)
     gone = gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("removed")).withColumnRenamed("doc_id", "_d")
     counts = lines.groupBy("doc_id").agg((F.max("line_no") + 1).cast("long").alias("n_lines"))
     none = F.expr("cast(array() as array<int>)")
-    both = counts.join(gone, F.col("doc_id").eqNullSafe(F.col("_d")), "left").withColumn("removed", F.coalesce("removed", none))
-    return both.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed")
+    out = counts.join(gone, F.col("doc_id").eqNullSafe(F.col("_d")), "left").withColumn("removed", F.coalesce("removed", none))
+    return out.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed")
 
 
 def without_lines(docs: DataFrame, removed: DataFrame, text: str = "text") -> DataFrame:
